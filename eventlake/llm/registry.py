@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from eventlake.llm import mixing
+from eventlake.llm import mixing, quality, substrings
 
 QUERIES = {
     "op2_mixing": mixing.op2_mixing,
+    "op3_compression_bands": quality.op3_compression_bands,
+    "op10_repeats": substrings.op10_repeats,
 }
 
 ORACLES = {
     "op2_mixing": mixing.ORACLE,
+    "op10_repeats": substrings.ORACLE,
 }
