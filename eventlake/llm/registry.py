@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from eventlake.llm import mixing, quality, substrings
+from eventlake.llm import jaccard, mixing, quality, substrings
 
 QUERIES = {
     "op2_mixing": mixing.op2_mixing,
     "op3_compression_bands": quality.op3_compression_bands,
+    "op7_jaccard_join": jaccard.op7_jaccard_join,
     "op10_repeats": substrings.op10_repeats,
 }
 
