@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from eventlake.llm import jaccard, mixing, quality, substrings
+from eventlake.llm import jaccard, mixing, neighbours, quality, substrings, warc
 
 QUERIES = {
+    "op1_nearest": neighbours.op1_nearest,
     "op2_mixing": mixing.op2_mixing,
     "op3_compression_bands": quality.op3_compression_bands,
     "op7_jaccard_join": jaccard.op7_jaccard_join,
+    "op8_warc": warc.op8_warc,
     "op10_repeats": substrings.op10_repeats,
 }
 
 ORACLES = {
+    "op1_nearest": neighbours.ORACLE,
+    "op8_warc": warc.ORACLE,
     "op2_mixing": mixing.ORACLE,
     "op10_repeats": substrings.ORACLE,
 }
