@@ -110,9 +110,10 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def split_words(data: np.ndarray, offsets: np.ndarray) -> Words:
+def split_words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = _IS_SEP) -> Words:
+    """Words between bytes flagged in ``separators`` (256 flags)."""
     n = len(data)
-    inside = ~_IS_SEP[data]
+    inside = ~separators[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     before = np.zeros(n, bool)
@@ -135,6 +136,21 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         at = to
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
+
+
+def lower_bytes(data: np.ndarray, latin: bool = True) -> np.ndarray:
+    """Lower case for ASCII letters and, with ``latin``, for the two-byte capitals of Latin-1."""
+    out = _LOWER[data]
+    if latin:
+        follows = np.flatnonzero(data[:-1] == 0xC3) + 1
+        second = data[follows]
+        capital = follows[(second >= 0x80) & (second <= 0x9E) & (second != 0x97)]
+        out[capital] += 0x20
+    return out
+
+
 def window_hashes(words: Words, hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each run of ``width`` words inside one text, and the index of its first word."""
     n = len(hashes)
