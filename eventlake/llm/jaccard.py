@@ -232,8 +232,10 @@ def classes(docs: DataFrame, rules: Forest = Forest()) -> DataFrame:
     some = rows.where("node IS NOT NULL").withColumn("key", F.coalesce("doc_id", F.lit(_NO_ID)))
     nodes = cut(some.groupBy("node").agg(F.min("key").alias("key"), F.count("*").alias("copies")))
     # One row of each node stands for its copies; they have equal signatures.
-    one = some.join(nodes.select("node", "key", "copies"), ["node", "key"]).dropDuplicates(["node"])
-    one = cut(one.select("node", "key", "copies", "prefixes"))
+    # Joined by id, which no group shares; a repeated id may name two nodes, so these are compared after.
+    first = nodes.select(F.col("node").alias("of"), "key", "copies")
+    one = some.join(first, "key").where(F.col("node").bitwiseXOR(F.col("of")) == 0)
+    one = cut(one.select("node", "key", "copies", "prefixes").dropDuplicates(["node"]))
     in_trees = one.select("node", F.posexplode("prefixes").alias("tree", "prefix"))
     mark = F.xxhash64("node")
     buckets = in_trees.groupBy("tree", "prefix").agg(
@@ -263,9 +265,11 @@ def classes(docs: DataFrame, rules: Forest = Forest()) -> DataFrame:
     named = nodes.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("key").alias("class_key"))
     facts = named.join(least, "label").join(links, "node", "left").select(
-        "node", "class_key", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+        "node", "key", "class_key", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
-    found = rows.select("doc_id", "node").join(facts, "node", "left")
+    # Nodes without links need no row: their document is its own class.
+    facts = cut(facts.where("n_links > 0 OR class_key <> key").select("node", "class_key", "n_links"))
+    found = rows.select("doc_id", "node").join(small(facts, facts.count()), "node", "left")
     own_class = F.coalesce(F.col("class_key"), F.col("doc_id"))
     return found.select(
         "doc_id",
