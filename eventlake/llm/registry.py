@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventlake.llm import jaccard, mixing, neighbours, quality, substrings, toxicity, warc
+from eventlake.llm import jaccard, language, mixing, neighbours, quality, substrings, toxicity, warc
 
 QUERIES = {
     "op1_nearest": neighbours.op1_nearest,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_toxicity": toxicity.op5_toxicity,
     "op7_jaccard_join": jaccard.op7_jaccard_join,
     "op8_warc": warc.op8_warc,
+    "op9_language": language.op9_language,
     "op10_repeats": substrings.op10_repeats,
 }
 
