@@ -39,6 +39,8 @@ class Blocks:
     #: Most rows of a block, on average.
     query_rows: int = 4096
     candidate_rows: int = 65536
+    #: Fewest candidates of a block, on average, where there are enough partitions for more blocks.
+    least_rows: int = 1024
     #: Sides of a tile.
     tile_queries: int = 512
     tile_candidates: int = 4096
@@ -157,7 +159,8 @@ def _search_tile(q: tuple, c: tuple, heaps: list, floor: np.ndarray, k: int) ->
 def nearest(candidates: DataFrame, queries: DataFrame, rules: Blocks = Blocks()) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest candidates of each query; both sides encoded."""
     n, n_queries = candidates.count(), queries.count()
-    columns = max(parallelism(candidates.sparkSession), -(-n // rules.candidate_rows))
+    # Few candidates make few cells, however many partitions there are: each cell returns k rows a query.
+    columns = max(1, -(-n // rules.candidate_rows), min(parallelism(candidates.sparkSession), -(-n // rules.least_rows)))
     rows = max(1, -(-n_queries // rules.query_rows))
     # Each side is sent to every cell of its row or column of the grid.
     left = queries.withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(rows)).cast("int")).withColumn(
