@@ -53,7 +53,7 @@ class Repeats:
     length: int = 50
     gram: int = 10
     #: Different segments of one anchor in one block of a shard.
-    block: int = 2048
+    block: int = 512
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
