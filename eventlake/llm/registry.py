@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from eventlake.llm import jaccard, language, mixing, neighbours, quality, substrings, toxicity, warc
+from eventlake.llm import jaccard, language, mixing, neighbours, pieces, quality, substrings, toxicity, warc
 
 QUERIES = {
     "op1_nearest": neighbours.op1_nearest,
     "op2_mixing": mixing.op2_mixing,
     "op3_compression_bands": quality.op3_compression_bands,
+    "op4_pieces": pieces.op4_pieces,
     "op5_toxicity": toxicity.op5_toxicity,
     "op7_jaccard_join": jaccard.op7_jaccard_join,
     "op8_warc": warc.op8_warc,
