@@ -1,12 +1,53 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again.
+
+1. toxicity: documents whose matched clauses score 0.3 or more go (operator 5).
+2. near duplicates: of documents that n-gram Jaccard links connect, the one with the smallest id
+   stays (operator 7).
+3. repeated passages: words in 50-word windows of smaller documents go; documents without any words
+   left go (operator 10).
+4. mixing: documents are repeated or left out so that sources meet their targets (operator 2).
+5. tokens: texts become SentencePiece ids (operator 4).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from eventlake.llm import jaccard, mixing, pieces, substrings, toxicity
 from eventlake.llm.common import new_dir, table
 
-STAGES: list = []
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.keep_civil(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.keep_one(docs)
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.apply_mix(docs)
+
+
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    coded = pieces.encode(docs, pieces.Vocabulary.load().prepare())
+    return coded.withColumn("n_tokens", F.size("token_ids").cast("long"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near duplicates", drop_near_duplicates),
+    ("repeated passages", drop_repeats),
+    ("mixing", mix_sources),
+    ("tokens", tokenise),
+]
+
+#: Hashes, learned patterns and the tokenizer have no SQL form; tests use brute force instead.
 ORACLE_SQL = None
 
 
