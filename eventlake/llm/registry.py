@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventlake.llm import jaccard, language, mixing, neighbours, pieces, quality, substrings, toxicity, warc
+from eventlake.llm import bloom_lm, jaccard, language, mixing, neighbours, pieces, quality, substrings, toxicity, warc
 
 QUERIES = {
     "op1_nearest": neighbours.op1_nearest,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_compression_bands": quality.op3_compression_bands,
     "op4_pieces": pieces.op4_pieces,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op6_bloom_lm": bloom_lm.op6_bloom_lm,
     "op7_jaccard_join": jaccard.op7_jaccard_join,
     "op8_warc": warc.op8_warc,
     "op9_language": language.op9_language,
