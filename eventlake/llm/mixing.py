@@ -131,12 +131,14 @@ def mix(docs: DataFrame) -> DataFrame:
 
 def apply_mix(docs: DataFrame) -> DataFrame:
     """The mixed corpus: the rows of ``docs``, each as often as the mix takes it."""
-    taken = mix(docs).where("copies > 0").select("doc_id", "h", "copies").dropDuplicates(["doc_id", "h"])
-    keyed = docs.withColumn("_h", hash_digits(F.col("doc_id"), F.col("text")))
-    rows = taken.count()
-    same = keyed["doc_id"].eqNullSafe(taken["doc_id"]) & (keyed["_h"] == taken["h"])
-    picked = keyed.join(small(taken, rows), same).select(*[keyed[c] for c in docs.columns], "copies")
-    return picked.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    taken = mix(docs).where("copies > 0").select(
+        F.col("doc_id").alias("_mix_id"), F.col("h").alias("_mix_h"), F.col("copies").alias("_mix_copies")
+    )
+    taken = cut(taken.dropDuplicates(["_mix_id", "_mix_h"]))
+    keyed = docs.withColumn("_mix_key", hash_digits(docs["doc_id"], docs["text"]))
+    same = F.col("doc_id").eqNullSafe(F.col("_mix_id")) & (F.col("_mix_key") == F.col("_mix_h"))
+    picked = keyed.join(small(taken, taken.count()), same)
+    return picked.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*docs.columns)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
