@@ -1,4 +1,8 @@
 """Queries over the given tables, and the SQL that checks them."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from eventlake.plans import event_queries, manifest_queries, text_queries
+
+QUERIES = event_queries.QUERIES | manifest_queries.QUERIES | text_queries.QUERIES
+ORACLES = event_queries.ORACLES | manifest_queries.ORACLES | text_queries.ORACLES
