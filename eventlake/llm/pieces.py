@@ -36,7 +36,7 @@ from eventlake.llm.common import table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = 0x2581
 #: Distinct words that a Python worker remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000
 #: Pairs of pieces that it remembers, as a power of two.
 PAIR_BITS = 20
 SLICE_BYTES = 1 << 20
@@ -111,6 +111,7 @@ class Tables:
     keys: np.ndarray  # sorted hashes of the pieces that encode to themselves
     ids: np.ndarray
     likely: np.ndarray  # bit table over the low bits of the keys
+    reach: np.ndarray  # longest piece with an ending of three characters, by the ending's hash
     longest: int
     single: np.ndarray  # code point -> piece id, or -1
     formed: np.ndarray  # score at which a piece is formed; characters are there from the start
@@ -125,8 +126,11 @@ class Tables:
     spell_at: np.ndarray
     texts: list[str]
     rank: dict[str, float]
+    encoder: Encoder | None = None  # of a Python worker, for all its tasks
 
     BITS = 22
+    ENDING = 3
+    ENDING_BITS = 20
 
     @classmethod
     def of(cls, v: Vocabulary) -> Tables:
@@ -157,6 +161,11 @@ class Tables:
                 left[i], right[i], formed[i] = a, b, v.scores[i]
                 own.append(i)
         longest = max(len(v.texts[i]) for i in own)
+        reach = np.zeros(1 << cls.ENDING_BITS, np.uint8)
+        for i in own:
+            if len(v.texts[i]) >= cls.ENDING:
+                at = _text_key(v.texts[i][-cls.ENDING :]) & ((1 << cls.ENDING_BITS) - 1)
+                reach[at] = max(reach[at], len(v.texts[i]))
         keys = np.array([_text_key(v.texts[i]) for i in own], _U)
         order = np.argsort(keys)
         likely = np.zeros(1 << cls.BITS, bool)
@@ -174,7 +183,7 @@ class Tables:
         at = np.zeros(n + 1, np.int64)
         np.cumsum([len(s) for s in spelled], out=at[1:])
         return cls(
-            keys[order], np.array(own)[order], likely, longest, single, formed, left, right, pair_keys,
+            keys[order], np.array(own)[order], likely, reach, longest, single, formed, left, right, pair_keys,
             np.array([pairs[k] for k in pair_keys.tolist()]), np.array(v.byte_ids), v.space, {},
             np.frombuffer(b"".join(spelled), np.uint8), at, v.texts, v.rank,
         )
@@ -288,15 +297,26 @@ class Encoder:
         last = np.full((length + 1, n), -1, np.int64)
         back = np.zeros((length + 1, n), np.int32)
         for end in range(1, length + 1):
+            rows, reach = np.arange(n), None
             for size in range(1, min(end, self.t.longest) + 1):
-                piece = self.t.probe(_between(prefix, end - size, end, inverse))
-                rows = np.flatnonzero(piece >= 0)
-                if size < end and len(rows):
-                    before = last[end - size, rows]
-                    rows = rows[before >= 0]
-                    rows = rows[self._stable(last[end - size, rows], piece[rows])] if len(rows) else rows
-                last[end, rows] = piece[rows]
-                back[end, rows] = size
+                if size == self.t.ENDING:
+                    ending = _between(prefix, end - size, end, inverse)
+                    reach = self.t.reach[ending & _U((1 << self.t.ENDING_BITS) - 1)]
+                if reach is not None:
+                    rows = rows[reach[rows] >= size]
+                    if not len(rows):
+                        break
+                piece = self.t.probe(_between(prefix if reach is None else prefix[rows], end - size, end, inverse))
+                hit = np.flatnonzero(piece >= 0)
+                found, piece = rows[hit], piece[hit]
+                if size < end and len(found):
+                    before = last[end - size, found]
+                    ok = before >= 0
+                    found, piece, before = found[ok], piece[ok], before[ok]
+                    ok = self._stable(before, piece)
+                    found, piece = found[ok], piece[ok]
+                last[end, found] = piece
+                back[end, found] = size
         # Follow the backpointers of all words together, from the end.
         at, found, rows = np.full(n, length), [], np.arange(n)
         while len(rows):
@@ -325,9 +345,10 @@ class Encoder:
         place = len(self.at) - 1 + np.arange(len(keys))
         self.tokens = np.concatenate([self.tokens, *pieces])
         self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(np.concatenate(counts))])
-        known = np.concatenate([self.known, keys[np.concatenate(order)]])
-        sort = np.argsort(known)
-        self.known, self.place = known[sort], np.concatenate([self.place, place])[sort]
+        fresh = keys[np.concatenate(order)]
+        sort = np.argsort(fresh)
+        at = np.searchsorted(self.known, fresh[sort])
+        self.known, self.place = np.insert(self.known, at, fresh[sort]), np.insert(self.place, at, place[sort])
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and offsets of the texts."""
@@ -441,7 +462,8 @@ def encode(docs: DataFrame, tables: Tables) -> DataFrame:
     schema = T.StructType([*docs.select(*rest).schema.fields, T.StructField("token_ids", T.ArrayType(T.IntegerType()))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(sent.value)
+        tables = sent.value
+        encoder = tables.encoder = tables.encoder or Encoder(tables)
         for batch in batches:
             for lo, hi, data, offsets in tx.slices(batch.column("text"), SLICE_BYTES):
                 ids, at = encoder.encode(data, offsets)
