@@ -25,7 +25,7 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.llm import text as tx
@@ -182,8 +182,9 @@ def learn(docs: DataFrame, labels: DataFrame, rules: Grammar = Grammar()) -> Lex
     """Patterns that mark toxic documents, from a bounded sample of labelled rows."""
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     known = known.where(crc_remainder(F.col("doc_id"), 4) != 2)
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = cut(known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rules.sample).drop("place"))
+    known = cut(known)
+    least = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rules.sample) for y in (0, 1)]
+    sample = cut(least[0].unionByName(least[1]))
     everywhere = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     # Copies of a text are one witness.
     texts = docs.select("doc_id", "text").join(small(sample, sample.count()), "doc_id").where("text IS NOT NULL")
