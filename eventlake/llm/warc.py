@@ -4,8 +4,8 @@
 
 * Planning. The files of the folder are packed into partitions of about ``partition_bytes``; a file is
   not split, so the writer starts a new file at ``file_bytes``.
-* Pushed predicates. Equality and ``IN`` on record type, id, target, digest and reference are taken
-  over by the reader. The headers of a record are parsed first; a record they reject is skipped by
+* Pushed predicates. Equality, ``IN`` and ``IS NOT NULL`` on record type, id, target, digest and
+  reference are taken over by the reader. The headers of a record are parsed first; a record they reject is skipped by
   its length, without decoding its payload. ``payload=false`` skips every payload.
 * Files are gzip with one member per record. Members carry their compressed length in the ``LX`` extra
   field of archive gzip files, which lets the reader jump to the next member; members without it, and
@@ -42,6 +42,7 @@ from pyspark.sql.datasource import (
     Filter,
     In,
     InputPartition,
+    IsNotNull,
     WriterCommitMessage,
 )
 from pyspark.sql.types import StructType
@@ -190,8 +191,8 @@ class _Plain:
         return self.file.read(self.size)
 
 
-def read_records(path: str, wanted: dict[str, set[str]], with_payload: bool) -> Iterator[tuple]:
-    """Rows of a file; ``wanted`` maps columns to the values they may have."""
+def read_records(path: str, wanted: dict[str, set[str]], with_payload: bool, present: frozenset[str] = frozenset()) -> Iterator[tuple]:
+    """Rows of a file; ``wanted`` maps columns to the values they may have, ``present`` columns aren't null."""
     with open(path, "rb") as file:
         kind = _Gzip if file.read(2) == b"\x1f\x8b" else _Plain
         file.seek(0)
@@ -200,7 +201,7 @@ def read_records(path: str, wanted: dict[str, set[str]], with_payload: bool) ->
             edge = head.index(END)
             fields = parse_head(head[:edge])
             row = {name: fields.get(header.lower()) for name, header in HEADERS.items()}
-            if any(row[name] not in values for name, values in wanted.items()):
+            if any(row[name] not in values for name, values in wanted.items()) or any(row[name] is None for name in present):
                 continue
             http = head[edge + 4 :]
             payload = None
@@ -232,6 +233,7 @@ class WarcReader(DataSourceReader):
         self.bytes = int(options.get("partition_bytes", 64 << 20))
         self.payload = str(options.get("payload", "true")).lower() == "true"
         self.wanted: dict[str, set[str]] = {}
+        self.present: frozenset[str] = frozenset()
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
@@ -240,6 +242,8 @@ class WarcReader(DataSourceReader):
                 self._allow(name, {f.value})
             elif name in HEADERS and isinstance(f, In):
                 self._allow(name, set(f.value))
+            elif name in HEADERS and isinstance(f, IsNotNull):
+                self.present |= {name}
             else:
                 yield f
 
@@ -261,7 +265,7 @@ class WarcReader(DataSourceReader):
 
     def read(self, partition: Files) -> Iterator[tuple]:
         for path in partition.paths:
-            yield from read_records(path, self.wanted, self.payload)
+            yield from read_records(path, self.wanted, self.payload, self.present)
 
 
 @dataclass
