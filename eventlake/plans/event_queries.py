@@ -126,7 +126,7 @@ pack AS (SELECT strftime(make_timestamp(ds * 1000000), '%Y-%m-%d') AS day, start
 
 def packed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     events, lo, hi = view(spark, sf_dir)
-    return events, planning.plan(events, lo, hi, SPAN, TARGET)
+    return events, sinks.keep(planning.plan(events, lo, hi, SPAN, TARGET), "plan")
 
 
 @query("refined_bins", f"""WITH {EVENTS}, {BINS} SELECT s::BIGINT AS start, e::BIGINT AS "end", c::BIGINT AS count FROM bins""")

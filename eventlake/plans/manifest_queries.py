@@ -15,6 +15,7 @@ from eventlake.functions import times
 from eventlake.operators import chunks as ch
 from eventlake.plans import validation as va
 from eventlake.plans.event_queries import EVENTS, PIECE, pieces, view
+from eventlake.sources.sinks import keep
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -88,7 +89,7 @@ def manifest(spark, sf_dir) -> tuple[DataFrame, int, int]:
         times.chunk_path(F.col("day"), F.col("start"), F.col("end")).alias("path"),
         "n",
     )
-    return chunks, lo, hi
+    return keep(chunks, "manifest"), lo, hi
 
 
 def with_parents(chunks: DataFrame) -> DataFrame:

@@ -20,6 +20,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{place.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: made once, and read by all that follows."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _write_lines(lines: DataFrame, path: str) -> None:
     """Lines (day, chunk, line) in folders by day and chunk: the one shuffle of all rows.
 
