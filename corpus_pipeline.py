@@ -35,7 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    coded = pieces.encode(docs, pieces.Vocabulary.load().prepare())
+    coded = pieces.encode(docs, pieces.tables_of())
     return coded.withColumn("n_tokens", F.size("token_ids").cast("long"))
 
 

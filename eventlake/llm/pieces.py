@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -448,6 +448,12 @@ def decode_ids(ids: np.ndarray, offsets: np.ndarray, t: Tables) -> tuple[np.ndar
     return data[keep], ends - np.cumsum(drop)[ends]
 
 
+@lru_cache(maxsize=2)
+def tables_of(path: str = MODEL) -> Tables:
+    """The tables of a model, built once in a driver."""
+    return Vocabulary.load(path).prepare()
+
+
 def _lists(values: np.ndarray, offsets: np.ndarray, nulls: pa.Array) -> pa.Array:
     flat = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values, pa.int32()))
     if nulls.null_count == 0:
@@ -498,7 +504,7 @@ def decode(tokens: DataFrame, tables: Tables) -> DataFrame:
 
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, and whether decoding them gives its text back."""
-    tables = Vocabulary.load().prepare()
+    tables = tables_of()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.md5(F.col("text").cast("binary")).alias("before"))
     coded = encode(docs, tables).withColumn("ids", F.col("token_ids"))
     back = decode(coded, tables)
