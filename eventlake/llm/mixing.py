@@ -137,7 +137,7 @@ def apply_mix(docs: DataFrame) -> DataFrame:
     taken = cut(taken.dropDuplicates(["_mix_id", "_mix_h"]))
     keyed = docs.withColumn("_mix_key", hash_digits(docs["doc_id"], docs["text"]))
     same = F.col("doc_id").eqNullSafe(F.col("_mix_id")) & (F.col("_mix_key") == F.col("_mix_h"))
-    picked = keyed.join(small(taken, taken.count()), same)
+    picked = keyed.join(small(taken, taken.count(), 400_000), same)
     return picked.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*docs.columns)
 
 

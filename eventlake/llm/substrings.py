@@ -260,7 +260,8 @@ def first_segments(docs: DataFrame, rules: Repeats) -> DataFrame:
     wanted = firsts.join(mixed, "anchor").groupBy("doc").agg(F.collect_list("seg").alias("segs"))
     wanted = cut(wanted)
     keyed = base.withColumn("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)))
-    with_segs = keyed.join(small(wanted, wanted.count(), 200_000), keyed["doc_id"] == wanted["doc"])
+    listed = wanted.agg(F.sum(F.size("segs"))).first()[0] or 0  # lists are long for long texts, so segments are counted
+    with_segs = keyed.join(small(wanted, listed), keyed["doc_id"] == wanted["doc"])
     content = with_segs.select("doc_id", "text", "segs").mapInArrow(
         _wanted_words(rules), "anchor long, seg long, doc long, words binary"
     )
