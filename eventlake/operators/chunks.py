@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventlake.functions.times import day_of
 
-BROADCAST_CHUNKS = 200_000
+BROADCAST_CHUNKS = 500_000
 
 
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_CHUNKS) -> DataFrame:
@@ -28,7 +28,7 @@ def assign_chunks(events: DataFrame, chunks: DataFrame, zone: str = "UTC", keys:
     right = chunks.select(*[F.col(k).alias(f"chunk_{k}") for k in dict.fromkeys((*keys, "start", "end", "day"))])
     hours = F.sequence(F.floor(F.col("chunk_start") / 3600), F.floor((F.col("chunk_end") - 1) / 3600))
     right = right.withColumn("_at", F.explode(hours))
-    rows = chunks.count()
+    rows = right.count()  # chunks by hour: what would be broadcast
     inside = (F.col("t") >= F.col("chunk_start")) & (F.col("t") < F.col("chunk_end"))
     joined = left.join(small(right, rows), (F.col("_day") == F.col("chunk_day")) & (F.col("_hour") == F.col("_at")) & inside)
     return joined.drop("_hour", "_day", "_at")
