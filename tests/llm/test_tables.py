@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from eventlake.llm import bloom_lm, jaccard, mixing, quality, substrings
-from tests.llm.helpers import empty, frame, odd, odd_rows, words
+from tests.llm.helpers import empty, frame, odd_rows, words
 
 
 def crc(doc_id, m):
@@ -262,4 +262,3 @@ def test_suffix_automaton():
         inside = {tuple(x[i:j]) for x in added for i in range(len(x)) for j in range(i, len(x) + 1)}
         brute = [max((n for n in range(k + 2) if tuple(query[k + 1 - n : k + 1]) in inside), default=0) for k in range(len(query))]
         assert a.matched(query) == brute
-    assert odd is not None
