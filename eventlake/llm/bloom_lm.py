@@ -5,18 +5,16 @@ A count is read back by probing levels until one is missing, so a stored n-gram
 and too high only with the filter's error rate. The model interpolates bigrams with unigrams (both read
 from the filter): ``p(w|v) = (c(v,w) + m p(w)) / (c(v) + m)``.
 
-All tokens of all training texts are counted by shuffles with map-side sums. What goes to the workers
-is bounded by parameters, whatever the corpus: the filter has ``filter_bits``, the list of frequent
-words ``head_words``. If the bigrams of the corpus need more keys than the filter has room for, the
-least count of a stored bigram rises until they fit; bigrams are stored between words of the
-``bigram_words`` most frequent ones. Others have their unigram probability.
-
-The base score needs exact counts of all words. Frequent words are looked up in the broadcast list;
-the rest of a document's words, few by definition, are joined with the table of counts.
+All words and bigrams of all training texts are stored, those seen once too, whatever the corpus. The
+filter is dealt into segments by n-gram hash, whose number follows the corpus and whose bits follow
+their keys; no task and no driver holds more than a segment. Texts go into bundles of bounded size; a
+bundle sends each segment its distinct n-grams with their training counts (so a common n-gram is one
+entry of a bundle), the segment sums them, builds its part of the filter and answers every bundle with
+the exact counts of its words and the levels read for words and bigrams. A bundle and its answers meet
+by a last shuffle, where texts are scored.
 
 Defined results:
 * a null text is an empty one: it has the end token alone;
-* of words and counts tied at the end of the frequent list, all or none are in it;
 * rows are scored row by row, so repeated rows and repeated or null ids get their own results;
 * without training texts, N and V are 0 and no token is known; an empty table gives an empty result;
 * extra columns are ignored.
@@ -29,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.llm import text as tx
@@ -42,21 +40,25 @@ SMOOTHING = 0.1
 
 @dataclass(frozen=True)
 class Settings:
-    #: Bits of the filter, as a power of two, and bits set by a key.
-    filter_bits: int = 28
+    #: Bits set by a key.
     probes: int = 4
     #: Filter bits to each key, at least.
-    room: int = 8
-    head_words: int = 1 << 20
-    bigram_words: int = 1 << 16
+    room: int = 32
+    #: Tokens of a bundle of texts (a longer text is one by itself), and of a segment on average, at most.
+    bundle_tokens: int = 1 << 21
+    segment_tokens: int = 1 << 20
+    least_segments: int = 256
     #: Pseudo-count m of the unigram model behind a bigram.
     backoff: float = 50.0
+    #: These bound nothing: sizes follow the counted keys. They are here for callers that name them.
+    filter_bits: int = 28
+    head_words: int = 1 << 20
+    bigram_words: int = 1 << 16
 
 
 # -- the filter ---------------------------------------------------------------------------------
 
 BLOCK_BITS = 9
-SEGMENT_BLOCKS = 10
 
 
 def quantised(count: np.ndarray) -> np.ndarray:
@@ -74,22 +76,31 @@ def level_keys(grams: np.ndarray, level: int | np.ndarray) -> np.ndarray:
     return tx.mix64(grams + np.asarray(level).astype(_U) * _U(0xD1B54A32D192ED03))
 
 
-def _places(keys: np.ndarray, s: Settings, probe: int) -> tuple[np.ndarray, np.ndarray]:
-    """(word, bit mask) of one probe: each key stays in one block of 512 bits."""
-    block = keys >> _U(64 - (s.filter_bits - BLOCK_BITS))
-    bit = (keys >> _U(BLOCK_BITS * probe)) & _U((1 << BLOCK_BITS) - 1)
-    return (block * _U(8) + (bit >> _U(6))).astype(np.int64), _U(1) << (bit & _U(63))
+def _places(keys: np.ndarray, bits: int, probe: int) -> np.ndarray:
+    """Bit of one probe in a filter of 2**bits: each key stays in one block of 512 bits."""
+    block = keys >> _U(64 - (bits - BLOCK_BITS))
+    return ((block << _U(BLOCK_BITS)) | ((keys >> _U(BLOCK_BITS * probe)) & _U((1 << BLOCK_BITS) - 1))).astype(np.int64)
 
 
 class LogFilter:
-    def __init__(self, words: np.ndarray, s: Settings) -> None:
-        self.words, self.s = words, s
+    """A filter of distinct n-grams with their counts, sized for its keys."""
+
+    def __init__(self, grams: np.ndarray, n: np.ndarray, s: Settings) -> None:
+        level = quantised(n)
+        self.probes = s.probes
+        self.bits = max(BLOCK_BITS + 1, (s.room * int(level.sum())).bit_length())
+        flags = np.zeros(1 << self.bits, bool)
+        for k in range(1, int(level.max(initial=0)) + 1):
+            keys = level_keys(grams[level >= k], k)
+            for probe in range(self.probes):
+                flags[_places(keys, self.bits, probe)] = True
+        self.words = np.packbits(flags, bitorder="little")
 
     def contains(self, keys: np.ndarray) -> np.ndarray:
         live = np.arange(len(keys))
-        for probe in range(self.s.probes):
-            at, mask = _places(keys[live], self.s, probe)
-            live = live[(self.words[at] & mask) != 0]
+        for probe in range(self.probes):
+            at = _places(keys[live], self.bits, probe)
+            live = live[(self.words[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
         out = np.zeros(len(keys), bool)
         out[live] = True
         return out
@@ -107,43 +118,12 @@ class LogFilter:
 
 
 def build_filter(grams: DataFrame, s: Settings) -> LogFilter:
-    """A filter of (gram, n) rows, made in segments on the workers; its size is fixed by the settings."""
-    shift = s.filter_bits - BLOCK_BITS
-    segment_bits = max(0, shift - SEGMENT_BLOCKS)
-
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            gram = batch.column("gram").to_numpy().view(_U)
-            level = quantised(batch.column("n").to_numpy())
-            each = np.repeat(gram, level)
-            within = np.arange(len(each)) - np.repeat(np.cumsum(level) - level, level) + 1
-            key = level_keys(each, within)
-            segment = (key >> _U(64 - segment_bits)).astype(np.int32) if segment_bits else np.zeros(len(key), np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(segment), pa.array(tx.signed(key))], ["segment", "key"])
-
-    size = 1 << (s.filter_bits - segment_bits - 6)
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made: dict[int, np.ndarray] = {}
-        for batch in batches:
-            segment, key = batch.column("segment").to_numpy(), batch.column("key").to_numpy().view(_U)
-            for one in np.unique(segment).tolist():
-                bits = made.setdefault(one, np.zeros(size, _U))
-                for probe in range(s.probes):
-                    at, mask = _places(key[segment == one], s, probe)
-                    np.bitwise_or.at(bits, at - one * size, mask)
-        if made:
-            arrays = [pa.array(list(made), pa.int32()), pa.array([b.tobytes() for b in made.values()], pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["segment", "bits"])
+    """A filter of (gram, n) rows that fit the driver, as one segment."""
+    got = grams.select("gram", "n").toArrow()
+    return LogFilter(got.column("gram").to_numpy().view(_U), got.column("n").to_numpy(), s)
 
-    dealt = grams.select("gram", "n").mapInArrow(keys, "segment int, key long").repartition("segment")
-    words = np.zeros(1 << (s.filter_bits - 6), _U)
-    for row in dealt.mapInArrow(fill, "segment int, bits binary").collect():
-        words[row["segment"] * size : (row["segment"] + 1) * size] = np.frombuffer(row["bits"], _U)
-    return LogFilter(words, s)
 
-
-# -- tokens and counts --------------------------------------------------------------------------
+# -- bundles of texts ---------------------------------------------------------------------------
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -162,140 +142,175 @@ def bigrams(hashes: np.ndarray) -> np.ndarray:
     return tx.mix64(before * _U(0x9FB21C651E98DF25) + hashes)
 
 
-def _count_batches(batches: Iterator[pa.RecordBatch], pick) -> Iterator[pa.RecordBatch]:
-    """Counts of what ``pick`` takes from the tokens, summed over each batch."""
-    for batch in batches:
-        found = [pick(*tokens(data, offsets)) for _, _, data, offsets in tx.slices(batch.column("text"))]
-        gram, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, _U), np.zeros(0, np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(tx.signed(gram)), pa.array(n.astype(np.int64))], ["gram", "n"])
+def _pack(values: np.ndarray) -> bytes:
+    """Size and compressed bytes of small numbers."""
+    raw = values.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True) if raw else b""
+
 
+def _unpack(packed: bytes, dtype) -> np.ndarray:
+    if not packed:
+        return np.zeros(0, dtype)
+    return np.frombuffer(pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "zstd", asbytes=True), dtype)
 
-def _counted(texts: DataFrame, pick) -> DataFrame:
-    rows = texts.mapInArrow(lambda b: _count_batches(b, pick), "gram long, n long")
-    return rows.groupBy("gram").agg(F.sum("n").alias("n"))
+
+BUNDLES = (
+    "doc_id array<long>, held_out array<boolean>, sizes array<long>, words binary, tokens binary, "
+    "n_tokens long, train_tokens long"
+)
 
 
-def _least_count(counts: DataFrame, most: int) -> int | None:
-    """The least count whose words, with all more frequent ones, are at most ``most``."""
-    by_count = counts.groupBy("n").agg(F.count("*").alias("words"))
-    run = by_count.withColumn("upto", F.sum("words").over(Window.orderBy(F.col("n").desc())))
-    return run.where(F.col("upto") <= most).agg(F.min("n")).first()[0]
+def _names(schema: str) -> list[str]:
+    return [f.split()[0] for f in schema.split(", ")]
 
 
-def _sorted_arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """A bounded table of (gram, n) as arrays sorted by gram."""
-    got = rows.toArrow()
-    gram, n = got.column("gram").to_numpy().view(_U), got.column("n").to_numpy()
-    order = np.argsort(gram)
-    return gram[order], n[order]
+def _bundle_rows(s: Settings):
+    """Rows of texts as bundles: distinct words by hash, and the place of each token's word among them."""
+
+    def bundle(parts: list[tuple]) -> pa.RecordBatch:
+        doc_id, held_out = (pa.concat_arrays([p[k] for p in parts]) for k in (0, 1))
+        sizes = np.concatenate([p[2] for p in parts])
+        word, tokens_at = np.unique(np.concatenate([p[3] for p in parts]), return_inverse=True)
+        train = int(sizes[~held_out.to_numpy(zero_copy_only=False)].sum())
+        ends = pa.array([0, len(sizes)], pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, x) for x in (doc_id, held_out, pa.array(sizes))]
+        blobs = [pa.array([word.tobytes()], pa.binary()), pa.array([_pack(tokens_at.astype(np.uint32))], pa.binary())]
+        return pa.RecordBatch.from_arrays([*lists, *blobs, pa.array([int(sizes.sum())]), pa.array([train])], _names(BUNDLES))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
+        for batch in batches:
+            for lo, hi, data, offsets in tx.slices(batch.column("text")):
+                hashes, at = tokens(data, offsets)
+                if parts and held + len(hashes) > s.bundle_tokens:
+                    yield bundle(parts)
+                    parts, held = [], 0
+                part = batch.slice(lo, hi - lo)
+                parts.append((part.column("doc_id"), part.column("held_out"), np.diff(at), hashes))
+                held += len(hashes)
+        if parts:
+            yield bundle(parts)
+
+    return work
 
 
 @dataclass
-class Model:
-    """What scoring needs: exact counts of frequent words, the bigram words, totals and the filter."""
-
-    head: tuple[np.ndarray, np.ndarray]
-    linked: np.ndarray
-    train_tokens: int
-    distinct: int
-    filter: LogFilter
-    settings: Settings
-
-
-def learn(texts: DataFrame, s: Settings = Settings()) -> tuple[Model, DataFrame]:
-    """(model, exact counts of all words) of the training texts."""
-    counts = cut(_counted(texts, lambda h, at: h))
-    total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    least = _least_count(counts, s.head_words)
-    head = _sorted_arrays(counts.where(F.col("n") >= least) if least else counts.limit(0))
-    least_linked = _least_count(counts, s.bigram_words)
-    linked = np.sort(head[0][head[1] >= least_linked]) if least and least_linked else np.zeros(0, _U)
-    sent = texts.sparkSession.sparkContext.broadcast(linked)
-
-    def pairs(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
-        ok = _is_in(hashes, sent.value)
-        ok[1:] &= ok[:-1].copy()
-        ok[at[:-1]] = False
-        return bigrams(hashes)[ok]
-
-    both = cut(_counted(texts, pairs).where("n > 1"))
-    # Room for the bigrams: the least count rises until their keys fit.
-    room = (1 << s.filter_bits) // s.room
-    steps = [2, *(k << j for j in range(1, 40) for k in (2, 3))]
-    level = F.floor(F.log2(F.col("n").cast("double"))) + 1
-    words = counts.where(F.col("n") >= least) if least else counts.limit(0)
-    used = words.agg(F.coalesce(F.sum(level), F.lit(0))).first()[0]
-    needs = both.agg(*[F.coalesce(F.sum(F.when(F.col("n") >= t, level)), F.lit(0)).alias(f"t{t}") for t in steps]).first()
-    stored = next((t for t in steps if used + needs[f"t{t}"] <= room), steps[-1])
-    made = build_filter(words.unionByName(both.where(F.col("n") >= stored)), s)
-    return Model(head, linked, int(total["n"] or 0), int(total["v"] or 0), made, s), counts
-
-
-def _is_in(values: np.ndarray, among: np.ndarray) -> np.ndarray:
-    if not len(among):
-        return np.zeros(len(values), bool)
-    return among[np.minimum(np.searchsorted(among, values), len(among) - 1)] == values
+class Bundle:
+    """A bundle as read back; n-grams are sorted by hash, so those of a segment are neighbours."""
 
+    sizes: np.ndarray
+    held_out: np.ndarray
+    words: np.ndarray
+    #: Of each token, the place of its word.
+    at: np.ndarray
+    #: Tokens that are not the first of their text, and of each the place of its bigram.
+    later: np.ndarray
+    pairs: np.ndarray
+    pair_at: np.ndarray
 
-# -- scoring ------------------------------------------------------------------------------------
+    @classmethod
+    def of(cls, columns: dict) -> Bundle:
+        sizes, held_out = np.array(columns["sizes"], np.int64), np.array(columns["held_out"], bool)
+        words, at = np.frombuffer(columns["words"], _U), _unpack(columns["tokens"], np.uint32)
+        begins = np.zeros(len(at), bool)
+        begins[np.cumsum(sizes) - sizes] = True
+        later = np.flatnonzero(~begins)
+        pairs, pair_at = np.unique(bigrams(words[at])[later], return_inverse=True)
+        return cls(sizes, held_out, words, at, later, pairs, pair_at)
 
 
-def log_probabilities(model: Model, hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """log10 of the probability of each token behind the one before it in its text."""
-    s = model.settings
-    word, inverse = np.unique(hashes, return_inverse=True)
-    count = restored(model.filter.levels(word))
-    bottom = model.train_tokens + SMOOTHING * (model.distinct + 1)
-    alone = ((count + SMOOTHING) / bottom)[inverse]
-    linked = _is_in(word, model.linked)[inverse]
-    behind = linked.copy()
-    behind[1:] &= linked[:-1]
-    behind[at[:-1]] = False
-    index = np.flatnonzero(behind)
-    out = alone.copy()
-    if len(index):
-        pair, back = np.unique(bigrams(hashes)[index], return_inverse=True)
-        before = count[inverse[index - 1]]
-        together = np.minimum(restored(model.filter.levels(pair))[back], before)
-        out[index] = (together + s.backoff * alone[index]) / (before + s.backoff)
-    return np.log10(np.minimum(out, 1.0))
-
-
-SCORED = (
-    "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, "
-    "rare array<long>, rare_n array<int>"
-)
+# -- counts and the filter's segments -----------------------------------------------------------
 
+POSTINGS = "bundle long, segment int, words binary, word_n binary, pairs binary, pair_n binary"
+ANSWERS = "bundle long, segment int, word_n binary, word_levels binary, pair_levels binary, distinct long"
 
-def _score_batches(batches: Iterator[pa.RecordBatch], m: Model) -> Iterator[pa.RecordBatch]:
-    names = [f.split()[0] for f in SCORED.split(", ")]
-    bottom = m.train_tokens + SMOOTHING * (m.distinct + 1)
-    for batch in batches:
-        for lo, hi, data, offsets in tx.slices(batch.column("text")):
-            hashes, at = tokens(data, offsets)
-            n = hi - lo
-            size = np.diff(at)
-            owner = np.repeat(np.arange(n), size)
-            score = np.bincount(owner, log_probabilities(m, hashes, at), n)
-            keys, counts = m.head
-            frequent = _is_in(hashes, keys)
-            base = np.zeros(n)
-            if frequent.any():
-                c = counts[np.searchsorted(keys, hashes[frequent])]
-                base = np.bincount(owner[frequent], np.log10((c + SMOOTHING) / bottom), n)
-            rest, of = hashes[~frequent], owner[~frequent]
-            order = np.lexsort((rest, of))
-            rest, of = rest[order], of[order]
-            new = np.ones(len(rest), bool)
-            new[1:] = (rest[1:] != rest[:-1]) | (of[1:] != of[:-1])
-            first = np.flatnonzero(new)
-            times = np.diff(np.append(first, len(rest))).astype(np.int32)
-            ends = np.searchsorted(of[first], np.arange(n + 1)).astype(np.int32)
-            part = batch.slice(lo, n)
-            columns = [part.column("doc_id"), part.column("held_out"), pa.array(size.astype(np.int64))]
-            columns += [pa.array(np.bincount(owner[frequent], minlength=n).astype(np.int64)), pa.array(base), pa.array(score)]
-            columns += [pa.ListArray.from_arrays(ends, pa.array(tx.signed(rest[first]))), pa.ListArray.from_arrays(ends, pa.array(times))]
-            yield pa.RecordBatch.from_arrays(columns, names)
+
+def segment_bits(tokens: int, s: Settings) -> int:
+    """Segments, as a power of two, for a corpus of so many tokens."""
+    return max(s.least_segments - 1, (tokens - 1) // s.segment_tokens).bit_length()
+
+
+def _posting_rows(bits: int):
+    """The distinct n-grams of each bundle with their training counts, by segment."""
+    bounds = np.arange(1, 1 << bits, dtype=_U) << _U(64 - bits)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                b = Bundle.of(row)
+                train = np.repeat(~b.held_out, b.sizes)
+                columns = []
+                for grams, n in (
+                    (b.words, np.bincount(b.at, train, len(b.words))),
+                    (b.pairs, np.bincount(b.pair_at, train[b.later], len(b.pairs))),
+                ):
+                    n = n.astype(np.uint32)
+                    ends = [0, *np.searchsorted(grams, bounds).tolist(), len(grams)]
+                    columns.append(pa.array([grams[lo:hi].tobytes() for lo, hi in zip(ends, ends[1:])], pa.binary()))
+                    columns.append(pa.array([_pack(n[lo:hi]) for lo, hi in zip(ends, ends[1:])], pa.binary()))
+                ids = [pa.array(np.full(1 << bits, row["bundle"])), pa.array(np.arange(1 << bits, dtype=np.int32))]
+                yield pa.RecordBatch.from_arrays(ids + columns, _names(POSTINGS))
+
+    return work
+
+
+def _summed(grams: list[bytes], n: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(distinct n-grams, their counts, places of each list's n-grams among them)."""
+    lists = [np.frombuffer(g, _U) for g in grams]
+    found, inverse = np.unique(np.concatenate(lists), return_inverse=True)
+    total = np.bincount(inverse, np.concatenate([_unpack(x, np.uint32) for x in n]), len(found)).astype(np.int64)
+    return found, total, np.split(inverse, np.cumsum([len(x) for x in lists])[:-1])
+
+
+def _answers(s: Settings):
+    """A segment: its part of the filter, and what it says to each bundle."""
+
+    def work(rows: pa.Table) -> pa.Table:
+        got = rows.to_pydict()
+        words, word_n, word_places = _summed(got["words"], got["word_n"])
+        pairs, pair_n, pair_places = _summed(got["pairs"], got["pair_n"])
+        grams, n = np.concatenate([words, pairs]), np.concatenate([word_n, pair_n])
+        made = LogFilter(grams[n > 0], n[n > 0], s)
+        word_level, pair_level = made.levels(words).astype(np.int8), made.levels(pairs).astype(np.int8)
+        distinct = np.zeros(len(word_places), np.int64)
+        distinct[0] = (word_n > 0).sum()
+        blobs = [
+            [_pack(word_n[p]) for p in word_places], [_pack(word_level[p]) for p in word_places], [_pack(pair_level[p]) for p in pair_places]
+        ]
+        columns = [pa.array(got["bundle"]), pa.array(got["segment"], pa.int32()), *(pa.array(b, pa.binary()) for b in blobs), pa.array(distinct)]
+        return pa.Table.from_arrays(columns, _names(ANSWERS))
+
+    return work
+
+
+# -- scoring ------------------------------------------------------------------------------------
+
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
+
+def _score_bundle(bottom: float, s: Settings):
+    def work(bundle: pa.Table, answers: pa.Table) -> pa.Table:
+        row = bundle.to_pylist()[0]
+        b = Bundle.of(row)
+        got = answers.sort_by("segment").to_pydict()
+        exact = np.concatenate([_unpack(x, np.int64) for x in got["word_n"]])
+        count, together = (
+            restored(np.concatenate([_unpack(x, np.int8) for x in got[k]]).astype(np.int64)) for k in ("word_levels", "pair_levels")
+        )
+        alone = ((count + SMOOTHING) / bottom)[b.at]
+        before = count[b.at[b.later - 1]]
+        chance = alone.copy()
+        chance[b.later] = (np.minimum(together[b.pair_at], before) + s.backoff * alone[b.later]) / (before + s.backoff)
+        n = len(b.sizes)
+        owner = np.repeat(np.arange(n), b.sizes)
+        base = np.bincount(owner, np.log10((exact + SMOOTHING) / bottom)[b.at], n)
+        known = np.bincount(owner, (exact > 0)[b.at], n).astype(np.int64)
+        score = np.bincount(owner, np.log10(np.minimum(chance, 1.0)), n)
+        columns = [pa.array(row["doc_id"], pa.int64()), pa.array(b.held_out), pa.array(b.sizes), pa.array(known), pa.array(base), pa.array(score)]
+        return pa.Table.from_arrays(columns, _names(SCORED))
+
+    return work
 
 
 def score(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -303,25 +318,15 @@ def score(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     base = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", (crc_remainder(F.col("doc_id"), 10) == 0).alias("held_out")
     )
-    model, counts = learn(base.where("NOT held_out").select("text"), s)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    scored = cut(base.mapInArrow(lambda batches: _score_batches(batches, sent.value), SCORED)).withColumn("row", F.monotonically_increasing_id())
-    bottom = model.train_tokens + SMOOTHING * (model.distinct + 1)
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("r")).select("row", F.col("r.rare").alias("gram"), F.col("r.rare_n").alias("times"))
-    joined = rare.join(counts, "gram", "left").withColumn("c", F.coalesce("n", F.lit(0)))
-    sums = joined.groupBy("row").agg(
-        F.sum(F.col("times") * F.log10((F.col("c") + SMOOTHING) / bottom)).alias("rare_base"),
-        F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-    )
-    return scored.drop("rare", "rare_n").join(sums, "row", "left").select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(model.train_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"),
-        "score",
-    )
+    bundles = cut(base.mapInArrow(_bundle_rows(s), BUNDLES).withColumn("bundle", F.monotonically_increasing_id()))
+    sums = bundles.agg(F.sum("n_tokens").alias("all"), F.sum("train_tokens").alias("train")).first()
+    bits = segment_bits(sums["all"] or 0, s)
+    postings = bundles.mapInArrow(_posting_rows(bits), POSTINGS)
+    answers = cut(postings.groupBy("segment").applyInArrow(_answers(s), ANSWERS))
+    train, distinct = int(sums["train"] or 0), int(answers.agg(F.sum("distinct")).first()[0] or 0)
+    bottom = train + SMOOTHING * (distinct + 1)
+    scored = bundles.groupBy("bundle").cogroup(answers.groupBy("bundle")).applyInArrow(_score_bundle(bottom, s), SCORED)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op6_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -121,6 +121,24 @@ def test_bloom_lm(spark, settings):
     assert bloom_lm.score(empty(spark), settings).count() == 0
 
 
+@pytest.mark.parametrize("settings", [bloom_lm.Settings(room=4096), bloom_lm.Settings(room=4096, bundle_tokens=300, least_segments=4, segment_tokens=500, head_words=40, bigram_words=20)])
+def test_bloom_lm_leaves_nothing_out(spark, settings):
+    """Scores are those of all words and bigrams, seen once or often, rare or frequent."""
+    rows = odd_rows() + [(i, f"once{i} only{i} here the end", "en", "s", 1) for i in range(1000, 1040)]
+    got = bloom_lm.score(frame(spark, rows), settings).collect()
+    tokens = [(r[0], [w.translate({c: c + 32 for c in range(65, 91)}) for w in words(r[1])] + ["\0"]) for r in rows]
+    ones = Counter(w for i, t in tokens if crc(i, 10) for w in t)
+    twos = Counter(p for i, t in tokens if crc(i, 10) for p in zip(t, t[1:]))
+    middle = lambda n: float(bloom_lm.restored(bloom_lm.quantised(np.array([n])))[0]) if n else 0.0
+    alone = lambda w: (middle(ones[w]) + 0.1) / (sum(ones.values()) + 0.1 * (len(ones) + 1))
+    expected = []
+    for i, t in tokens:
+        p = [alone(t[0])] + [(min(middle(twos[v, w]), middle(ones[v])) + 50 * alone(w)) / (middle(ones[v]) + 50) for v, w in zip(t, t[1:])]
+        expected.append((i, len(t), round(sum(log10(min(1, x)) for x in p), 6)))
+    same = Counter(map(str, expected)) & Counter(str((r.doc_id, r.n_tokens, round(r.score, 6))) for r in got)
+    assert len(got) == len(expected) and same.total() == len(expected)  # with so much room the filter does not err here
+
+
 def test_log_filter(spark):
     rng = np.random.default_rng(4)
     grams = rng.integers(-(2**62), 2**62, 4000)
