@@ -8,7 +8,10 @@ less, and a threat counts only with a target. A document's score is the noisy-or
 
 Insult patterns (whole words and word beginnings) with their weights are learned from a bounded sample
 of labelled documents, at most ``sample`` rows of each label, on top of the small seed lists below. The sample
-is drawn by hash, so reruns agree. All texts are scored in full.
+is drawn by hash, so reruns agree. A pattern needs ``least_rows`` toxic texts, however many others there are, so
+patterns of small languages count; its weight follows the lower bound of its precision. One that is certain is
+enough for a text; weaker ones are small pieces of evidence, of which a text needs several different ones. No
+list of patterns is cut. All texts are scored in full.
 
 Defined results:
 * null and empty texts, and texts without a matched clause, score 0;
@@ -55,13 +58,16 @@ class Grammar:
     threat: float = 0.6
     #: Words that a negation reaches.
     reach: int = 3
-    #: Learning: labelled rows of each label, beginnings in bytes, least share of toxic rows with a pattern.
+    #: Learning: labelled rows of each label, beginnings in bytes, least toxic texts with a pattern.
     sample: int = 6000
-    beginnings: tuple[int, ...] = (4, 5, 6, 7)
-    least_rows: int = 5
-    least_share: float = 0.015
-    least_precision: float = 0.94
-    patterns: int = 4096
+    beginnings: tuple[int, ...] = (4, 5, 6, 7, 8, 9, 10, 11, 12)
+    least_rows: int = 4
+    #: Lower bounds of precision (of so many standard errors) that a pattern needs, and that make it certain.
+    least_precision: float = 0.3
+    certain: float = 0.9
+    errors: float = 1.96
+    #: Factor of patterns that aren't certain.
+    weak: float = 0.3
 
 
 # -- transducers --------------------------------------------------------------------------------
@@ -165,6 +171,12 @@ class Lexicon:
                 hit, at = _find(keys, hashes)
                 np.maximum.at(weight, index[hit], chance[at])
                 symbol[index[hit]] = INSULT
+        # A word of weak evidence is one piece of it in its text, however often it stands there.
+        weak = np.flatnonzero((symbol == INSULT) & (weight < rules.threshold))
+        same = spans.hash(words.start[weak], words.end[weak]) + words.owner()[weak].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        again = np.ones(len(weak), bool)
+        again[np.unique(same, return_index=True)[1]] = False
+        symbol[weak[again]], weight[weak[again]] = OTHER, 0.0
         return symbol, weight
 
 
@@ -219,12 +231,14 @@ def learn(docs: DataFrame, labels: DataFrame, rules: Grammar = Grammar()) -> Lex
     )
     # Rows of the sample stand for all labelled rows of their label.
     weigh = {y: everywhere.get(y, 0) / max(1, rows.get(y, 0)) for y in (0, 1)}
-    bad, good = F.col("toxic") * weigh[1], F.col("clean") * weigh[0]
-    chance = (bad / (bad + good + 0.5)).alias("chance")
-    least = max(rules.least_rows, int(rules.least_share * rows[1]))
-    found = counts.where(F.col("toxic") >= least).select("kind", "hash", "toxic", chance)
-    found = found.where(F.col("chance") >= rules.least_precision).orderBy(F.col("toxic").desc(), "kind", "hash").limit(rules.patterns)
-    return Lexicon.of([(r["kind"], r["hash"], r["chance"]) for r in found.collect()])
+    # The lower bound (Wilson's) of a pattern's toxic share in the sample, then the share it means for all labelled rows.
+    n, z2 = F.col("toxic") + F.col("clean"), rules.errors**2
+    share = F.col("toxic") / n
+    low = (share + z2 / (2 * n) - rules.errors * F.sqrt(share * (1 - share) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+    precise = (low * weigh[1] / (low * weigh[1] + (1 - low) * weigh[0])) if rows.get(0) else low
+    found = counts.where(F.col("toxic") >= rules.least_rows).select("kind", "hash", precise.alias("low")).where(F.col("low") >= rules.least_precision)
+    chance = F.when(F.col("low") >= rules.certain, F.col("low")).otherwise(F.col("low") * rules.weak)
+    return Lexicon.of([(r["kind"], r["hash"], r["chance"]) for r in found.select("kind", "hash", chance.alias("chance")).collect()])
 
 
 # -- scoring ------------------------------------------------------------------------------------

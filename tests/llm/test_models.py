@@ -106,6 +106,17 @@ def test_toxicity_held_out(spark):
     assert counts.get((1, 1), 0) >= 0.85 * (counts.get((1, 1), 0) + counts.get((1, 0), 0)) and counts.get((0, 1), 0) <= 2
 
 
+def test_toxicity_held_out_in_all_languages(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    found = toxicity.scores(docs, toxicity.learn(docs, labels)).where("held_out").join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    got = {(r.lang, r.toxic, r.predicted): r["count"] for r in found.groupBy("lang", "toxic", "predicted").count().collect()}
+    print(got)
+    for lang, least in (("en", 0.9), ("de", 0.85), ("fr", 0.9), ("es", 0.5)):
+        n = [[got.get((lang, y, p), 0) for p in (0, 1)] for y in (0, 1)]
+        assert n[1][1] >= least * sum(n[1]), lang
+        assert n[0][1] <= 0.03 * sum(n[0]), lang
+
+
 def _score(text, lexicon, rules):
     data = np.frombuffer(text.encode(), np.uint8)
     return toxicity.score_texts(data, np.array([0, len(data)]), lexicon, toxicity.machine(rules), rules)[0][0]
