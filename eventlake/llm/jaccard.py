@@ -39,6 +39,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from eventlake.llm import text as tx
 from eventlake.llm.common import cut, small, table
@@ -224,8 +225,8 @@ def components(edges: DataFrame) -> DataFrame:
     return label
 
 
-def classes(docs: DataFrame, rules: Forest = Forest()) -> DataFrame:
-    """One row per row of ``docs``: doc_id, node (its shingle set), class_id and n_links."""
+def _labelled(docs: DataFrame, rules: Forest = Forest()) -> DataFrame:
+    """Rows of ``classes`` with the label of their component."""
     prefix = prefix_length(rules)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = cut(base.mapInArrow(_node_rows(rules, prefix), "doc_id long, node long, prefixes array<long>"))
@@ -265,10 +266,10 @@ def classes(docs: DataFrame, rules: Forest = Forest()) -> DataFrame:
     named = nodes.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("key").alias("class_key"))
     facts = named.join(least, "label").join(links, "node", "left").select(
-        "node", "key", "class_key", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+        "node", "key", "label", "class_key", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
     # Nodes without links need no row: their document is its own class.
-    facts = cut(facts.where("n_links > 0 OR class_key <> key").select("node", "class_key", "n_links"))
+    facts = cut(facts.where("n_links > 0 OR class_key <> key").select("node", "label", "class_key", "n_links"))
     found = rows.select("doc_id", "node").join(small(facts, facts.count()), "node", "left")
     own_class = F.coalesce(F.col("class_key"), F.col("doc_id"))
     return found.select(
@@ -276,15 +277,45 @@ def classes(docs: DataFrame, rules: Forest = Forest()) -> DataFrame:
         "node",
         F.when(own_class != _NO_ID, own_class).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("label", "node").alias("label"),
     )
 
 
+def classes(docs: DataFrame, rules: Forest = Forest()) -> DataFrame:
+    """One row per row of ``docs``: doc_id, node (its shingle set), class_id and n_links."""
+    return _labelled(docs, rules).drop("label")
+
+
+def _coded(docs: DataFrame, rules: Forest) -> DataFrame:
+    """Rows of ``docs`` whole, with their ids and nodes."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offsets in tx.slices(batch.column("text")):
+                found, at = shingles(tx.split_words(data, offsets), rules)
+                node = pa.array(tx.signed(_set_hash(found, at)), pa.int64(), mask=np.diff(at) == 0)
+                part = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("id"), node], ["row", "id", "node"])
+
+    schema = StructType([StructField("row", docs.schema), StructField("id", LongType()), StructField("node", LongType())])
+    return docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(work, schema)
+
+
 def keep_one(docs: DataFrame, rules: Forest = Forest()) -> DataFrame:
-    """One row of each class: that with the smallest id. Rows in no class of several all stay."""
-    marked = cut(classes(docs, rules))
-    gone = marked.where("class_id IS NOT NULL AND doc_id <> class_id").select("doc_id").distinct()
-    gone = cut(gone)
-    return docs.join(small(gone, gone.count()), "doc_id", "left_anti").select(*docs.columns)
+    """The document with the smallest id of each class; rows that repeat its id all stay.
+
+    A null id is the smallest; of a class with several rows without id, one such row stays. Rows without
+    words all stay. Rows are judged by id and text, so another text under the id of a copy stays.
+    """
+    marked = cut(_labelled(docs, rules).where("node IS NOT NULL"))
+    gone = marked.where(F.col("doc_id") != F.coalesce("class_id", F.lit(_NO_ID)))
+    gone = cut(gone.select(F.col("doc_id").alias("id"), "node").distinct())
+    named = _coded(docs.where(F.col("doc_id").cast("long").isNotNull()), rules).join(small(gone, gone.count()), ["id", "node"], "left_anti")
+    nameless = _coded(docs.where(F.col("doc_id").cast("long").isNull()), rules)
+    label = cut(marked.where("doc_id IS NULL").select("node", "label").distinct())
+    first = nameless.join(small(label, label.count()), "node").dropDuplicates(["label"])
+    rows = named.select("row").unionByName(first.select("row")).unionByName(nameless.where("node IS NULL").select("row"))
+    return rows.select("row.*")
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

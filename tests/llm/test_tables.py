@@ -220,6 +220,16 @@ def test_keep_one(spark):
     assert jaccard.classes(empty(spark)).count() == 0 and jaccard.keep_one(empty(spark)).count() == 0
 
 
+def test_keep_one_with_null_and_shared_ids(spark):
+    copy, other = "one two three four five six seven", "quite another text that has its own words"
+    chain = "red orange yellow green blue indigo violet"
+    rows = [(i, t, "en", "s", 1) for i, t in [(None, copy), (None, copy), (3, copy), (4, copy), (5, chain), (6, chain), (6, other), (None, None), (None, "")]]
+    rows += [(None, "alone without id but with words", "en", "s", 1)]
+    kept = sorted(str((r.doc_id, r.text)) for r in jaccard.keep_one(frame(spark, rows)).collect())
+    expected = [(None, copy), (5, chain), (6, other), (None, None), (None, ""), (None, "alone without id but with words")]
+    assert kept == sorted(map(str, expected))
+
+
 def test_prefix_is_shortened_to_the_target_recall():
     rules = jaccard.Forest()
     d = jaccard.prefix_length(rules)
