@@ -102,6 +102,78 @@ def test_compression_bands():
     assert good.tolist() == [False, False, True, False] and bad[3] > 0.25
 
 
+def plain_verdict(text, lang, bands, learned):
+    """The verdict of one text by the rules' words, one compression at a time."""
+    import math
+
+    import zstandard
+
+    raw = (text or "").encode()
+    if base_rules(text)[-1]:
+        return False
+    ratio = lambda b: len(zstandard.ZstdCompressor(level=3, write_content_size=False).compress(b)) / len(b)
+    if len(raw) < 128:
+        return True
+    rules = learned.get(lang, learned[None])
+    x = math.log2(len(raw))
+    inside = min(max(x, rules.knots[0]), rules.knots[-1])
+    a, b, c = rules.curve
+    middle = a * inside**2 + b * inside + c + (2 * a * inside + b) * (x - inside)
+    least = middle + np.interp(inside, rules.knots, rules.below) - rules.widening * abs(x - inside)
+    most = middle + np.interp(inside, rules.knots, rules.above) + rules.widening * abs(x - inside)
+    ok = least <= ratio(raw) <= most
+    if len(raw) >= 1024:
+        cuts = list(range(0, len(raw), 2048))
+        if len(cuts) > 1 and len(raw) - cuts[-1] < 1024:
+            cuts.pop()
+        parts = [raw[i:j] for i, j in zip(cuts, [*cuts[1:], len(raw)])]
+        outside = sum(len(p) for p in parts if not rules.chunk[0] <= ratio(p) <= rules.chunk[1])
+        ok = ok and outside <= 0.25 * len(raw)
+    return ok
+
+
+def test_learned_bands(spark):
+    """All documents of sf0.01 against a plain loop; held-out labels; planted junk in good documents."""
+    from pyspark.sql import functions as F
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    learned = quality.learn(docs, labels.where(~fold))
+    assert None in learned and all(isinstance(b, quality.Learned) for b in learned.values())
+    got = {r.doc_id: r.kept for r in quality.judge(docs, learned=learned).collect()}
+    rows = docs.select("doc_id", "text", "lang").collect()
+    assert all(got[r.doc_id] == plain_verdict(r.text, r.lang, quality.Bands(), learned) for r in rows)
+    noise = lambda t, i: " ".join(w + "*#$%"[(i + k) % 4] * 3 for k, w in enumerate(t.split()))
+    good = [r for r in rows if got[r.doc_id] and len(r.text) > 1500]
+    planted = [(r.doc_id, noise(r.text, r.doc_id), r.lang, None, 1) for r in good]
+    planted += [(-r.doc_id, r.text + " " + np.random.default_rng(r.doc_id + 1).bytes(len(r.text)).hex(), r.lang, None, 1) for r in good]
+    kept = quality.keep_good(frame(spark, planted), learned=learned)
+    assert kept.columns == frame(spark, planted).columns and kept.count() <= 0.1 * len(planted)
+    assert quality.keep_good(docs, learned=learned).count() == sum(got.values())
+
+
+def test_learned_bands_held_out(spark):
+    from pyspark.sql import functions as F
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    judged = quality.judge(docs, learned=quality.learn(docs, labels.where(~fold))).join(labels.where(fold), "doc_id").where("NOT base_failed")
+    n = {(r.quality, r.kept): r["count"] for r in judged.groupBy("quality", "kept").count().collect()}
+    assert n[0, False] >= 0.7 * (n[0, False] + n.get((0, True), 0)) and n.get((1, False), 0) <= 0.02 * n[1, True]
+
+
+def test_bands_of_odd_tables(spark):
+    rows = odd_rows()
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([(1, 1), (None, 1), (3, 0), (3, 1), (4, None)], "doc_id long, quality int")
+    learned = quality.learn(docs, labels)
+    assert list(learned) == [None]
+    got = quality.judge(docs, learned=learned)
+    assert got.count() == len(rows) and quality.keep_good(docs, learned=learned).count() == got.where("kept").count()
+    assert quality.learn(empty(spark), labels.limit(0)) == {None: quality.Bands()} and quality.keep_good(empty(spark)).count() == 0
+    assert quality.judge(docs.drop("lang")).count() == len(rows)
+
+
 # -- 6 ------------------------------------------------------------------------------------------
 
 
