@@ -110,8 +110,8 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
     return open_.select("source", "copies", "below", take.alias("edge_too"))
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """Documents with size, source_size, target and copies (how often the mix takes each)."""
+def plan_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents with size and hash, the plan: one row for each source)."""
     sized = cut(
         docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), hash_digits(F.col("doc_id"), F.col("text")).alias("h"))
     )
@@ -121,24 +121,39 @@ def mix(docs: DataFrame) -> DataFrame:
     plan = targets.alias("t").join(edges.alias("e"), F.col("t.source").eqNullSafe(F.col("e.source")), "left").select(
         F.col("t.source").alias("s"), "source_size", "target", "copies", "below", "edge_too"
     )
-    plan = cut(plan)
+    return sized, cut(plan)
+
+
+def _copies(size: Column) -> Column:
+    """How often the plan takes a document of this size and hash ``h``."""
     extra = (F.col("h") < F.col("below")) | ((F.col("h") == F.col("below")) & F.col("edge_too"))
     copies = F.least(F.coalesce(F.col("copies") + F.when(extra, 1).otherwise(0), F.lit(0)), F.lit(MOST_COPIES))
-    return sized.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
-        "doc_id", "source", "h", "size", "source_size", "target", F.when(F.col("size") > 0, copies).otherwise(0).cast("int").alias("copies")
+    return F.when(size > 0, copies).otherwise(0).cast("int")
+
+
+def mix(docs: DataFrame) -> DataFrame:
+    """Documents with size, source_size, target and copies (how often the mix takes each)."""
+    sized, plan = plan_of(docs)
+    return sized.join(small(plan, plan.count()), F.col("source").eqNullSafe(F.col("s"))).select(
+        "doc_id", "source", "h", "size", "source_size", "target", _copies(F.col("size")).alias("copies")
     )
 
 
 def apply_mix(docs: DataFrame) -> DataFrame:
-    """The mixed corpus: the rows of ``docs``, each as often as the mix takes it."""
-    taken = mix(docs).where("copies > 0").select(
-        F.col("doc_id").alias("_mix_id"), F.col("h").alias("_mix_h"), F.col("copies").alias("_mix_copies")
+    """The mixed corpus: the rows of ``docs``, each as often as the mix takes it.
+
+    A filter by threshold: each row is decided by its own source's row of the plan while it is read.
+    """
+    _, plan = plan_of(docs)
+    keyed = docs.select(
+        F.struct("*").alias("row"),
+        F.col("source").alias("from"),
+        n_words(F.col("text")).alias("words"),
+        hash_digits(F.col("doc_id"), F.col("text")).alias("h"),
     )
-    taken = cut(taken.dropDuplicates(["_mix_id", "_mix_h"]))
-    keyed = docs.withColumn("_mix_key", hash_digits(docs["doc_id"], docs["text"]))
-    same = F.col("doc_id").eqNullSafe(F.col("_mix_id")) & (F.col("_mix_key") == F.col("_mix_h"))
-    picked = keyed.join(small(taken, taken.count(), 400_000), same)
-    return picked.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*docs.columns)
+    picked = keyed.join(small(plan, plan.count()), F.col("from").eqNullSafe(F.col("s")))
+    taken = picked.select("row", _copies(F.col("words")).alias("n")).where("n > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("n")))).select("row.*")
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
