@@ -3,13 +3,15 @@
 Words are mapped to symbols: insults, threats, targets (whom a clause is about), negations, words of
 reported speech, and others. Five small weighted transducers read the symbols of a clause, one for each
 of these matters; composed, they are one deterministic machine whose output weight says how much of a
-matched word counts: an insult next to a target counts more, behind a negation or in reported speech
-less, and a threat counts only with a target. A document's score is the noisy-or over its clauses.
+matched word counts: an insult behind a target counts more, behind a negation or in reported speech
+less, and a threat counts only with a target. What a threat in front of its target weighs is held, with
+the negation and reported speech around it, until the target comes, and is lost without one. A
+document's score is the noisy-or over its clauses.
 
 Insult patterns (whole words and word beginnings) with their weights are learned from a bounded sample
 of labelled documents, at most ``sample`` rows of each label, on top of the small seed lists below. The sample
 is drawn by hash, so reruns agree. A pattern needs ``least_rows`` toxic texts, however many others there are, so
-patterns of small languages count; its weight follows the lower bound of its precision. One that is certain is
+patterns of small languages count; words of the other classes stay what they are. Its weight follows the lower bound of its precision. One that is certain is
 enough for a text; weaker ones are small pieces of evidence, of which a text needs several different ones. No
 list of patterns is cut. All texts are scored in full.
 
@@ -73,44 +75,88 @@ class Grammar:
 # -- transducers --------------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Move:
+    """What a transducer does on a symbol: its next state, the factor of the symbol's weight, whether the weight
+    is held back, and whether held weights count from here on."""
+
+    to: int
+    factor: float = 1.0
+    hold: bool = False
+    release: bool = False
+
+
 @dataclass
 class Transducer:
-    """A deterministic weighted transducer: (state, symbol) -> (state, factor). State 0 starts a clause."""
+    """A deterministic weighted transducer: (state, symbol) -> move. State 0 starts a clause."""
 
     states: int
-    moves: dict[tuple[int, int], tuple[int, float]] = field(default_factory=dict)
+    moves: dict[tuple[int, int], Move] = field(default_factory=dict)
 
-    def step(self, state: int, symbol: int) -> tuple[int, float]:
-        return self.moves.get((state, symbol), (state, 1.0))
+    def step(self, state: int, symbol: int) -> Move:
+        return self.moves.get((state, symbol), Move(state))
 
 
-def compose(parts: list[Transducer]) -> tuple[np.ndarray, np.ndarray]:
-    """All parts at once: tables [state, symbol] of next states and products of factors."""
+@dataclass
+class Machine:
+    """Composed transducers as tables [state, symbol]."""
+
+    go: np.ndarray
+    factor: np.ndarray
+    hold: np.ndarray
+    release: np.ndarray
+
+    def miss(self, symbols: list[int], weights: list[float]) -> float:
+        """The chance that a clause is clean: matched words are independent witnesses."""
+        state, miss, held = 0, 1.0, 1.0
+        for symbol, weight in zip(symbols, weights):
+            if symbol == INSULT or symbol == THREAT:
+                clean = 1.0 - min(1.0, weight * self.factor[state, symbol])
+                if self.hold[state, symbol]:
+                    held *= clean
+                else:
+                    miss *= clean
+            if self.release[state, symbol]:
+                miss, held = miss * held, 1.0
+            state = self.go[state, symbol]
+        return miss
+
+
+def compose(parts: list[Transducer]) -> Machine:
+    """All parts at once: products of factors; one part is enough to hold or to release."""
     places = list(product(*(range(p.states) for p in parts)))
     number = {place: i for i, place in enumerate(places)}
-    go = np.zeros((len(places), len(SYMBOLS)), np.int32)
-    weight = np.ones((len(places), len(SYMBOLS)))
+    shape = (len(places), len(SYMBOLS))
+    made = Machine(np.zeros(shape, np.int32), np.ones(shape), np.zeros(shape, bool), np.zeros(shape, bool))
     for place, i in number.items():
         for symbol in SYMBOLS:
             moves = [p.step(s, symbol) for p, s in zip(parts, place)]
-            go[i, symbol] = number[tuple(m[0] for m in moves)]
-            weight[i, symbol] = np.prod([m[1] for m in moves])
-    return go, weight
+            made.go[i, symbol] = number[tuple(m.to for m in moves)]
+            made.factor[i, symbol] = np.prod([m.factor for m in moves])
+            made.hold[i, symbol] = any(m.hold for m in moves)
+            made.release[i, symbol] = any(m.release for m in moves)
+    return made
 
 
-def machine(rules: Grammar) -> tuple[np.ndarray, np.ndarray]:
-    target = Transducer(2, {(s, TARGET): (1, 1.0) for s in (0, 1)} | {(1, INSULT): (1, rules.targeted)})
+def transducers(rules: Grammar) -> list[Transducer]:
+    """Insult, threat, target, negation and reported speech."""
+    insult = Transducer(1, {(0, INSULT): Move(0)})
+    # A threat needs a target in its clause, before or behind it.
+    threat = Transducer(2, {(0, THREAT): Move(0, rules.threat, hold=True), (1, THREAT): Move(1, rules.threat)})
+    threat.moves |= {(s, TARGET): Move(1, release=True) for s in (0, 1)}
+    target = Transducer(2, {(s, TARGET): Move(1) for s in (0, 1)} | {(1, INSULT): Move(1, rules.targeted)})
     negation = Transducer(rules.reach + 1)
     for s in range(rules.reach + 1):
         for symbol in SYMBOLS:
             matched = symbol in (INSULT, THREAT)
-            negation.moves[s, symbol] = (max(0, s - 1), rules.negated if matched and s else 1.0)
-        negation.moves[s, NEGATION] = (rules.reach, 1.0)
-    reported = Transducer(2, {(s, REPORTED): (1, 1.0) for s in (0, 1)} | {(1, m): (1, rules.reported) for m in (INSULT, THREAT)})
-    # A threat needs a target in its clause, before or behind it.
-    threat = Transducer(3, {(0, TARGET): (1, 1.0), (0, THREAT): (2, 0.0), (2, TARGET): (1, rules.threat), (1, THREAT): (1, rules.threat)})
-    insult = Transducer(2, {(0, INSULT): (1, 1.0), (1, INSULT): (1, 1.0)})
-    return compose([target, negation, reported, threat, insult])
+            negation.moves[s, symbol] = Move(max(0, s - 1), rules.negated if matched and s else 1.0)
+        negation.moves[s, NEGATION] = Move(rules.reach)
+    reported = Transducer(2, {(s, REPORTED): Move(1) for s in (0, 1)} | {(1, m): Move(1, rules.reported) for m in (INSULT, THREAT)})
+    return [insult, threat, target, negation, reported]
+
+
+def machine(rules: Grammar) -> Machine:
+    return compose(transducers(rules))
 
 
 # -- symbols of words ---------------------------------------------------------------------------
@@ -169,6 +215,9 @@ class Lexicon:
             if kind in self.learned:
                 keys, chance = self.learned[kind]
                 hit, at = _find(keys, hashes)
+                # Threats, targets, negations and words of speech stay what they are.
+                fits = (symbol[index[hit]] == OTHER) | (symbol[index[hit]] == INSULT)
+                hit, at = hit[fits], at[fits]
                 np.maximum.at(weight, index[hit], chance[at])
                 symbol[index[hit]] = INSULT
         # A word of weak evidence is one piece of it in its text, however often it stands there.
@@ -244,7 +293,7 @@ def learn(docs: DataFrame, labels: DataFrame, rules: Grammar = Grammar()) -> Lex
 # -- scoring ------------------------------------------------------------------------------------
 
 
-def score_texts(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon, tables: tuple, rules: Grammar) -> tuple[np.ndarray, np.ndarray]:
+def score_texts(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon, made: Machine, rules: Grammar) -> tuple[np.ndarray, np.ndarray]:
     """(score, matched clauses) of each text."""
     words, spans = _words(data, offsets)
     n = len(offsets) - 1
@@ -260,20 +309,10 @@ def score_texts(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon, tables:
     starts = np.append(np.flatnonzero(change), len(clause))
     number = np.cumsum(change) - 1
     matched = np.unique(number[(symbol == INSULT) | (symbol == THREAT)])
-    go, factor = tables
     clean, clauses = np.ones(n), np.zeros(n, np.int64)
     for c in matched:
         at = slice(starts[c], starts[c + 1])
-        state, miss = 0, 1.0
-        pending = 0.0
-        for s, w in zip(symbol[at].tolist(), weight[at].tolist()):
-            f = factor[state, s]
-            state = go[state, s]
-            if s == INSULT or s == THREAT:
-                miss *= 1.0 - min(1.0, w * f)
-            elif s == TARGET and f < 1.0:  # a target behind a threat
-                pending = f
-        miss *= 1.0 - pending
+        miss = made.miss(symbol[at].tolist(), weight[at].tolist())
         if miss < 1.0:
             text = owner[starts[c]]
             clean[text] *= miss
@@ -289,10 +328,10 @@ def scores(docs: DataFrame, lexicon: Lexicon, rules: Grammar = Grammar()) -> Dat
     known = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = machine(rules)
+        made = machine(rules)
         for batch in batches:
             for lo, hi, data, offsets in tx.slices(batch.column("text")):
-                score, clauses = score_texts(data, offsets, known.value, tables, rules)
+                score, clauses = score_texts(data, offsets, known.value, made, rules)
                 part = batch.slice(lo, hi - lo)
                 columns = [part.column("doc_id"), part.column("held_out"), pa.array(score)]
                 columns += [pa.array((score >= rules.threshold).astype(np.int32)), pa.array(clauses)]
@@ -307,10 +346,10 @@ def keep_civil(docs: DataFrame, lexicon: Lexicon, rules: Grammar = Grammar()) ->
     known = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = machine(rules)
+        made = machine(rules)
         for batch in batches:
             for lo, hi, data, offsets in tx.slices(batch.column("text")):
-                score, _ = score_texts(data, offsets, known.value, tables, rules)
+                score, _ = score_texts(data, offsets, known.value, made, rules)
                 yield batch.slice(lo, hi - lo).filter(pa.array(score < rules.threshold))
 
     return docs.mapInArrow(work, docs.schema)

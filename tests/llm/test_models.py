@@ -133,6 +133,49 @@ def test_toxicity_grammar():
     assert s("not here, an idiot") > negated  # negation ends with its clause
 
 
+def test_threats_keep_what_is_around_them():
+    rules, lexicon = toxicity.Grammar(), toxicity.Lexicon.of([])
+    s = lambda t: _score(t, lexicon, rules)
+    assert s("kill and destroy the process") == 0
+    assert s("i will not kill you") == pytest.approx(0.3 * s("i will kill you")) and s("i will kill you") == pytest.approx(0.6)
+    assert s("it was said to kill them") == pytest.approx(0.5 * 0.6)
+    assert s("kill and destroy them") == pytest.approx(1 - 0.4 * 0.4) and s("kill it. you") == 0
+    kill = int(np.uint64(toxicity._word_hash("kill")).astype(np.int64))
+    learned = toxicity.Lexicon.of([(0, kill, 0.95)])
+    assert _score("kill the process", learned, rules) == 0 and _score("i will kill you", learned, rules) == pytest.approx(0.6)
+
+
+def plain_clause(symbols, weights, rules):
+    """The five parts by their words, without a machine."""
+    clean = 1.0
+    for i, (s, w) in enumerate(zip(symbols, weights)):
+        if s not in (toxicity.INSULT, toxicity.THREAT):
+            continue
+        before = symbols[:i]
+        f = 1.0
+        if s == toxicity.INSULT and toxicity.TARGET in before:
+            f *= rules.targeted
+        if s == toxicity.THREAT:
+            f *= rules.threat if toxicity.TARGET in symbols else 0.0
+        if toxicity.NEGATION in before[max(0, i - rules.reach) :]:
+            f *= rules.negated
+        if toxicity.REPORTED in before:
+            f *= rules.reported
+        clean *= 1 - min(1.0, w * f)
+    return clean
+
+
+def test_composed_machine_against_its_parts():
+    from itertools import product
+
+    rules = toxicity.Grammar()
+    made = toxicity.machine(rules)
+    weights = [0.9, 0.5, 0.7, 0.3, 1.0, 0.6]
+    for n in range(7):
+        for symbols in product(toxicity.SYMBOLS, repeat=n):
+            assert abs(made.miss(symbols, weights) - plain_clause(symbols, weights, rules)) < 1e-12, symbols
+
+
 def test_toxicity_odd(spark):
     docs = odd(spark)
     labels = spark.createDataFrame([(1, 1, None), (None, 1, 1), (3, 0, 0), (3, 0, 1)], "doc_id long, quality int, toxic int")
