@@ -6,16 +6,21 @@ named by the smallest id) and its number of links.
 
 * Documents with equal shingle sets are copies. They are collapsed to one node with map-side sums
   before anything is compared, so a group of a million copies costs a row per task.
-* Each node gets a signature of ``trees x depth`` minimum hashes. A tree orders nodes by their label,
-  the ``depth`` values of that tree; nodes with a common prefix are a bucket. Prefixes start at full
-  depth and are shortened until a pair at the threshold shares one in some tree with the target
-  recall (``prefix_length``). With 24 trees a pair at 0.8 is missed with probability below 1e-5.
-* Buckets with the same members in several trees are kept once, and a pair is counted only in the
-  first tree in which it shares a prefix.
-* Buckets larger than ``block`` nodes are dealt to blocks by hash, and every pair of blocks is a cell
-  with a task of its own. In a cell, intersections come from a product of incidence matrices, so all
-  pairs are verified exactly while only one row per node leaves the cell: its links, and the smallest
-  node that the cell's links connect it with.
+* Each node gets a signature of ``trees x depth`` minimum hashes. A tree sorts nodes by their label, the
+  ``depth`` values of that tree; nodes with a common prefix are a node of its trie.
+* Matches start at the full depth. Pairs below the deepest trie nodes are verified first; from the
+  similarities found, each node's recall so far is estimated (a link of similarity ``s`` stands for
+  ``1 / p(s)`` links, ``p`` being the chance to share a prefix of this length in some tree). Nodes below
+  the target recall, and those without any link yet, shorten their prefixes by one value and so meet the
+  other children of the trie node above; nodes that reached the target stop. No prefix gets shorter than
+  ``prefix_length``, where a pair at the threshold itself has the target recall (with 24 trees a miss
+  probability below 1e-5). Large groups of close copies so stop at their deepest prefixes.
+* Trie nodes with the same members in several trees are kept once, and a pair counts only at its longest
+  common prefix, in the first tree that has it.
+* Trie nodes with more than ``block`` members, or more than ``block_bytes`` of shingles, are dealt to blocks
+  by hash, and every pair of blocks is a cell with a task of its own. In a cell, intersections come from a
+  product of incidence matrices, so all pairs are verified exactly while only one row per node leaves the
+  cell: its links, its evidence, and the smallest node that the cell's links connect it with.
 * Classes are the connected components of those (node, smallest node) rows, found by label
   propagation with pointer jumping, with a checkpoint for each round.
 
@@ -26,7 +31,8 @@ Defined results:
   does not count;
 * repeated rows are copies of each other; an empty table gives an empty result; other columns are
   ignored by ``join`` and kept by ``keep_one``;
-* a null id orders before all others.
+* a null id orders before all others; rows are told apart by id and text, so groups of rows with a null
+  or shared id are like any others.
 """
 
 from __future__ import annotations
@@ -54,8 +60,9 @@ class Forest:
     trees: int = 24
     depth: int = 6
     recall: float = 0.99999
-    #: Nodes of one bucket in one block of a cell.
+    #: Nodes of one block of a cell, and bytes of their shingles, on average at most.
     block: int = 1024
+    block_bytes: int = 16 << 20
 
 
 def recall_at(rules: Forest, prefix: int) -> float:
@@ -101,31 +108,33 @@ def _set_hash(found: np.ndarray, at: np.ndarray) -> np.ndarray:
     return tx.mix64((total[at[1:]] - total[at[:-1]]) ^ tx.mix64(squares[at[1:]] - squares[at[:-1]] + size))
 
 
+def shares_prefix(rules: Forest, similarity: np.ndarray, prefix: int) -> np.ndarray:
+    """Probability that pairs of these similarities share a prefix of this length in some tree."""
+    return -np.expm1(rules.trees * np.log1p(-np.minimum(similarity**prefix, 1 - 1e-12)))
+
+
 def labels(found: np.ndarray, at: np.ndarray, rules: Forest) -> np.ndarray:
-    """Minimum hashes of each set, as texts x trees x depth."""
+    """16 mixed bits of the minimum hashes of each set, as texts x trees x depth."""
     seeds = tx.mix64(np.arange(1, rules.trees * rules.depth + 1, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9)) | np.uint64(1)
-    out = np.zeros((len(at) - 1, len(seeds)), np.uint32)
+    least = np.zeros((len(at) - 1, len(seeds)), np.uint32)
     full = np.flatnonzero(np.diff(at) > 0)
     if len(full):
         for k, seed in enumerate(seeds):
-            out[full, k] = np.minimum.reduceat((found * seed) >> np.uint64(32), at[full])
-    return out.reshape(-1, rules.trees, rules.depth)
+            least[full, k] = np.minimum.reduceat((found * seed) >> np.uint64(32), at[full])
+    return ((least * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.uint16).reshape(-1, rules.trees, rules.depth)
 
 
-def _node_rows(rules: Forest, prefix: int):
+def _node_rows(rules: Forest):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in tx.slices(batch.column("text")):
                 found, at = shingles(tx.split_words(data, offsets), rules)
-                label = labels(found, at, rules)[:, :, :prefix].astype(np.uint64)
-                key = np.zeros(label.shape[:2], np.uint64)
-                for d in range(prefix):
-                    key = tx.mix64(key * np.uint64(3) + label[:, :, d])
-                some = np.diff(at) > 0
-                node = pa.array(tx.signed(_set_hash(found, at)), pa.int64(), mask=~some)
-                prefixes = pa.FixedSizeListArray.from_arrays(pa.array(tx.signed(key.ravel())), rules.trees).cast(pa.list_(pa.int64()))
-                columns = [batch.column("doc_id").slice(lo, hi - lo), node, prefixes]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "prefixes"])
+                label = [x.tobytes() for x in labels(found, at, rules)]
+                size = np.diff(at)
+                node = pa.array(tx.signed(_set_hash(found, at)), pa.int64(), mask=size == 0)
+                ids = [batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "row")]
+                columns = [*ids, node, pa.array(size, pa.int32()), pa.array(label, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "node", "size", "labels"])
 
     return work
 
@@ -142,6 +151,32 @@ def _set_rows(rules: Forest):
     return work
 
 
+def _steps(rules: Forest) -> list[str]:
+    """Columns of the values behind the shortest prefix, one for each depth."""
+    return [f"q{d}" for d in range(prefix_length(rules) + 1, rules.depth + 1)]
+
+
+def _trie_rows(rules: Forest):
+    """Each node's place in each tree: its shortest prefix, and what tells longer ones apart."""
+    shortest = prefix_length(rules)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            label = np.frombuffer(b"".join(batch.column("labels").to_pylist()), np.uint16).reshape(n, rules.trees, rules.depth)
+            key = np.zeros((n, rules.trees), np.uint64)
+            keys = []
+            for d in range(rules.depth):
+                key = tx.mix64(key * np.uint64(3) + label[:, :, d] + np.uint64(1))
+                keys.append(key)
+            columns = [np.repeat(batch.column(c).to_numpy(), rules.trees) for c in ("node", "size")]
+            columns += [np.tile(np.arange(rules.trees, dtype=np.int32), n), tx.signed(keys[shortest - 1].ravel())]
+            columns += [(k >> np.uint64(33)).astype(np.int32).ravel() for k in keys[shortest:]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "size", "tree", "prefix", *_steps(rules)])
+
+    return work
+
+
 def intersections(sets: list[np.ndarray], cells: int = 4_000_000) -> np.ndarray:
     """Sizes of the intersections of all pairs of sets, as a product of incidence matrices."""
     n = len(sets)
@@ -164,8 +199,9 @@ def intersections(sets: list[np.ndarray], cells: int = 4_000_000) -> np.ndarray:
     return out
 
 
-def _cell(rules: Forest):
-    """Verify the pairs of a cell: links of each node, and the smallest node it is connected with."""
+def _cell(rules: Forest, depth: int):
+    """Verify the pairs of a cell: links and evidence of each node, and the smallest node it is connected with."""
+    lower = range(depth, prefix_length(rules), -1)
 
     def work(cell: pd.DataFrame) -> pd.DataFrame:
         cell = cell.drop_duplicates("node").sort_values("node", ignore_index=True)
@@ -187,21 +223,68 @@ def _cell(rules: Forest):
             if (low == label).all():
                 break
             label = low
-        tree = int(cell["tree"].iat[0])
-        prefixes = np.stack(cell["prefixes"].to_list())[:, :tree]
-        first = np.ones(len(a), bool)
-        for at in range(0, len(a), 100_000):
-            part = slice(at, at + 100_000)
-            first[part] = ~(prefixes[a[part]] == prefixes[b[part]]).any(axis=1)
-        copies = cell["copies"].to_numpy().astype(np.float64)
-        n = np.bincount(a[first], copies[b[first]], len(cell)) + np.bincount(b[first], copies[a[first]], len(cell))
+        # A pair counts at its longest common prefix, in the first tree that has it, if one of the two still looks.
+        tree, looks = int(cell["tree"].iat[0]), cell["looks"].to_numpy()
+        values = np.frombuffer(b"".join(cell["labels"]), np.uint16).reshape(-1, rules.trees, rules.depth)
+        counts = looks[a] | looks[b]
+        for at in range(0, len(a), 20_000):
+            part = slice(at, at + 20_000)
+            common = np.logical_and.accumulate(values[a[part]] == values[b[part]], axis=2).sum(axis=2)
+            counts[part] &= (common[:, tree] == depth) & (common.max(axis=1) == depth) & ~(common[:, :tree] == depth).any(axis=1)
+        a, b = a[counts], b[counts]
+        n, copies = len(cell), cell["copies"].to_numpy().astype(np.float64)
         node = cell["node"].to_numpy()
-        out = pd.DataFrame({"node": node, "low": node[label], "links": n.astype(np.int64)})
+        out = pd.DataFrame({"node": node, "low": node[label]})
+        out["links"] = (np.bincount(a, copies[b], n) + np.bincount(b, copies[a], n)).astype(np.int64)
+        out["pairs"] = np.bincount(a, minlength=n) + np.bincount(b, minlength=n)
+        similarity = both[a, b] / (size[a] + size[b] - both[a, b])
+        missed = [1 / shares_prefix(rules, similarity, d) - 1 for d in lower]
+        out["missed"] = list(np.stack([np.bincount(a, m, n) + np.bincount(b, m, n) for m in missed], 1)) if missed else [[]] * n
         return out[(out["node"] != out["low"]) | (out["links"] > 0)]
 
     return work
 
 
+def _settled(verified: DataFrame, depth: int, rules: Forest) -> DataFrame:
+    """Nodes whose links found at this depth or deeper make up the target recall."""
+    # ``missed`` begins at the depth where the pair was found.
+    missed = F.element_at("missed", (F.col("depth") - depth + 1).cast("int"))
+    sums = verified.groupBy("node").agg(F.sum("pairs").alias("pairs"), F.sum(missed).alias("missed"))
+    return sums.where((F.col("pairs") > 0) & (F.col("missed") <= (1 - rules.recall) * (F.col("pairs") + F.col("missed")))).select("node")
+
+
+def _verify(members: DataFrame, known: DataFrame, depth: int, verified: DataFrame | None, rules: Forest) -> DataFrame:
+    """The links of pairs whose longest common prefix has this depth; ``verified`` holds those of deeper ones."""
+    steps = _steps(rules)
+    prefix = ["tree", "prefix", *steps[: depth - prefix_length(rules)]]
+    looks = members.withColumn("looks", F.lit(True))
+    if verified is not None:
+        settled = cut(_settled(verified, depth + 1, rules)).withColumn("looks", F.lit(False))
+        looks = members.join(small(settled, settled.count()), "node", "left").withColumn("looks", F.coalesce("looks", F.lit(True)))
+        looks = cut(looks)
+    mark = F.xxhash64("node")
+    sums = [F.count("*").alias("n"), F.sum("size").alias("shingles"), F.sum(F.shiftrightunsigned(mark, 20)).alias("s"), F.bit_xor(mark).alias("x")]
+    found = looks.groupBy(*prefix).agg(*sums, F.max("looks").alias("any"), *[F.min(c).alias(f"min_{c}") for c in steps], *[F.max(c).alias(f"max_{c}") for c in steps])
+    found = found.where("n > 1 AND any")
+    if depth < rules.depth:  # one child alone has only pairs with longer prefixes
+        child = steps[depth - prefix_length(rules)]
+        found = found.where(f"min_{child} <> max_{child}")
+    kept = found.groupBy("n", "s", "x").agg(F.min(F.struct(*prefix)).alias("b"), F.max("shingles").alias("shingles"))
+    kept = cut(kept.select("b.*", "n", "shingles"))
+    blocks = F.ceil(F.greatest(F.col("n") / rules.block, F.col("shingles") * 8 / rules.block_bytes)).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: F.struct(F.least(b, F.col("own")).alias("lo"), F.greatest(b, F.col("own")).alias("hi")))
+    cells = (
+        looks.join(kept, prefix)
+        .withColumn("own", own)
+        .withColumn("pair", F.explode(pairs))
+        .select(*prefix, "own", "pair.lo", "pair.hi", "node", "looks")
+        .join(known, "node")
+    )
+    schema = "node long, low long, links long, pairs long, missed array<double>"
+    return cut(cells.groupBy(*prefix, "lo", "hi").applyInPandas(_cell(rules, depth), schema).withColumn("depth", F.lit(depth)))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node that each node of ``edges`` (node, low) is connected with.
 
@@ -227,40 +310,31 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _labelled(docs: DataFrame, rules: Forest = Forest()) -> DataFrame:
     """Rows of ``classes`` with the label of their component."""
-    prefix = prefix_length(rules)
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = cut(base.mapInArrow(_node_rows(rules, prefix), "doc_id long, node long, prefixes array<long>"))
-    some = rows.where("node IS NOT NULL").withColumn("key", F.coalesce("doc_id", F.lit(_NO_ID)))
-    nodes = cut(some.groupBy("node").agg(F.min("key").alias("key"), F.count("*").alias("copies")))
-    # One row of each node stands for its copies; they have equal signatures.
-    # Joined by id, which no group shares; a repeated id may name two nodes, so these are compared after.
-    first = nodes.select(F.col("node").alias("of"), "key", "copies")
-    one = some.join(first, "key").where(F.col("node").bitwiseXOR(F.col("of")) == 0)
-    one = cut(one.select("node", "key", "copies", "prefixes").dropDuplicates(["node"]))
-    in_trees = one.select("node", F.posexplode("prefixes").alias("tree", "prefix"))
-    mark = F.xxhash64("node")
-    buckets = in_trees.groupBy("tree", "prefix").agg(
-        F.count("*").alias("n"), F.sum(F.shiftrightunsigned(mark, 20)).alias("s"), F.bit_xor(mark).alias("x")
+    # A row is told by its id and text; rows that share both have one node.
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("row", F.xxhash64("doc_id", "text"))
+    signed = cut(base.mapInArrow(_node_rows(rules), "doc_id long, row long, node long, size int, labels binary"))
+    rows = signed.select("doc_id", "node")
+    some = signed.where("node IS NOT NULL").withColumn("key", F.coalesce("doc_id", F.lit(_NO_ID)))
+    nodes = cut(
+        some.groupBy("node").agg(
+            F.min("key").alias("key"), F.count("*").alias("copies"), F.min("row").alias("row"), F.first("size").alias("size"), F.first("labels").alias("labels")
+        )
     )
-    kept = buckets.where("n > 1").groupBy("n", "s", "x").agg(F.min(F.struct("tree", "prefix")).alias("b"))
-    kept = cut(kept.select("b.tree", "b.prefix", "n"))
-    members = cut(in_trees.join(kept, ["tree", "prefix"]).select("tree", "prefix", "n", "node"))
-    # Shingle sets of the nodes that share a bucket with another.
-    wanted = cut(members.select("node").distinct().join(one, "node").select("node", "key", "copies", "prefixes"))
-    ids = wanted.select("key").distinct()
-    texts = base.withColumn("key", F.coalesce("doc_id", F.lit(_NO_ID))).join(small(ids, wanted.count()), "key", "left_semi")
-    sets = texts.select("text").mapInArrow(_set_rows(rules), "node long, shingles binary")
-    known = wanted.join(sets, "node")
-    blocks = F.ceil(F.col("n") / rules.block).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: F.struct(F.least(b, F.col("own")).alias("lo"), F.greatest(b, F.col("own")).alias("hi")))
-    cells = (
-        members.withColumn("own", own)
-        .withColumn("pair", F.explode(pairs))
-        .select("tree", "prefix", "own", "pair.lo", "pair.hi", "node")
-        .join(known.select("node", "copies", "prefixes", "shingles"), "node")
+    steps = _steps(rules)
+    trie = nodes.select("node", "size", "labels").mapInArrow(
+        _trie_rows(rules), ", ".join(["node long, size int, tree int, prefix long", *(f"{c} int" for c in steps)])
     )
-    verified = cut(cells.groupBy("tree", "prefix", "lo", "hi").applyInPandas(_cell(rules), "node long, low long, links long"))
+    shared = trie.groupBy("tree", "prefix").agg(F.count("*").alias("n")).where("n > 1").select("tree", "prefix")
+    members = cut(trie.join(shared, ["tree", "prefix"]))
+    # Shingle sets of the nodes that share a prefix with another, from the row that stands for each.
+    wanted = cut(members.select("node").distinct().join(nodes, "node").select("node", "row", "copies", "labels"))
+    texts = base.join(small(wanted.select("row"), wanted.count()), "row", "left_semi")
+    sets = texts.select("text").mapInArrow(_set_rows(rules), "node long, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    known = cut(wanted.select("node", "copies", "labels").join(sets, "node"))
+    verified = None
+    for depth in range(rules.depth, prefix_length(rules) - 1, -1):
+        found = _verify(members, known, depth, verified, rules)
+        verified = found if verified is None else verified.unionByName(found)
     label = components(verified)
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     named = nodes.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
