@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from eventlake.llm import text as tx
-from eventlake.llm.common import cut, small, table
+from eventlake.llm.common import cut, parallelism, small, table
 
 _NO_ID = -(1 << 63)
 
@@ -61,8 +61,11 @@ class Forest:
     depth: int = 6
     recall: float = 0.99999
     #: Nodes of one block of a cell, and bytes of their shingles, on average at most.
-    block: int = 1024
+    block: int = 512
     block_bytes: int = 16 << 20
+    #: Trie nodes of at most so many members are looked at pair by pair, about so many members to a call.
+    small: int = 32
+    shard_nodes: int = 512
 
 
 def recall_at(rules: Forest, prefix: int) -> float:
@@ -199,23 +202,85 @@ def intersections(sets: list[np.ndarray], cells: int = 4_000_000) -> np.ndarray:
     return out
 
 
-def _cell(rules: Forest, depth: int):
-    """Verify the pairs of a cell: links and evidence of each node, and the smallest node it is connected with."""
+@dataclass
+class Cell:
+    """Rows of a task's trie nodes as arrays."""
+
+    node: np.ndarray
+    copies: np.ndarray
+    looks: np.ndarray
+    side: np.ndarray
+    tree: np.ndarray
+    sets: list[np.ndarray]
+    size: np.ndarray
+    values: np.ndarray
+
+    def longest_here(self, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
+        """Whether the longest common prefix of pairs has this depth, and is in their row's tree first; one of the two looks."""
+        out = self.looks[a] | self.looks[b]
+        at = np.flatnonzero(out)
+        trees = np.arange(self.values.shape[1])
+        for lo in range(0, len(at), 20_000):
+            part = at[lo : lo + 20_000]
+            equal = self.values[a[part]] == self.values[b[part]]
+            here = equal[:, :, :depth].all(axis=2)
+            longer = here & equal[:, :, depth] if depth < equal.shape[2] else np.zeros_like(here)
+            tree = self.tree[a[part]]
+            out[part] = here[np.arange(len(part)), tree] & ~longer.any(axis=1) & ~(here & (trees < tree[:, None])).any(axis=1)
+        return out
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Sizes of the intersections of pairs of sorted sets."""
+        return np.array([np.intersect1d(self.sets[i], self.sets[j], assume_unique=True).size for i, j in zip(a.tolist(), b.tolist())], np.float64)
+
+
+def _linked_pairs(c: Cell, at: np.ndarray, depth: int, rules: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, similarity) of the linked pairs that count among the rows ``at`` of a large trie node."""
+    both = intersections([c.sets[i] for i in at]).astype(np.float64)
+    size = c.size[at]
+    linked = both >= rules.threshold * (size[:, None] + size[None, :] - both) - 1e-9
+    linked &= c.side[at][:, None] != c.side[at][None, :] if c.side[at[0]] >= 0 else True
+    a, b = np.nonzero(np.triu(linked, 1))
+    here = c.longest_here(at[a], at[b], depth)
+    a, b = a[here], b[here]
+    return at[a], at[b], both[a, b] / (size[a] + size[b] - both[a, b])
+
+
+def _cells(rules: Forest, depth: int):
+    """Verify the pairs of trie nodes: links and evidence of each node, and the smallest node it is connected with."""
     lower = range(depth, prefix_length(rules), -1)
 
-    def work(cell: pd.DataFrame) -> pd.DataFrame:
-        cell = cell.drop_duplicates("node").sort_values("node", ignore_index=True)
-        sets = [np.frombuffer(s, np.uint64) for s in cell["shingles"]]
-        size = np.array([len(s) for s in sets], np.float64)
-        both = intersections(sets).astype(np.float64)
-        linked = both >= rules.threshold * (size[:, None] + size[None, :] - both) - 1e-9
-        np.fill_diagonal(linked, False)
-        if cell["lo"].iat[0] != cell["hi"].iat[0]:
-            side = cell["own"].to_numpy() == cell["lo"].iat[0]
-            linked &= side[:, None] != side[None, :]
-        a, b = np.nonzero(np.triu(linked))
-        label = np.arange(len(cell))
-        while True:  # labels sink to the smallest connected node
+    def work(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("bucket", ignore_index=True, kind="stable")
+        sets = [np.frombuffer(s, np.uint64) for s in rows["shingles"]]
+        between = rows["lo"].iat[0] != rows["hi"].iat[0]
+        c = Cell(
+            rows["node"].to_numpy(), rows["copies"].to_numpy().astype(np.float64), rows["looks"].to_numpy(),
+            (rows["own"] == rows["lo"]).to_numpy().astype(np.int8) if between else np.full(len(rows), -1, np.int8),
+            rows["tree"].to_numpy(), sets, np.array([len(s) for s in sets], np.float64),
+            np.frombuffer(b"".join(rows["labels"]), np.uint16).reshape(-1, rules.trees, rules.depth),
+        )
+        bucket = rows["bucket"].to_numpy()
+        starts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
+        found, few = [], []
+        for lo, hi in zip(starts, starts[1:]):
+            if hi - lo > rules.small:
+                found.append(_linked_pairs(c, np.arange(lo, hi), depth, rules))
+            else:
+                few.append(lo + np.stack(np.triu_indices(hi - lo, 1)))
+        if few:
+            a, b = np.concatenate(few, axis=1)
+            here = c.longest_here(a, b, depth)
+            here &= (c.side[a] != c.side[b]) | (c.side[a] < 0)
+            a, b = a[here], b[here]
+            both = c.common(a, b)
+            similarity = both / (c.size[a] + c.size[b] - both)
+            linked = both >= rules.threshold * (c.size[a] + c.size[b] - both) - 1e-9
+            found.append((a[linked], b[linked], similarity[linked]))
+        a, b, similarity = (np.concatenate(x) for x in zip(*found))
+        n = len(rows)
+        label = np.arange(n)
+        while True:  # labels sink to the smallest connected row
             low = label.copy()
             np.minimum.at(low, a, label[b])
             np.minimum.at(low, b, label[a])
@@ -223,24 +288,12 @@ def _cell(rules: Forest, depth: int):
             if (low == label).all():
                 break
             label = low
-        # A pair counts at its longest common prefix, in the first tree that has it, if one of the two still looks.
-        tree, looks = int(cell["tree"].iat[0]), cell["looks"].to_numpy()
-        values = np.frombuffer(b"".join(cell["labels"]), np.uint16).reshape(-1, rules.trees, rules.depth)
-        counts = looks[a] | looks[b]
-        for at in range(0, len(a), 20_000):
-            part = slice(at, at + 20_000)
-            common = np.logical_and.accumulate(values[a[part]] == values[b[part]], axis=2).sum(axis=2)
-            counts[part] &= (common[:, tree] == depth) & (common.max(axis=1) == depth) & ~(common[:, :tree] == depth).any(axis=1)
-        a, b = a[counts], b[counts]
-        n, copies = len(cell), cell["copies"].to_numpy().astype(np.float64)
-        node = cell["node"].to_numpy()
-        out = pd.DataFrame({"node": node, "low": node[label]})
-        out["links"] = (np.bincount(a, copies[b], n) + np.bincount(b, copies[a], n)).astype(np.int64)
+        out = pd.DataFrame({"node": c.node, "low": c.node[label]})
+        out["links"] = (np.bincount(a, c.copies[b], n) + np.bincount(b, c.copies[a], n)).astype(np.int64)
         out["pairs"] = np.bincount(a, minlength=n) + np.bincount(b, minlength=n)
-        similarity = both[a, b] / (size[a] + size[b] - both[a, b])
         missed = [1 / shares_prefix(rules, similarity, d) - 1 for d in lower]
         out["missed"] = list(np.stack([np.bincount(a, m, n) + np.bincount(b, m, n) for m in missed], 1)) if missed else [[]] * n
-        return out[(out["node"] != out["low"]) | (out["links"] > 0)]
+        return out[out["pairs"] > 0]
 
     return work
 
@@ -253,15 +306,14 @@ def _settled(verified: DataFrame, depth: int, rules: Forest) -> DataFrame:
     return sums.where((F.col("pairs") > 0) & (F.col("missed") <= (1 - rules.recall) * (F.col("pairs") + F.col("missed")))).select("node")
 
 
-def _verify(members: DataFrame, known: DataFrame, depth: int, verified: DataFrame | None, rules: Forest) -> DataFrame:
+def _verify(members: DataFrame, shards: int, known: DataFrame, depth: int, verified: DataFrame | None, rules: Forest) -> DataFrame:
     """The links of pairs whose longest common prefix has this depth; ``verified`` holds those of deeper ones."""
     steps = _steps(rules)
     prefix = ["tree", "prefix", *steps[: depth - prefix_length(rules)]]
     looks = members.withColumn("looks", F.lit(True))
     if verified is not None:
-        settled = cut(_settled(verified, depth + 1, rules)).withColumn("looks", F.lit(False))
-        looks = members.join(small(settled, settled.count()), "node", "left").withColumn("looks", F.coalesce("looks", F.lit(True)))
-        looks = cut(looks)
+        settled = _settled(verified, depth + 1, rules).withColumn("looks", F.lit(False))
+        looks = members.join(settled, "node", "left").withColumn("looks", F.coalesce("looks", F.lit(True)))
     mark = F.xxhash64("node")
     sums = [F.count("*").alias("n"), F.sum("size").alias("shingles"), F.sum(F.shiftrightunsigned(mark, 20)).alias("s"), F.bit_xor(mark).alias("x")]
     found = looks.groupBy(*prefix).agg(*sums, F.max("looks").alias("any"), *[F.min(c).alias(f"min_{c}") for c in steps], *[F.max(c).alias(f"max_{c}") for c in steps])
@@ -271,6 +323,8 @@ def _verify(members: DataFrame, known: DataFrame, depth: int, verified: DataFram
         found = found.where(f"min_{child} <> max_{child}")
     kept = found.groupBy("n", "s", "x").agg(F.min(F.struct(*prefix)).alias("b"), F.max("shingles").alias("shingles"))
     kept = cut(kept.select("b.*", "n", "shingles"))
+    # Small trie nodes share calls of tasks; a large one is cells of its own.
+    bucket = F.xxhash64(*prefix)
     blocks = F.ceil(F.greatest(F.col("n") / rules.block, F.col("shingles") * 8 / rules.block_bytes)).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: F.struct(F.least(b, F.col("own")).alias("lo"), F.greatest(b, F.col("own")).alias("hi")))
@@ -278,11 +332,12 @@ def _verify(members: DataFrame, known: DataFrame, depth: int, verified: DataFram
         looks.join(kept, prefix)
         .withColumn("own", own)
         .withColumn("pair", F.explode(pairs))
-        .select(*prefix, "own", "pair.lo", "pair.hi", "node", "looks")
+        .withColumn("shard", F.when(F.col("n") > rules.small, bucket).otherwise(F.pmod(bucket, F.lit(shards))))
+        .select("shard", "pair.lo", "pair.hi", bucket.alias("bucket"), "tree", "own", "node", "looks")
         .join(known, "node")
     )
     schema = "node long, low long, links long, pairs long, missed array<double>"
-    return cut(cells.groupBy(*prefix, "lo", "hi").applyInPandas(_cell(rules, depth), schema).withColumn("depth", F.lit(depth)))
+    return cut(cells.groupBy("shard", "lo", "hi").applyInPandas(_cells(rules, depth), schema).withColumn("depth", F.lit(depth)))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -331,9 +386,10 @@ def _labelled(docs: DataFrame, rules: Forest = Forest()) -> DataFrame:
     texts = base.join(small(wanted.select("row"), wanted.count()), "row", "left_semi")
     sets = texts.select("text").mapInArrow(_set_rows(rules), "node long, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles"))
     known = cut(wanted.select("node", "copies", "labels").join(sets, "node"))
+    shards = max(parallelism(docs.sparkSession), -(-members.count() // rules.shard_nodes))
     verified = None
     for depth in range(rules.depth, prefix_length(rules) - 1, -1):
-        found = _verify(members, known, depth, verified, rules)
+        found = _verify(members, shards, known, depth, verified, rules)
         verified = found if verified is None else verified.unionByName(found)
     label = components(verified)
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
