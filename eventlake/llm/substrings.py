@@ -6,26 +6,28 @@ row per word, so work is narrowed in steps that lose no window:
 
 1. Anchors. Every window has an anchor, the least hash of its ``gram``-word runs. Equal windows have
    equal anchors, so windows are compared only within an anchor. Neighbouring windows of a document
-   mostly share their anchor; such a run of windows is a *segment* (about one for 20 words).
+   mostly share their anchor; such a run of at most ``run`` windows is a *segment* (about one for 20 words).
 2. Equal segments are settled by their smallest document alone: a shuffle of (anchor, segment) keys
    with map-side minima, in which a passage copied a million times is one row per task.
 3. Different segments with one anchor share some windows, not all. They are the reference: dealt to
-   shards by anchor, a generalised suffix automaton is built over the segments of a shard in the
+   shards by anchor, a generalised suffix automaton is built over the segments of an anchor in the
    order of document ids, and each segment is first streamed through the automaton of the segments
    of smaller documents. Its matching statistics (the longest suffix seen before, at each word) mark
    every window with at least ``length`` matched words.
-4. Documents are read again together with their own short list of first segments, and the words in
+4. Anchors with more than ``block`` different segments (a licence line with different text around it) would
+   make unbounded groups. Their windows are settled by the least document of each window's hash, with
+   map-side minima, which is linear however many segments there are.
+5. Documents are read again together with their own short list of first segments, and the words in
    removed windows are dropped.
 
 Automata go to where their shard's segments are shuffled instead of being broadcast: the reference
 is the corpus itself, so no bound on its size could be proven, and a shard's segments are the only
-ones that can match it. Anchors with more than ``block`` different segments are split into blocks,
-and each pair of blocks is one shard, so that no task holds an unbounded group.
+ones that can match it (the README has figures of broadcasting them in rounds).
 
 Defined results:
 * a null text has no words; documents shorter than a window keep all words;
 * documents with equal ids are one another's equals: neither is the smaller one;
-* a null id counts as larger than all others;
+* a null id counts as larger than all others; rows with a null or repeated id are told apart by their text;
 * an empty table gives an empty result; further columns are kept by ``remove_repeats``.
 """
 
@@ -52,8 +54,13 @@ _NO_ID = (1 << 63) - 1
 class Repeats:
     length: int = 50
     gram: int = 10
-    #: Different segments of one anchor in one block of a shard.
-    block: int = 512
+    #: Windows of a segment, at most.
+    run: int = 256
+    #: Different segments of one anchor that meet in an automaton, at most.
+    block: int = 128
+    #: Segments of a task that builds automata, and of a call in it, on average.
+    task_segments: int = 4096
+    shard_segments: int = 512
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -92,6 +99,8 @@ def segments(words: tx.Words, hashes: np.ndarray, rules: Repeats) -> Segments:
     whole = owner[start] == owner[start + rules.length - 1]
     new = whole.copy()
     new[1:] &= ~whole[:-1] | (least[1:] != least[:-1]) | (owner[start[1:]] != owner[start[:-1]])
+    begun = np.maximum.accumulate(np.where(new, start, 0))
+    new |= whole & ((start - begun) % rules.run == 0)
     first = np.flatnonzero(new)
     total = np.cumsum(whole)
     count = np.diff(np.append(total[first] - 1, total[-1])) if len(first) else first
@@ -107,39 +116,75 @@ def _ids(column: pa.Array) -> np.ndarray:
 def _segment_rows(rules: Repeats):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = _ids(batch.column("doc_id"))
+            ids, row = _ids(batch.column("doc_id")), batch.column("row").to_numpy()
             for lo, hi, data, offsets in tx.slices(batch.column("text")):
                 words = tx.split_words(data, offsets)
                 found = segments(words, words.hashes(), rules)
-                doc = ids[lo:hi][found.owner]
-                _, once = np.unique(tx.mix64(found.key + tx.mix64(doc.astype(np.uint64))), return_index=True)
-                arrays = [tx.signed(found.anchor[once]), tx.signed(found.key[once]), doc[once]]
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in arrays], ["anchor", "seg", "doc"])
+                doc, own = ids[lo:hi][found.owner], row[lo:hi][found.owner]
+                same = tx.mix64(found.key + tx.mix64(doc.astype(np.uint64) + tx.mix64(own.astype(np.uint64))))
+                _, once = np.unique(same, return_index=True)
+                arrays = [tx.signed(found.anchor[once]), tx.signed(found.key[once]), doc[once], own[once]]
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in arrays], ["anchor", "seg", "doc", "row"])
 
     return work
 
 
+CONTENT = "anchor long, seg long, doc long, row long, shard long, words binary"
+
+
 def _wanted_words(rules: Repeats):
     """Word hashes of the wanted segments of each document."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, wanted = _ids(batch.column("doc_id")), batch.column("segs")
+            ids, row, wanted = _ids(batch.column("doc_id")), batch.column("row").to_numpy(), batch.column("segs")
             for lo, hi, data, offsets in tx.slices(batch.column("text")):
                 words = tx.split_words(data, offsets)
                 hashes = words.hashes()
                 found = segments(words, hashes, rules)
                 part = wanted.slice(lo, hi - lo)
                 lists = part.value_lengths().to_numpy(zero_copy_only=False)
-                want = np.sort(_in_text(np.repeat(np.arange(hi - lo), lists), part.flatten().to_numpy().view(np.uint64)))
+                inner = part.flatten()
+                want = _in_text(np.repeat(np.arange(hi - lo), lists), inner.field("seg").to_numpy().view(np.uint64))
+                order = np.argsort(want)
+                want, shard = want[order], inner.field("shard").to_numpy(zero_copy_only=False)[order]
                 mine = _in_text(found.owner, found.key)
                 hit = np.flatnonzero(_member(mine, want))
                 _, once = np.unique(mine[hit], return_index=True)
                 hit = hit[once]
                 content = [hashes[f : f + c + rules.length - 1].tobytes() for f, c in zip(found.first[hit], found.windows[hit])]
-                arrays = [tx.signed(found.anchor[hit]), tx.signed(found.key[hit]), ids[lo:hi][found.owner[hit]]]
+                of = found.owner[hit]
+                arrays = [tx.signed(found.anchor[hit]), tx.signed(found.key[hit]), ids[lo:hi][of], row[lo:hi][of], shard[np.searchsorted(want, mine[hit])]]
                 columns = [pa.array(a, pa.int64()) for a in arrays] + [pa.array(content, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["anchor", "seg", "doc", "words"])
+                yield pa.RecordBatch.from_arrays(columns, _names(CONTENT))
+
+    return work
+
+
+def _names(schema: str) -> list[str]:
+    return [f.split()[0] for f in schema.split(", ")]
+
+
+WINDOWS = "seg long, doc long, row long, at int, window long"
+
+
+def _window_rows(rules: Repeats):
+    """The hash of each window of a segment."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            content = batch.column("words").to_pylist()
+            if not content:
+                continue
+            size = np.array([len(c) // 8 for c in content])
+            hashes = np.frombuffer(b"".join(content), np.uint64)
+            # Each segment is a text of its own.
+            ends = np.append(0, np.cumsum(size))
+            window, first = tx.window_hashes(tx.Words(hashes, ends, ends, ends, ends), hashes, rules.length)
+            owner = np.searchsorted(ends, first, side="right") - 1
+            columns = [pa.array(batch.column(c).to_numpy()[owner]) for c in ("seg", "doc", "row")]
+            columns += [pa.array((first - ends[owner]).astype(np.int32)), pa.array(tx.signed(window))]
+            yield pa.RecordBatch.from_arrays(columns, _names(WINDOWS))
 
     return work
 
@@ -225,67 +270,90 @@ class SuffixAutomaton:
 
 
 def _match_shard(rules: Repeats):
-    """Stream the segments of a shard, by rising document id, through the automaton of those before."""
+    """Stream the segments of each anchor, by rising document id, through the automaton of those before."""
 
     def work(shard: pd.DataFrame) -> pd.DataFrame:
-        shard = shard.drop_duplicates(["anchor", "seg"]).sort_values(["anchor", "doc", "seg"], kind="stable")
-        out: list[tuple[int, int, list[int]]] = []
+        shard = shard.drop_duplicates("seg").sort_values(["anchor", "doc", "seg"], kind="stable")
+        out: list[tuple[int, int, int, list[int]]] = []
         for _, group in shard.groupby("anchor", sort=False):
             automaton = SuffixAutomaton()
             for doc, same in group.groupby("doc", sort=False):
                 contents = [np.frombuffer(w, np.int64).tolist() for w in same["words"]]
-                for seg, content in zip(same["seg"], contents):
+                for seg, row, content in zip(same["seg"], same["row"], contents):
                     runs = np.array(automaton.matched(content))
                     hit = np.flatnonzero(runs[rules.length - 1 :] >= rules.length)
                     if len(hit):
-                        out.append((doc, seg, hit.astype(np.int32)))
+                        out.append((doc, row, seg, hit.astype(np.int32)))
                 for content in contents:
                     automaton.add(content)
-        return pd.DataFrame(out, columns=["doc", "seg", "gone"])
+        return pd.DataFrame(out, columns=["doc", "row", "seg", "gone"])
 
     return work
 
 
-def first_segments(docs: DataFrame, rules: Repeats) -> DataFrame:
-    """(doc, firsts): the segments whose smallest document is ``doc``, with their removed windows.
+def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """(doc_id, text, row) of ``docs``, the null and repeated ids (as ``doc``), and how many those are.
+
+    ``row`` is 0 where the id has one row, and else tells the rows of an id apart by their text.
+    """
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    shared = base.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
+    shared = cut(shared.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc")))
+    n = shared.count()
+    return _with_row(base, shared, n), shared, n
+
+
+def _with_row(docs: DataFrame, shared: DataFrame, n: int) -> DataFrame:
+    """``docs`` with their ``row``; doc_id is a long."""
+    told = small(shared.select("doc", F.lit(True).alias("told")), n)
+    marked = docs.join(told, F.coalesce("doc_id", F.lit(_NO_ID)) == F.col("doc"), "left").drop("doc")
+    return marked.withColumn("row", F.when(F.col("told"), F.xxhash64("text").bitwiseOR(F.lit(1))).otherwise(0)).drop("told")
+
+
+def _first_lists(base: DataFrame, shared: DataFrame, n_shared: int, rules: Repeats) -> DataFrame:
+    """(doc, row, firsts): the segments whose smallest document is ``doc``, with their removed windows.
 
     ``firsts`` holds (seg, gone); ``gone`` lists the offsets of windows found in a smaller document.
     Segments of a document that are not listed occur whole in a smaller document.
     """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = base.mapInArrow(_segment_rows(rules), "anchor long, seg long, doc long")
+    rows = base.mapInArrow(_segment_rows(rules), "anchor long, seg long, doc long, row long")
     firsts = cut(rows.groupBy("anchor", "seg").agg(F.min("doc").alias("doc")))
+    # Ids with one row have their segments as they are; of the others, each row has its own.
+    single = firsts.join(small(shared, n_shared), "doc", "left_anti").withColumn("row", F.lit(0).cast("long"))
+    many = base.where("row <> 0").mapInArrow(_segment_rows(rules), "anchor long, seg long, doc long, row long")
+    several = cut(many.join(firsts, ["anchor", "seg", "doc"]).select("anchor", "seg", "doc", "row").distinct())
+    one = single.select("anchor", "seg", "doc", "row").unionByName(several.groupBy("anchor", "seg", "doc").agg(F.min("row").alias("row")))
     by_anchor = firsts.groupBy("anchor").agg(F.count("*").alias("n"), F.min("doc").alias("least"), F.max("doc").alias("most"))
     mixed = cut(by_anchor.where("n > 1 AND least < most").select("anchor", "n"))
-    wanted = firsts.join(mixed, "anchor").groupBy("doc").agg(F.collect_list("seg").alias("segs"))
+    hot = mixed.where(F.col("n") > rules.block).select("anchor")
+    cold = mixed.where(F.col("n") <= rules.block)
+    counted = mixed.agg(F.count_if(F.col("n") > rules.block), F.sum(F.when(F.col("n") <= rules.block, F.col("n")))).first()
+    n_hot, n_cold = counted[0], counted[1] or 0
+    parallel = parallelism(base.sparkSession)
+    # Hot anchors are looked up apart, so that no task gets all segments of one; their shard is -1.
+    shards = max(parallel, -(-n_cold // rules.shard_segments))
+    in_hot = one.join(small(hot, n_hot), "anchor").select("doc", "row", "seg", F.lit(-1).cast("long").alias("shard"))
+    in_cold = one.join(small(hot, n_hot), "anchor", "left_anti").join(cold, "anchor")
+    in_cold = in_cold.select("doc", "row", "seg", F.pmod(F.col("anchor"), F.lit(shards)).alias("shard"))
+    wanted = in_hot.unionByName(in_cold).groupBy("doc", "row").agg(F.collect_list(F.struct("seg", "shard")).alias("segs"))
     wanted = cut(wanted)
-    keyed = base.withColumn("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)))
     listed = wanted.agg(F.sum(F.size("segs"))).first()[0] or 0  # lists are long for long texts, so segments are counted
-    with_segs = keyed.join(small(wanted, listed), keyed["doc_id"] == wanted["doc"])
-    content = with_segs.select("doc_id", "text", "segs").mapInArrow(
-        _wanted_words(rules), "anchor long, seg long, doc long, words binary"
-    )
-    # Blocks of large anchors meet in pairs; a small anchor is one block.
-    blocks = F.ceil(F.col("n") / rules.block).cast("int")
-    own = F.pmod(F.col("seg"), blocks).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: F.struct(F.least(b, own).alias("lo"), F.greatest(b, own).alias("hi")))
-    # Small anchors share shards, so that a shard has work for a call.
-    shards = 16 * parallelism(docs.sparkSession)
-    group = F.when(F.col("n") > 64, F.col("anchor")).otherwise(F.pmod(F.col("anchor"), F.lit(shards)))
-    met = (
-        content.join(mixed, "anchor")
-        .withColumn("pair", F.explode(pairs))
-        .select(group.alias("shard"), F.col("pair.lo").alias("lo"), F.col("pair.hi").alias("hi"), "anchor", "seg", "doc", "words")
-    )
-    partly = (
-        met.groupBy("shard", "lo", "hi")
-        .applyInPandas(_match_shard(rules), "doc long, seg long, gone array<int>")
-        .groupBy("doc", "seg")
-        .agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
-    )
+    keyed = base.withColumn("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)))
+    lists = small(wanted.withColumnRenamed("row", "of"), listed)
+    with_segs = keyed.join(lists, (F.col("doc_id") == F.col("doc")) & (F.col("row") == F.col("of"))).select("doc_id", "row", "text", "segs")
+    content = cut(with_segs.mapInArrow(_wanted_words(rules), CONTENT))
+    met = content.where("shard >= 0").repartition(max(parallel, -(-n_cold // rules.task_segments)), "shard")
+    partly = met.groupBy("shard").applyInPandas(_match_shard(rules), "doc long, row long, seg long, gone array<int>")
+    windows = content.where("shard < 0").mapInArrow(_window_rows(rules), WINDOWS)
+    least = windows.groupBy("window").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("window", "least")
+    again = windows.join(least, "window").where(F.col("least") < F.col("doc"))
+    partly = partly.unionByName(again.groupBy("doc", "row", "seg").agg(F.collect_set("at").alias("gone")))
+    partly = cut(partly)
+    others = partly.where("row <> 0").drop("row").join(several.select("doc", "row", "seg"), ["doc", "seg"])
     none = F.array().cast("array<int>")
-    listed = firsts.select("doc", "seg", none.alias("gone")).unionByName(partly)
-    return listed.groupBy("doc").agg(F.collect_list(F.struct("seg", "gone")).alias("firsts"))
+    listed = single.select("doc", "row", "seg", none.alias("gone")).unionByName(several.select("doc", "row", "seg", none.alias("gone")))
+    listed = listed.unionByName(partly.where("row = 0")).unionByName(others.select("doc", "row", "seg", "gone"))
+    return listed.groupBy("doc", "row").agg(F.collect_list(F.struct("seg", "gone")).alias("firsts"))
 
 
 def removed_words(words: tx.Words, hashes: np.ndarray, firsts: pa.Array, rules: Repeats) -> np.ndarray:
@@ -338,9 +406,13 @@ def _kept_bytes(words: tx.Words, gone: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _with_firsts(docs: DataFrame, rules: Repeats) -> DataFrame:
-    listed = cut(first_segments(docs, rules)).withColumnRenamed("doc", "_doc").withColumnRenamed("firsts", "_firsts")
-    key = F.coalesce(docs["doc_id"].cast("long"), F.lit(_NO_ID))
-    return docs.join(listed, key == listed["_doc"], "left").drop("_doc")
+    """All columns of ``docs`` as ``whole``, its text, and ``firsts``."""
+    base, shared, n = _keyed(docs)
+    listed = cut(_first_lists(base, shared, n, rules)).withColumnRenamed("row", "of")
+    whole = docs.select(F.struct("*").alias("whole"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    keyed = _with_row(whole, shared, n)
+    same = (F.coalesce("doc_id", F.lit(_NO_ID)) == F.col("doc")) & (F.col("row") == F.col("of"))
+    return keyed.join(listed, same, "left").select("whole", "doc_id", "text", "firsts")
 
 
 DIGEST = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -353,7 +425,7 @@ def digests(docs: DataFrame, rules: Repeats = Repeats()) -> DataFrame:
         for batch in batches:
             for lo, hi, data, offsets in tx.slices(batch.column("text")):
                 words = tx.split_words(data, offsets)
-                gone = removed_words(words, words.hashes(), batch.column("_firsts").slice(lo, hi - lo), rules)
+                gone = removed_words(words, words.hashes(), batch.column("firsts").slice(lo, hi - lo), rules)
                 kept, at = _kept_bytes(words, gone)
                 view = memoryview(kept)
                 sums = [hashlib.sha256(view[at[i] : at[i + 1]]).hexdigest() for i in range(hi - lo)]
@@ -362,8 +434,8 @@ def digests(docs: DataFrame, rules: Repeats = Repeats()) -> DataFrame:
                 columns += [pa.array(removed, pa.int64()), pa.array(sums, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return _with_firsts(base, rules).select("doc_id", "text", "_firsts").mapInArrow(work, DIGEST)
+    base = docs.select("doc_id", "text")
+    return _with_firsts(base, rules).select("doc_id", "text", "firsts").mapInArrow(work, DIGEST)
 
 
 def remove_repeats(docs: DataFrame, rules: Repeats = Repeats()) -> DataFrame:
@@ -378,7 +450,7 @@ def remove_repeats(docs: DataFrame, rules: Repeats = Repeats()) -> DataFrame:
         for batch in batches:
             for lo, hi, data, offsets in tx.slices(batch.column("text")):
                 words = tx.split_words(data, offsets)
-                gone = removed_words(words, words.hashes(), batch.column("_firsts").slice(lo, hi - lo), rules)
+                gone = removed_words(words, words.hashes(), batch.column("firsts").slice(lo, hi - lo), rules)
                 removed = np.bincount(words.owner()[gone], minlength=hi - lo)
                 # A removed word takes the bytes up to the next word or the end of its text.
                 upto = np.append(words.start[1:], len(data)) if len(words.start) else words.start
@@ -394,11 +466,11 @@ def remove_repeats(docs: DataFrame, rules: Repeats = Repeats()) -> DataFrame:
                 ).cast(pa.string())
                 part = batch.slice(lo, hi - lo)
                 text = pc.if_else(pa.array(removed == 0), part.column("text"), kept)
-                columns = [text if name == "text" else part.column(name) for name in names]
+                columns = [text if name == "text" else x for name, x in zip(names, part.column("whole").flatten())]
                 left = pa.array((removed == 0) | (removed < words.counts))
                 yield pa.RecordBatch.from_arrays(columns, names).filter(left)
 
-    return _with_firsts(docs, rules).select(*names, "_firsts").mapInArrow(work, docs.schema)
+    return _with_firsts(docs, rules).select("whole", "text", "firsts").mapInArrow(work, docs.schema)
 
 
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -193,20 +193,53 @@ def test_bloom_lm(spark, settings):
     assert bloom_lm.score(empty(spark), settings).count() == 0
 
 
+def plain_model(tokens):
+    """Counts of words, bigrams and trigrams in the texts that may be learned from."""
+    texts = [["<s>", *t] for i, t in tokens if crc(i, 10)]
+    return [Counter(tuple(t[k : k + n]) for t in texts for k in range(len(t) - n + 1)) for n in (1, 2, 3)]
+
+
+def plain_chance(word, context, model, middle, s):
+    """The chance of a word behind one or two others; ``middle`` reads a count back as the filter does."""
+    ones, twos, threes = model
+    n = sum(c for (w,), c in ones.items() if w != "<s>")
+    v = sum(w != "<s>" for (w,) in ones)
+    p = ((ones[word,] if word != "<s>" else 0) + 0.1) / (n + 0.1 * (v + 1))
+    before = ones[context[-1],]
+    p = (min(middle(twos[context[-1], word]), before) + s.behind_pairs * p) / (before + s.behind_pairs)
+    if len(context) > 1:
+        before = middle(twos[context])
+        p = (min(middle(threes[*context, word]), before) + s.behind_triples * p) / (before + s.behind_triples)
+    return p
+
+
+def plain_score(tokens, model, s):
+    middle = lambda n: float(bloom_lm.restored(bloom_lm.quantised(np.array([n]), s.base), s.base)[0]) if n else 0.0
+    t = ["<s>", *tokens]
+    return sum(log10(plain_chance(t[k], tuple(t[max(0, k - 2) : k]), model, middle, s)) for k in range(1, len(t)))
+
+
+def test_chances_sum_to_one():
+    """With exact counts, behind any context; and nearly so with those that the filter would give."""
+    tokens = [(i, words(t[1]) + ["</s>"]) for i, t in enumerate(near_rows())]
+    model = plain_model(tokens)
+    s = bloom_lm.Settings()
+    vocabulary = [w for (w,) in model[0] if w != "<s>"] + ["never seen"]
+    middle = lambda n: float(bloom_lm.restored(bloom_lm.quantised(np.array([n]), s.base), s.base)[0]) if n else 0.0
+    common = [w for (w,), _ in model[0].most_common(3) if w != "</s>"]
+    for context in [("<s>",), *((w,) for w in common), *(c for c, _ in model[1].most_common(6) if c[1] != "</s>"), ("not", "there")]:
+        exact = sum(plain_chance(w, context, model, float, s) for w in vocabulary)
+        assert exact == pytest.approx(1, abs=1e-9), context
+        assert sum(plain_chance(w, context, model, middle, s) for w in vocabulary) == pytest.approx(1, abs=0.05), context
+
+
 @pytest.mark.parametrize("settings", [bloom_lm.Settings(room=4096), bloom_lm.Settings(room=4096, bundle_tokens=300, least_segments=4, segment_tokens=500, head_words=40, bigram_words=20)])
 def test_bloom_lm_leaves_nothing_out(spark, settings):
     """Scores are those of all words and bigrams, seen once or often, rare or frequent."""
     rows = odd_rows() + [(i, f"once{i} only{i} here the end", "en", "s", 1) for i in range(1000, 1040)]
     got = bloom_lm.score(frame(spark, rows), settings).collect()
     tokens = [(r[0], [w.translate({c: c + 32 for c in range(65, 91)}) for w in words(r[1])] + ["\0"]) for r in rows]
-    ones = Counter(w for i, t in tokens if crc(i, 10) for w in t)
-    twos = Counter(p for i, t in tokens if crc(i, 10) for p in zip(t, t[1:]))
-    middle = lambda n: float(bloom_lm.restored(bloom_lm.quantised(np.array([n])))[0]) if n else 0.0
-    alone = lambda w: (middle(ones[w]) + 0.1) / (sum(ones.values()) + 0.1 * (len(ones) + 1))
-    expected = []
-    for i, t in tokens:
-        p = [alone(t[0])] + [(min(middle(twos[v, w]), middle(ones[v])) + 50 * alone(w)) / (middle(ones[v]) + 50) for v, w in zip(t, t[1:])]
-        expected.append((i, len(t), round(sum(log10(min(1, x)) for x in p), 6)))
+    expected = [(i, len(t), round(plain_score(t, plain_model(tokens), settings), 6)) for i, t in tokens]
     same = Counter(map(str, expected)) & Counter(str((r.doc_id, r.n_tokens, round(r.score, 6))) for r in got)
     assert len(got) == len(expected) and same.total() == len(expected)  # with so much room the filter does not err here
 
@@ -219,10 +252,10 @@ def test_log_filter(spark):
     df = spark.createDataFrame(list(zip(grams.tolist(), n.tolist())), "gram long, n long")
     made = bloom_lm.build_filter(df, s)
     read = made.levels(grams.view(np.uint64))
-    true = bloom_lm.quantised(n)
-    assert (read >= true).all() and (read > true).mean() < 0.1
+    true = bloom_lm.quantised(n, s.base)
+    assert (read >= true).all() and (read > true).mean() < 0.01
     absent = made.levels(rng.integers(0, 2**62, 4000).astype(np.uint64))
-    assert (absent > 0).mean() < 0.1
+    assert (absent > 0).mean() < 0.001
     assert bloom_lm.quantised(np.array([1, 2, 3, 4, 7, 8])).tolist() == [1, 2, 2, 3, 3, 4]
 
 
@@ -283,6 +316,28 @@ def test_jaccard_join(spark, rules):
     assert sorted(map(str, got)) == sorted(map(str, brute_links(rows)))
 
 
+def test_jaccard_join_of_many_rows_without_id(spark):
+    rows = [(None if i % 2 else 7, r[1], *r[2:]) for i, r in enumerate(near_rows())]
+    got = [(r.doc_id, r.class_id, r.n_links) for r in jaccard.classes(frame(spark, rows), jaccard.Forest(block=8, block_bytes=20_000)).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, brute_links(rows)))
+
+
+def test_prefixes_are_shortened_where_recall_is_missing():
+    rules = jaccard.Forest()
+    p = [float(jaccard.shares_prefix(rules, np.array([0.8]), d)[0]) for d in (6, 5, 4)]
+    assert p == pytest.approx([jaccard.recall_at(rules, d) for d in (6, 5, 4)]) and p[0] < p[1] < rules.recall <= p[2]
+    assert jaccard.shares_prefix(rules, np.array([0.97]), 6)[0] > rules.recall  # close copies stop at the full depth
+
+
+def test_settled_nodes(spark):
+    rules = jaccard.Forest()
+    missed = lambda s: [1 / float(jaccard.shares_prefix(rules, np.array([s]), d)[0]) - 1 for d in (6, 5)]
+    rows = [(1, 3, [3 * m for m in missed(0.97)], 6), (2, 3, [3 * m for m in missed(0.82)], 6), (3, 0, [0.0, 0.0], 6), (4, 1, missed(0.9)[1:], 5)]
+    found = spark.createDataFrame(rows, "node long, pairs long, missed array<double>, depth int")
+    assert {r.node for r in jaccard._settled(found.where("depth = 6"), 6, rules).collect()} == {1}
+    assert {r.node for r in jaccard._settled(found, 5, rules).collect()} == {1, 2, 4} - ({2} if 3 * missed(0.82)[1] > 1e-5 * 3 else set())
+
+
 def test_keep_one(spark):
     rows = [r for r in near_rows() if r[0] is not None]
     docs = frame(spark, rows)
@@ -337,6 +392,32 @@ def test_repeats(spark, rules):
     assert sorted(str(tuple(r)) for r in got.collect()) == sorted(map(str, expected))
 
 
+def crowded_rows():
+    """Many rows without an id, ids with several texts, a passage in hundreds of texts, and a text of one word."""
+    import random
+
+    from tests.llm.helpers import sentence
+
+    rng = random.Random(12)
+    licence = sentence(rng, 64)
+    rows = []
+    for i in range(300):
+        text = f"{sentence(rng, rng.randint(1, 40))} {licence} {sentence(rng, rng.randint(1, 40))}"
+        rows.append(([None, 5, i + 10][i % 3], text, "en", "s", 1))
+    rows += [(None, rows[0][1], "en", "s", 1), (5, rows[1][1], "en", "s", 1), (7, "same " * 4000, "en", "s", 1), (8, "same " * 3000 + "end", "en", "s", 1)]
+    own = sentence(rng, 200)
+    return rows + [(None, own, "en", "s", 1), (None, own + " more", "en", "s", 1), (6, own[40:], "en", "s", 1)]
+
+
+@pytest.mark.parametrize("rules", [substrings.Repeats(), substrings.Repeats(block=1000, run=7, shard_segments=10, task_segments=50)])
+def test_repeats_in_crowds(spark, rules):
+    rows = crowded_rows()
+    expected = [(i, n, g, hashlib.sha256(" ".join(k).encode()).hexdigest()) for i, n, g, k in brute_repeats(rows, rules.length)]
+    assert sum(g for _, _, g, _ in expected) > 10_000
+    got = substrings.digests(frame(spark, rows), rules)
+    assert sorted(str(tuple(r)) for r in got.collect()) == sorted(map(str, expected))
+
+
 def test_remove_repeats(spark):
     rows = near_rows()
     docs = frame(spark, rows)
