@@ -45,7 +45,7 @@ _U = np.uint64
 END_TOKEN = _U(0x2545F4914F6CDD1D)
 START_TOKEN = _U(0xC3A5C85C97CB3127)
 #: Bits by which an n-gram is known in its segment.
-GRAM_BITS = 36
+GRAM_BITS = 34
 SMOOTHING = 0.1
 
 
@@ -58,11 +58,11 @@ class Settings:
     #: Growth of counts from level to level.
     base: float = 2.0 ** (1 / 8)
     #: Tokens of a bundle of texts (a longer text is one by itself), and of a segment on average, at most.
-    bundle_tokens: int = 1 << 21
+    bundle_tokens: int = 1 << 20
     segment_tokens: int = 1 << 20
     least_segments: int = 256
     #: Pseudo-counts of the words behind bigrams (m2), and of the bigrams behind trigrams (m3).
-    behind_pairs: float = 8.0
+    behind_pairs: float = 64.0
     behind_triples: float = 4.0
     #: These bound nothing: sizes follow the counted keys. They are here for callers that name them.
     filter_bits: int = 28
@@ -115,12 +115,12 @@ class LogFilter:
         grams, level = grams[order], level[order]
         self.probes = s.probes
         self.bits = max(BLOCK_BITS + 1, (s.room * int(level.sum())).bit_length())
-        flags = np.zeros(1 << self.bits, bool)
+        self.words = np.zeros(1 << (self.bits - 3), np.uint8)
         for k in range(1, int(level.max(initial=0)) + 1):
             keys = level_keys(grams[: np.searchsorted(-level, -k, side="right")], k)
             for probe in range(self.probes):
-                flags[_places(keys, self.bits, probe)] = True
-        self.words = np.packbits(flags, bitorder="little")
+                at = _places(keys, self.bits, probe)
+                np.bitwise_or.at(self.words, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
 
     def contains(self, keys: np.ndarray) -> np.ndarray:
         live = np.arange(len(keys))
@@ -210,16 +210,19 @@ def _names(schema: str) -> list[str]:
 
 
 def _bundle_rows(s: Settings):
-    """Rows of texts as bundles: distinct words by hash, and the place of each token's word among them."""
+    """Rows of texts as bundles: distinct words, frequent ones first, and the place of each token's word among them."""
 
     def bundle(parts: list[tuple]) -> pa.RecordBatch:
         doc_id, held_out = (pa.concat_arrays([p[k] for p in parts]) for k in (0, 1))
         sizes = np.concatenate([p[2] for p in parts])
-        word, tokens_at = np.unique(np.concatenate([p[3] for p in parts]), return_inverse=True)
+        word, tokens_at, n = np.unique(np.concatenate([p[3] for p in parts]), return_inverse=True, return_counts=True)
+        order = np.argsort(-n, kind="stable")  # places of frequent words are small numbers
+        place = np.empty(len(order), np.uint32)
+        place[order] = np.arange(len(order), dtype=np.uint32)
         trained = sizes[~held_out.to_numpy(zero_copy_only=False)]
         ends = pa.array([0, len(sizes)], pa.int32())
         lists = [pa.ListArray.from_arrays(ends, x) for x in (doc_id, held_out, pa.array(sizes))]
-        blobs = [pa.array([word.tobytes()], pa.binary()), pa.array([_pack(tokens_at.astype(np.uint32))], pa.binary())]
+        blobs = [pa.array([word[order].tobytes()], pa.binary()), pa.array([_pack(place[tokens_at])], pa.binary())]
         return pa.RecordBatch.from_arrays([*lists, *blobs, pa.array([int(sizes.sum())]), pa.array([int(trained.sum())]), pa.array([len(trained)])], _names(BUNDLES))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,7 +244,7 @@ def _bundle_rows(s: Settings):
 
 @dataclass
 class Bundle:
-    """A bundle as read back; n-grams are sorted by hash, so those of a segment are neighbours."""
+    """A bundle as read back; words and n-grams are sorted by hash, so those of a segment are neighbours."""
 
     sizes: np.ndarray
     held_out: np.ndarray
@@ -259,7 +262,11 @@ class Bundle:
     @classmethod
     def of(cls, columns: dict) -> Bundle:
         sizes, held_out = np.array(columns["sizes"], np.int64), np.array(columns["held_out"], bool)
-        words, at = np.frombuffer(columns["words"], _U), _unpack(columns["tokens"], np.uint32)
+        stored = np.frombuffer(columns["words"], _U)
+        order = np.argsort(stored)
+        words, place = stored[order], np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        at = place[_unpack(columns["tokens"], np.uint32)]
         begins = np.zeros(len(at), bool)
         begins[np.cumsum(sizes) - sizes] = True
         later = np.flatnonzero(~begins)
