@@ -15,8 +15,9 @@ row per word, so work is narrowed in steps that lose no window:
    of smaller documents. Its matching statistics (the longest suffix seen before, at each word) mark
    every window with at least ``length`` matched words.
 4. Anchors with more than ``block`` different segments (a licence line with different text around it) would
-   make unbounded groups. Their windows are settled by the least document of each window's hash, with
-   map-side minima, which is linear however many segments there are.
+   make unbounded groups. Their segments are bundled instead; a bundle sends each of its distinct windows once,
+   as hash and least document, to the window's bucket, and gets the least document of all bundles back. That
+   is linear, and a window of a million documents is one entry of a bundle.
 5. Documents are read again together with their own short list of first segments, and the words in
    removed windows are dropped.
 
@@ -61,6 +62,8 @@ class Repeats:
     #: Segments of a task that builds automata, and of a call in it, on average.
     task_segments: int = 4096
     shard_segments: int = 512
+    #: Words of the segments of hot anchors by bucket of their windows, on average.
+    bucket_words: int = 1 << 20
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -165,30 +168,101 @@ def _names(schema: str) -> list[str]:
     return [f.split()[0] for f in schema.split(", ")]
 
 
-WINDOWS = "seg long, doc long, row long, at int, window long"
+# -- windows of hot anchors ----------------------------------------------------------------------
 
+BUNDLES = "segs binary, docs binary, rows binary, sizes binary, words binary"
+POSTINGS = "bundle long, bucket int, windows binary, docs binary"
+ANSWERS = "bundle long, bucket int, least binary"
+GONE = "doc long, row long, seg long, gone array<int>"
 
-def _window_rows(rules: Repeats):
-    """The hash of each window of a segment."""
+
+def _bundle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The segments of a batch as one row."""
+    for batch in batches:
+        if batch.num_rows:
+            content = batch.column("words").to_pylist()
+            sizes = np.array([len(c) // 8 for c in content])
+            packed = [*(batch.column(c).to_numpy().tobytes() for c in ("seg", "doc", "row")), sizes.tobytes(), b"".join(content)]
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in packed], _names(BUNDLES))
+
+
+@dataclass
+class Bundle:
+    """Segments of a bundle: their ids, and their distinct windows by rising hash."""
+
+    seg: np.ndarray
+    doc: np.ndarray
+    row: np.ndarray
+    #: Of each window: its segment, its offset there, and its place among the distinct ones.
+    owner: np.ndarray
+    at: np.ndarray
+    place: np.ndarray
+    windows: np.ndarray
+
+    @classmethod
+    def of(cls, columns: dict, rules: Repeats) -> Bundle:
+        seg, doc, row, sizes = (np.frombuffer(columns[c], np.int64) for c in ("segs", "docs", "rows", "sizes"))
+        hashes = np.frombuffer(columns["words"], np.uint64)
+        ends = np.append(0, np.cumsum(sizes))  # each segment is a text of its own
+        found, first = tx.window_hashes(tx.Words(hashes, ends, ends, ends, ends), hashes, rules.length)
+        owner = np.searchsorted(ends, first, side="right") - 1
+        windows, place = np.unique(found, return_inverse=True)
+        return cls(seg, doc, row, owner, first - ends[owner], place, windows)
+
+
+def _posting_rows(bits: int, rules: Repeats):
+    """The distinct windows of each bundle with their least document, by bucket."""
+    bounds = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            content = batch.column("words").to_pylist()
-            if not content:
-                continue
-            size = np.array([len(c) // 8 for c in content])
-            hashes = np.frombuffer(b"".join(content), np.uint64)
-            # Each segment is a text of its own.
-            ends = np.append(0, np.cumsum(size))
-            window, first = tx.window_hashes(tx.Words(hashes, ends, ends, ends, ends), hashes, rules.length)
-            owner = np.searchsorted(ends, first, side="right") - 1
-            columns = [pa.array(batch.column(c).to_numpy()[owner]) for c in ("seg", "doc", "row")]
-            columns += [pa.array((first - ends[owner]).astype(np.int32)), pa.array(tx.signed(window))]
-            yield pa.RecordBatch.from_arrays(columns, _names(WINDOWS))
+            for row in batch.to_pylist():
+                b = Bundle.of(row, rules)
+                least = np.full(len(b.windows), np.iinfo(np.int64).max)
+                np.minimum.at(least, b.place, b.doc[b.owner])
+                ends = np.array([0, *np.searchsorted(b.windows, bounds), len(b.windows)])
+                some = np.flatnonzero(np.diff(ends))
+                columns = [pa.array(np.full(len(some), row["bundle"])), pa.array(some.astype(np.int32))]
+                columns += [pa.array([x[ends[k] : ends[k + 1]].tobytes() for k in some], pa.binary()) for x in (b.windows, least)]
+                yield pa.RecordBatch.from_arrays(columns, _names(POSTINGS))
 
     return work
 
 
+def _least_of_bucket(rows: pa.Table) -> pa.Table:
+    """To each bundle, the least documents of its windows over all bundles."""
+    got = rows.to_pydict()
+    lists = [np.frombuffer(w, np.uint64) for w in got["windows"]]
+    windows, place = np.unique(np.concatenate(lists), return_inverse=True)
+    least = np.full(len(windows), np.iinfo(np.int64).max)
+    np.minimum.at(least, place, np.concatenate([np.frombuffer(d, np.int64) for d in got["docs"]]))
+    back = [least[p].tobytes() for p in np.split(place, np.cumsum([len(x) for x in lists])[:-1])]
+    return pa.Table.from_arrays([pa.array(got["bundle"]), pa.array(got["bucket"], pa.int32()), pa.array(back, pa.binary())], _names(ANSWERS))
+
+
+def _gone_of_bundle(rules: Repeats):
+    """The windows of each segment that occur in a smaller document."""
+
+    def work(bundle: pa.Table, answers: pa.Table) -> pa.Table:
+        b = Bundle.of(bundle.to_pylist()[0], rules)
+        least = np.frombuffer(b"".join(answers.sort_by("bucket").column("least").to_pylist()), np.int64)
+        gone = np.flatnonzero(least[b.place] < b.doc[b.owner])
+        of, first = np.unique(b.owner[gone], return_index=True)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(gone)).astype(np.int32)), pa.array(b.at[gone].astype(np.int32)))
+        return pa.Table.from_arrays([pa.array(b.doc[of]), pa.array(b.row[of]), pa.array(b.seg[of]), lists], _names(GONE))
+
+    return work
+
+
+def _settle_windows(content: DataFrame, rules: Repeats) -> DataFrame:
+    """(doc, row, seg, gone) of segments by the least document of each window."""
+    bundles = cut(content.select("seg", "doc", "row", "words").mapInArrow(_bundle_rows, BUNDLES).withColumn("bundle", F.monotonically_increasing_id()))
+    size = bundles.agg(F.sum(F.octet_length("words") / 8)).first()[0] or 0
+    bits = max(parallelism(content.sparkSession) - 1, int(size) // rules.bucket_words).bit_length()
+    answers = bundles.mapInArrow(_posting_rows(bits, rules), POSTINGS).groupBy("bucket").applyInArrow(_least_of_bucket, ANSWERS)
+    return bundles.groupBy("bundle").cogroup(answers.groupBy("bundle")).applyInArrow(_gone_of_bundle(rules), GONE)
+
+
 def _in_text(owner: np.ndarray, key: np.ndarray) -> np.ndarray:
     return tx.mix64(key + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -343,11 +417,8 @@ def _first_lists(base: DataFrame, shared: DataFrame, n_shared: int, rules: Repea
     with_segs = keyed.join(lists, (F.col("doc_id") == F.col("doc")) & (F.col("row") == F.col("of"))).select("doc_id", "row", "text", "segs")
     content = cut(with_segs.mapInArrow(_wanted_words(rules), CONTENT))
     met = content.where("shard >= 0").repartition(max(parallel, -(-n_cold // rules.task_segments)), "shard")
-    partly = met.groupBy("shard").applyInPandas(_match_shard(rules), "doc long, row long, seg long, gone array<int>")
-    windows = content.where("shard < 0").mapInArrow(_window_rows(rules), WINDOWS)
-    least = windows.groupBy("window").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("window", "least")
-    again = windows.join(least, "window").where(F.col("least") < F.col("doc"))
-    partly = partly.unionByName(again.groupBy("doc", "row", "seg").agg(F.collect_set("at").alias("gone")))
+    partly = met.groupBy("shard").applyInPandas(_match_shard(rules), GONE)
+    partly = partly.unionByName(_settle_windows(content.where("shard < 0"), rules))
     partly = cut(partly)
     others = partly.where("row <> 0").drop("row").join(several.select("doc", "row", "seg"), ["doc", "seg"])
     none = F.array().cast("array<int>")
