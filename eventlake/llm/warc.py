@@ -7,13 +7,19 @@
 * Pushed predicates. Equality, ``IN`` and ``IS NOT NULL`` on record type, id, target, digest and
   reference are taken over by the reader. The headers of a record are parsed first; a record they reject is skipped by
   its length, without decoding its payload. ``payload=false`` skips every payload.
+  Spark 4.1 keeps what was last pushed to a loaded table, so load it anew for a scan without predicates.
 * Files are gzip with one member per record. Members carry their compressed length in the ``LX`` extra
   field of archive gzip files, which lets the reader jump to the next member; members without it, and
   plain files, are read too.
-* A task writes to a temporary folder, and only the commit moves the files of successful attempts, so
-  lost or repeated tasks leave nothing behind.
+* A task writes to a temporary folder of its job, and only the commit moves the files of successful
+  attempts and removes that folder, so lost or repeated tasks leave nothing behind. ``overwrite`` removes
+  the archive's older files once the new ones are there.
+* A record that is cut short or malformed is an error (option ``mode=fail``), is left out (``skip``), or is a
+  row of type ``malformed`` with the file as its target and the byte as its id (``mark``). Payloads are only
+  checked where they are read, or where marks are asked for. Where the length of
+  its member is known, reading goes on behind it, else with the next file.
 
-Paths are folders that driver and executors share as a mounted file system.
+Paths are those of Arrow's file systems: local and mounted folders, and stores that it opens by URI.
 
 Defined results of the query: a null html is an empty payload; pages with equal payloads are one
 response (smallest page_id) and revisits; rows that repeat the smallest id are responses too; a page
@@ -23,15 +29,17 @@ table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-import os
+import io
+import posixpath
 import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import BinaryIO
 
+import pyarrow.fs as afs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
@@ -47,7 +55,7 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
-from eventlake.llm.common import cut, new_dir, small, table
+from eventlake.llm.common import BROADCAST_ROWS, cut, new_dir, table
 
 SCHEMA = (
     "record_id string, record_type string, target_uri string, record_date string, payload_digest string, "
@@ -68,8 +76,19 @@ HEAD_BYTES = 4096
 END = b"\r\n\r\n"
 
 
-def local_path(path: str) -> str:
-    return re.sub(r"^file:(//)?(?=/)", "", path)
+def place(path: str) -> tuple[afs.FileSystem, str]:
+    """The file system of a path or URI, and the path in it."""
+    if re.match(r"file:/(?!/)", path):
+        path = path[len("file:") :]
+    return afs.FileSystem.from_uri(path) if "://" in path else (afs.LocalFileSystem(), path)
+
+
+class Malformed(ValueError):
+    """A record that can't be read; ``at`` is its first byte."""
+
+    def __init__(self, at: int, why: str) -> None:
+        super().__init__(f"record at byte {at} {why}")
+        self.at = at
 
 
 # -- records ------------------------------------------------------------------------------------
@@ -116,39 +135,52 @@ def parse_head(head: bytes) -> dict[str, str]:
     return fields
 
 
+def _head_end(head: bytes, at: int) -> int:
+    edge = head.find(END)
+    if edge < 0 or not head.startswith(b"WARC/"):
+        raise Malformed(at, "has no WARC header")
+    return edge
+
+
+def _content_length(fields: dict[str, str], at: int) -> int:
+    size = fields.get("content-length", "0")
+    if not size.isdigit():
+        raise Malformed(at, f"has the length {size!r}")
+    return int(size)
+
+
 class _Gzip:
     """The records of a file with one gzip member for each."""
 
     def __init__(self, file: BinaryIO) -> None:
         self.file = file
-
-    def heads(self) -> Iterator[bytes]:
-        """The first bytes of each record; ``rest`` gives all of the current one."""
-        while True:
-            self.at = self.file.tell()
-            first = self.file.read(HEAD_BYTES)
-            if not first:
-                return
-            self.length = self._length(first)
-            self.inflate = zlib.decompressobj(16 + zlib.MAX_WBITS)
-            self.head = self.inflate.decompress(first, HEAD_BYTES)
-            while END not in self.head and not self.inflate.eof:
-                more = self.inflate.unconsumed_tail or self.file.read(HEAD_BYTES)
-                if not more:
-                    break
-                self.head += self.inflate.decompress(more, HEAD_BYTES)
-            self.whole: bytes | None = None
-            yield self.head
-            if self.length is None:
-                self.rest()
-                end = self.file.tell() - len(self.inflate.unused_data)
-            else:
-                end = self.at + self.length
-            self.file.seek(end)
+        self.at = 0
+
+    def next(self) -> bytes | None:
+        """The first bytes of the next record, None at the end; ``rest`` gives all of it, ``skip`` leaves it."""
+        self.at = self.file.tell()
+        first = self.file.read(HEAD_BYTES)
+        if not first:
+            return None
+        self.length = self._length(first)
+        self.inflate = zlib.decompressobj(16 + zlib.MAX_WBITS)
+        self.whole: bytes | None = None
+        self.head = self._more(first, HEAD_BYTES)
+        while END not in self.head and not self.inflate.eof:
+            self.head += self._more(self.inflate.unconsumed_tail or self.file.read(HEAD_BYTES), HEAD_BYTES)
+        return self.head
+
+    def _more(self, raw: bytes, most: int = 0) -> bytes:
+        if not raw:
+            raise Malformed(self.at, "is cut short")
+        try:
+            return self.inflate.decompress(raw, most)
+        except zlib.error as error:
+            raise Malformed(self.at, f"is not gzip: {error}") from error
 
     @staticmethod
     def _length(first: bytes) -> int | None:
-        if len(first) >= 24 and first[3] & 4 and first[12:14] == b"LX":
+        if len(first) >= 24 and first[:2] == b"\x1f\x8b" and first[3] & 4 and first[12:14] == b"LX":
             return struct.unpack_from("<I", first, 16)[0]
         return None
 
@@ -156,67 +188,114 @@ class _Gzip:
         if self.whole is None:
             parts = [self.head]
             while not self.inflate.eof:
-                more = self.inflate.unconsumed_tail or self.file.read(1 << 16)
-                if not more:
-                    raise ValueError(f"record at byte {self.at} is cut short")
-                parts.append(self.inflate.decompress(more))
+                parts.append(self._more(self.inflate.unconsumed_tail or self.file.read(1 << 16)))
             self.whole = b"".join(parts)
         return self.whole
 
+    def skip(self) -> None:
+        if self.length is None:
+            self.rest()
+            self.file.seek(self.file.tell() - len(self.inflate.unused_data))
+        else:
+            self.file.seek(self.at + self.length)
+
+    def recover(self) -> bool:
+        """Go behind a malformed record, if that is known."""
+        if self.length is None:
+            return False
+        self.file.seek(self.at + self.length)
+        return True
+
 
 class _Plain:
     """The records of a file that isn't compressed."""
 
     def __init__(self, file: BinaryIO) -> None:
         self.file = file
-
-    def heads(self) -> Iterator[bytes]:
-        while True:
-            self.at = self.file.tell()
-            head = self.file.read(HEAD_BYTES)
-            while END not in head:
-                more = self.file.read(HEAD_BYTES)
-                if not more:
-                    break
-                head += more
-            if not head.strip():
-                return
-            size = int(parse_head(head.partition(END)[0]).get("content-length", 0))
-            self.size = head.index(END) + 4 + size + 4
-            yield head
-            self.file.seek(self.at + self.size)
+        self.at = 0
+
+    def next(self) -> bytes | None:
+        self.at = self.file.tell()
+        head = self.file.read(HEAD_BYTES)
+        while END not in head and (more := self.file.read(HEAD_BYTES)):
+            head += more
+        if not head.strip():
+            return None
+        edge = _head_end(head, self.at)
+        self.size = edge + 4 + _content_length(parse_head(head[:edge]), self.at) + 4
+        return head[: self.size]
 
     def rest(self) -> bytes:
         self.file.seek(self.at)
-        return self.file.read(self.size)
+        whole = self.file.read(self.size)
+        if len(whole) < self.size:
+            raise Malformed(self.at, "is cut short")
+        return whole
+
+    def skip(self) -> None:
+        self.file.seek(self.at + self.size)
 
+    def recover(self) -> bool:
+        return False
 
-def read_records(path: str, wanted: dict[str, set[str]], with_payload: bool, present: frozenset[str] = frozenset()) -> Iterator[tuple]:
+
+def read_records(
+    path: str, wanted: dict[str, set[str]], with_payload: bool, present: frozenset[str] = frozenset(), mode: str = "fail"
+) -> Iterator[tuple]:
     """Rows of a file; ``wanted`` maps columns to the values they may have, ``present`` columns aren't null."""
-    with open(path, "rb") as file:
+    system, inner = place(path)
+    allowed = lambda row: all(row[n] in v for n, v in wanted.items()) and all(row[n] is not None for n in present)
+    malformed = dict.fromkeys(HEADERS) | {"record_id": "0", "record_type": "malformed", "target_uri": path}
+    with system.open_input_file(inner) as raw, io.BufferedReader(raw, 1 << 20) as file:
         kind = _Gzip if file.read(2) == b"\x1f\x8b" else _Plain
         file.seek(0)
         records = kind(file)
-        for head in records.heads():
-            edge = head.index(END)
-            fields = parse_head(head[:edge])
-            row = {name: fields.get(header.lower()) for name, header in HEADERS.items()}
-            if any(row[name] not in values for name, values in wanted.items()) or any(row[name] is None for name in present):
+        while True:
+            try:
+                head = records.next()
+                if head is None:
+                    return
+                found = _record(records, head, allowed, with_payload, mode == "mark" and allowed(malformed))
+                records.skip()
+            except Malformed as error:
+                if mode == "fail":
+                    raise ValueError(f"{path}: {error}") from error
+                row = malformed | {"record_id": str(error.at)}
+                found = (*row.values(), None, None) if mode == "mark" and allowed(row) else None
+                if found:
+                    yield found
+                if not records.recover():
+                    return
                 continue
-            http = head[edge + 4 :]
-            payload = None
-            is_http = (row["content_type"] or "").startswith("application/http")
-            size = int(fields.get("content-length", 0))
-            if with_payload and row["record_type"] != "revisit":
-                block = records.rest()[edge + 4 : edge + 4 + size]
-                payload = block.partition(END)[2] if is_http else block
-            elif is_http and END not in http and size > len(http):
-                http = records.rest()[edge + 4 : edge + 4 + size]
-            length = len(payload) if payload is not None else size
-            if payload is None and is_http:
-                stated = parse_head(http.partition(END)[0]).get("content-length")
-                length = int(stated) if stated and stated.isdigit() else None
-            yield (*(row[name] for name in HEADERS), length, payload)
+            if found:
+                yield found
+
+
+def _record(records: _Gzip | _Plain, head: bytes, allowed: Callable[[dict], bool], with_payload: bool, check: bool) -> tuple | None:
+    """The row of a record, or None if its headers are not wanted; then its payload is not decoded unless ``check``."""
+    edge = _head_end(head, records.at)
+    fields = parse_head(head[:edge])
+    size = _content_length(fields, records.at)
+    row = {name: fields.get(header.lower()) for name, header in HEADERS.items()}
+    if not allowed(row):
+        if check and len(records.rest()) < edge + 4 + size:
+            raise Malformed(records.at, "is cut short")
+        return None
+    http = head[edge + 4 :]
+    payload = None
+    is_http = (row["content_type"] or "").startswith("application/http")
+    if with_payload and row["record_type"] != "revisit":
+        block = records.rest()[edge + 4 : edge + 4 + size]
+        if len(block) < size:
+            raise Malformed(records.at, "is cut short")
+        payload = block.partition(END)[2] if is_http else block
+    elif is_http and END not in http and size > len(http):
+        http = records.rest()[edge + 4 : edge + 4 + size]
+    length = len(payload) if payload is not None else size
+    if payload is None and is_http:
+        stated = parse_head(http.partition(END)[0]).get("content-length")
+        length = int(stated) if stated and stated.isdigit() else None
+    return (*(row[name] for name in HEADERS), length, payload)
 
 
 # -- the data source ----------------------------------------------------------------------------
@@ -229,8 +308,11 @@ class Files(InputPartition):
 
 class WarcReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
-        self.path = local_path(options["path"])
+        self.path = options["path"]
         self.bytes = int(options.get("partition_bytes", 64 << 20))
+        self.mode = str(options.get("mode", "fail")).lower()
+        if self.mode not in ("fail", "skip", "mark"):
+            raise ValueError(f"mode is one of fail, skip and mark, not {self.mode!r}")
         self.payload = str(options.get("payload", "true")).lower() == "true"
         self.wanted: dict[str, set[str]] = {}
         self.present: frozenset[str] = frozenset()
@@ -251,21 +333,21 @@ class WarcReader(DataSourceReader):
         self.wanted[name] = self.wanted.get(name, values) & values
 
     def partitions(self) -> list[Files]:
-        names = sorted(n for n in os.listdir(self.path) if n.endswith((".warc", ".warc.gz")))
+        system, inner = place(self.path)
+        files = [f for f in system.get_file_info(afs.FileSelector(inner)) if f.is_file and f.base_name.endswith((".warc", ".warc.gz"))]
         found: list[Files] = []
         room = 0
-        for path in (os.path.join(self.path, n) for n in names):
-            size = os.path.getsize(path)
-            if not found or size > room:
+        for file in sorted(files, key=lambda f: f.base_name):
+            if not found or file.size > room:
                 found.append(Files([]))
                 room = self.bytes
-            found[-1].paths.append(path)
-            room -= size
+            found[-1].paths.append(posixpath.join(self.path, file.base_name))
+            room -= file.size
         return found or [Files([])]
 
     def read(self, partition: Files) -> Iterator[tuple]:
         for path in partition.paths:
-            yield from read_records(path, self.wanted, self.payload, self.present)
+            yield from read_records(path, self.wanted, self.payload, self.present, self.mode)
 
 
 @dataclass
@@ -274,14 +356,20 @@ class Written(WriterCommitMessage):
 
 
 class WarcWriter(DataSourceWriter):
-    def __init__(self, options: dict) -> None:
-        self.path = local_path(options["path"])
+    def __init__(self, options: dict, overwrite: bool) -> None:
+        self.path = options["path"]
         self.level = int(options.get("level", 6))
         self.bytes = int(options.get("file_bytes", 64 << 20))
-        self.temporary = os.path.join(self.path, "_temporary")
+        self.overwrite = overwrite
+        self.job = uuid.uuid4().hex
+
+    def _place(self) -> tuple[afs.FileSystem, str, str]:
+        system, inner = place(self.path)
+        return system, inner, posixpath.join(inner, "_temporary", self.job)
 
     def write(self, rows: Iterator) -> Written:
-        os.makedirs(self.temporary, exist_ok=True)
+        system, _, temporary = self._place()
+        system.create_dir(temporary)
         paths: list[str] = []
         out: BinaryIO | None = None
         try:
@@ -289,8 +377,8 @@ class WarcWriter(DataSourceWriter):
                 if out is None or out.tell() >= self.bytes:
                     if out:
                         out.close()
-                    paths.append(os.path.join(self.temporary, f"part-{uuid.uuid4().hex}.warc.gz"))
-                    out = open(paths[-1], "wb")  # noqa: SIM115
+                    paths.append(posixpath.join(temporary, f"part-{uuid.uuid4().hex}.warc.gz"))
+                    out = system.open_output_stream(paths[-1], compression=None)
                 out.write(gzip_member(record_bytes(row.asDict()), self.level))
         finally:
             if out:
@@ -298,14 +386,26 @@ class WarcWriter(DataSourceWriter):
         return Written(paths)
 
     def commit(self, messages: list) -> None:
-        os.makedirs(self.temporary, exist_ok=True)
+        system, inner, _ = self._place()
+        system.create_dir(inner)
+        older = [f.path for f in system.get_file_info(afs.FileSelector(inner)) if f.is_file and self.overwrite]
         for path in (p for m in messages if m for p in m.paths):
-            os.replace(path, os.path.join(self.path, os.path.basename(path)))
+            system.move(path, posixpath.join(inner, posixpath.basename(path)))
+        for path in older:
+            system.delete_file(path)
+        self._clear()
 
     def abort(self, messages: list) -> None:
-        for path in (p for m in messages if m for p in m.paths):
-            if os.path.exists(path):
-                os.remove(path)
+        self._clear()
+
+    def _clear(self) -> None:
+        """Remove what is left of this job, and the temporary folder if no other job uses it."""
+        system, inner, temporary = self._place()
+        if system.get_file_info(temporary).type == afs.FileType.Directory:
+            system.delete_dir(temporary)
+        above = posixpath.join(inner, "_temporary")
+        if not system.get_file_info(afs.FileSelector(above, allow_not_found=True)) and system.get_file_info(above).type == afs.FileType.Directory:
+            system.delete_dir(above)
 
 
 class WarcDataSource(DataSource):
@@ -320,7 +420,7 @@ class WarcDataSource(DataSource):
         return WarcReader(self.options)
 
     def writer(self, schema: StructType, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options)
+        return WarcWriter(self.options, overwrite)
 
 
 def register(spark: SparkSession) -> None:
@@ -352,14 +452,18 @@ def _page_id(record_id: Column) -> Column:
     return F.when(record_id != _NO_ID, F.conv(digits, 16, -10).cast("long"))
 
 
-def page_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
+def page_records(pages: DataFrame, least_bytes: int = 0, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """WARC records of pages; pages that repeat another's payload revisit its record."""
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload"))
     rows = rows.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("digest", base32_sha1(F.col("payload")))
     groups = rows.where(F.col("payload_bytes") >= least_bytes).groupBy("digest").agg(F.count("*").alias("n"), F.min("page_id").alias("origin"))
     groups = cut(groups.where("n > 1 AND origin IS NOT NULL").select("digest", "origin"))
-    marked = rows.join(small(groups, groups.count()), "digest", "left")
+    if groups.count() <= broadcast_rows:
+        marked = rows.join(F.broadcast(groups), "digest", "left")
+    else:  # ids and digests meet first, so that payloads are dealt by page and not by a common digest
+        marks = rows.select(F.col("page_id").alias("id"), "digest").join(groups, "digest").select("id", F.col("digest").alias("of"), "origin").distinct()
+        marked = rows.join(marks, F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of")), "left")
     revisit = F.col("origin").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("origin"))
     return marked.select(
         _record_id(F.col("page_id")).alias("record_id"),
@@ -380,26 +484,17 @@ def archive(pages: DataFrame, path: str) -> None:
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """Responses are measured from their payloads, revisits from their headers alone."""
+    """One pass: responses are measured from their payloads, revisits from their headers alone."""
     register(spark)
-    source = spark.read.format("warc")
-    responses = source.load(path).where("record_type = 'response'")
-    revisits = spark.read.format("warc").option("payload", "false").load(path).where("record_type = 'revisit'")
-    full = responses.select(
-        _page_id(F.col("record_id")).alias("page_id"),
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
-        base32_sha1(F.col("payload")).alias("payload_digest"),
-        "record_type",
-        F.lit(None).cast("long").alias("refers_to"),
-    )
-    again = revisits.select(
+    records = spark.read.format("warc").load(path).where(F.col("record_type").isin("response", "revisit"))
+    full = F.col("record_type") == "response"
+    return records.select(
         _page_id(F.col("record_id")).alias("page_id"),
-        "payload_bytes",
-        F.regexp_replace("payload_digest", "^sha1:", "").alias("payload_digest"),
+        F.when(full, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(full, base32_sha1(F.col("payload"))).otherwise(F.regexp_replace("payload_digest", "^sha1:", "")).alias("payload_digest"),
         "record_type",
-        _page_id(F.col("refers_to")).alias("refers_to"),
+        F.when(~full, _page_id(F.col("refers_to"))).alias("refers_to"),
     )
-    return full.unionByName(again)
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,6 +85,28 @@ def test_pieces_equal_the_library(tables):
     assert got == model.encode(texts)
 
 
+def test_long_words_equal_the_library(tables):
+    """Words of a million characters without a space: random letters, code, one letter, and short patterns."""
+    import base64
+    import time
+
+    import pyarrow as pa
+
+    model = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    rng = np.random.default_rng(3)
+    letters = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8)).decode()
+    texts = [letters(1_000_000), base64.b64encode(rng.bytes(200_000)).decode(), "a" * 100_003, "abcab" * 20_001, "theth" * 3_000 + letters(5_000), "=" * 5_000, "0" * 30_001]
+    texts += [letters(int(n)) for n in rng.integers(1000, 2500, 40)]
+    encoder = pieces.Encoder(tables)
+    for text in texts:
+        began = time.perf_counter()
+        (_, _, data, offsets), *_ = pieces.tx.slices(pa.array([text]))
+        ids, _ = encoder.encode(data, offsets)
+        took = time.perf_counter() - began
+        assert ids.tolist() == model.encode(text)
+        assert took < 30, (text[:20], took)
+
+
 def test_pieces_on_tables(spark, tables):
     docs = odd(spark)
     coded = pieces.encode(docs, tables)
@@ -244,6 +266,48 @@ def test_warc_files_without_lengths(tmp_path):
     assert gzip.decompress((tmp_path / "c.warc.gz").read_bytes()) == b"".join(records)
 
 
+def test_warc_overwrite_and_leftovers(spark, tmp_path):
+    warc.register(spark)
+    pages = spark.createDataFrame(page_rows(), "page_id long, url string, html string, digest int")
+    path = str(tmp_path / "w")
+    for _ in range(2):
+        warc.page_records(pages).write.format("warc").mode("overwrite").save(path)
+    assert spark.read.format("warc").load(f"file:{path}").count() == len(page_rows())
+    assert all(p.name.endswith(".warc.gz") for p in (tmp_path / "w").iterdir())
+    bad = warc.page_records(pages).withColumn("record_type", F.when(F.col("record_id").contains("0003>"), F.raise_error(F.lit("x"))).otherwise(F.col("record_type")))
+    with pytest.raises(Exception, match="x"):
+        bad.write.format("warc").mode("append").save(path)
+    assert all(p.name.endswith(".warc.gz") for p in (tmp_path / "w").iterdir())
+    assert spark.read.format("warc").load(path).count() == len(page_rows())
+    few = sorted(str(tuple(r)) for r in warc.page_records(pages, broadcast_rows=0).collect())
+    assert few == sorted(str(tuple(r)) for r in warc.page_records(pages).collect())
+
+
+def test_warc_malformed_records(spark, tmp_path):
+    import gzip
+
+    warc.register(spark)
+    row = dict.fromkeys(warc.HEADERS) | {"record_type": "response", "record_id": "<urn:x>", "payload": b"p" * 9000, "payload_bytes": 9000}
+    good = [warc.record_bytes(row | {"target_uri": f"u{i}"}) for i in range(3)]
+    odd = [b"no header at all", good[0].replace(b"Content-Length: 90", b"Content-Length: x0"), b"WARC/1.1\r\nContent-Length: 99\r\n\r\nshort"]
+    member = warc.gzip_member
+    files = {
+        "lx.warc.gz": (b"".join(member(r, 6) for r in [good[0], *odd, good[1]]), ["u0", "u1"], 3),
+        "cut.warc.gz": (member(good[0], 6) + gzip.compress(good[1])[:-30], ["u0"], 1),
+        "cut.warc": (good[0] + good[1] + good[2][:-700], ["u0", "u1"], 1),
+        "junk.warc": (good[0] + b"junk" * 50 + good[1], ["u0"], 1),
+        "bytes.warc.gz": (gzip.compress(good[0]) + b"junk" * 50, ["u0"], 1),
+    }
+    for name, (data, uris, wrong) in files.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / name).write_bytes(data)
+        load = lambda mode: spark.read.format("warc").option("mode", mode).load(str(tmp_path / name))  # noqa: B023, E731
+        assert [r.target_uri for r in load("skip").orderBy("target_uri").collect()] == uris, name
+        assert load("mark").where("record_type = 'malformed'").count() == wrong and load("mark").count() == wrong + len(uris), name
+        with pytest.raises(Exception, match="record at byte"):
+            load("fail").count()
+
+
 # -- 9 ------------------------------------------------------------------------------------------
 
 
@@ -296,3 +360,52 @@ def test_long_and_short_texts_agree():
     for i, t in enumerate(texts):
         alone = lab.documents(t, np.array([0, len(t)]))
         assert np.allclose(alone[0], together[i], atol=1e-5)
+
+
+def plain_gru(net, text):
+    """Mean probabilities over all bytes of a text, one byte and one unit at a time."""
+    from math import exp, tanh
+
+    logistic = lambda x: 1 / (1 + exp(-x))
+
+    def states(d, data):
+        h = d.recur.shape[1]
+        state, out = [0.0] * h, []
+        for byte in data:
+            back = [sum(d.recur[k, j] * state[j] for j in range(h)) for k in range(3 * h)]
+            z = [logistic(d.table[k, byte] + back[k]) for k in range(h)]
+            r = [logistic(d.table[h + k, byte] + back[h + k]) for k in range(h)]
+            c = [tanh(d.table[2 * h + k, byte] + r[k] * back[2 * h + k]) for k in range(h)]
+            state = [z[k] * state[k] + (1 - z[k]) * c[k] for k in range(h)]
+            out.append(state)
+        return out
+
+    f, b = net.directions
+    ahead, behind = states(f, text), states(b, text[::-1])[::-1]
+    total = np.zeros(len(net.bias))
+    for x, y in zip(ahead, behind):
+        logits = f.out @ np.array(x) + b.out @ np.array(y) + net.bias[:, 0]
+        p = np.exp(logits - logits.max())
+        total += p / p.sum()
+    return total / max(1, len(text))
+
+
+def test_labeller_equals_a_plain_network():
+    net = language.start(3, language.Settings(hidden=4))
+    rng = np.random.default_rng(7)
+    texts = [rng.integers(32, 127, n).astype(np.uint8) for n in (1, 7, 60, 130, 33)]
+    at = np.cumsum([0, *map(len, texts)])
+    whole = language.Labeller(net, language.Settings(span=1000)).documents(np.concatenate(texts), at)
+    cut = language.Labeller(net, language.Settings(span=20, margin=24, rows=5)).documents(np.concatenate(texts), at)
+    for i, t in enumerate(texts):
+        plain = plain_gru(net, t.tolist())
+        _, states = language._forward(net.directions[0], t[:, None])
+        assert np.isfinite(states).all()
+        assert np.allclose(plain, whole[i], atol=1e-5) and np.allclose(plain, cut[i], atol=2e-2)
+
+
+def test_languages_share_a_bounded_sample(spark):
+    rows = [(i, f"text number {i} of a language with words", f"l{i % 50}", "x") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = language.learn(docs, language.Settings(steps=2, most_rows=100))
+    assert len(model.languages) == 50
