@@ -7,6 +7,11 @@ the pieces that end there and are stable behind the last piece of the prefix bef
 kept as the backpointer. Distinct words of one length advance together: substring hashes probe the sorted
 piece keys (behind a bit table that rejects most non-pieces), and the maxima are taken over whole columns.
 
+Long words are encoded by windows that overlap and advance together like words of one length. Two windows
+join at a boundary that both have, if the pieces on its sides are stable: then all neighbours are, so the
+joined pieces are the word's encoding. Where windows share no such boundary, the later one begins anew at a
+boundary of the earlier; a word for which that fails too is encoded in one piece.
+
 Words are cut where no piece can reach across: before a space mark and around characters without a
 piece, which become bytes. Runs of space marks are merged after the words, as the model does. Results
 equal those of the SentencePiece library for this kind of model; ``Vocabulary`` refuses models it can't
@@ -40,6 +45,10 @@ CACHE_WORDS = 1_000_000
 #: Pairs of pieces that it remembers, as a power of two.
 PAIR_BITS = 20
 SLICE_BYTES = 1 << 20
+#: Characters of words that are encoded by windows, of a window, and of what two windows share.
+LONG_WORD = 1024
+WINDOW = 512
+SHARED = 128
 
 _U = np.uint64
 _MULT = _U(0x9E3779B97F4A7C15)
@@ -120,6 +129,7 @@ class Tables:
     pair_keys: np.ndarray  # sorted left * 2**32 + right of neighbours that can be joined
     pair_score: np.ndarray
     byte_ids: np.ndarray
+    length: np.ndarray  # characters of each piece
     space: int
     runs: dict[int, list[int]]
     spell: np.ndarray  # bytes of all pieces, and offsets
@@ -184,7 +194,7 @@ class Tables:
         np.cumsum([len(s) for s in spelled], out=at[1:])
         return cls(
             keys[order], np.array(own)[order], likely, reach, longest, single, formed, left, right, pair_keys,
-            np.array([pairs[k] for k in pair_keys.tolist()]), np.array(v.byte_ids), v.space, {},
+            np.array([pairs[k] for k in pair_keys.tolist()]), np.array(v.byte_ids), np.array([len(t) for t in v.texts]), v.space, {},
             np.frombuffer(b"".join(spelled), np.uint8), at, v.texts, v.rank,
         )
 
@@ -328,11 +338,51 @@ class Encoder:
         order = np.argsort(owner, kind="stable")
         return piece[order].astype(np.int32), np.bincount(owner, minlength=n)
 
+    def _long(self, codes: np.ndarray) -> np.ndarray:
+        """Pieces of a long word, joined from those of its windows."""
+        n = len(codes)
+        starts = np.append(np.arange(0, n - WINDOW, WINDOW - SHARED), n - WINDOW)
+        windows = []
+        for at in range(0, len(starts), 4096):
+            got, counts = self.viterbi(codes[starts[at : at + 4096][:, None] + np.arange(WINDOW)])
+            windows += np.split(got, np.cumsum(counts)[:-1])
+        again: dict[bytes, np.ndarray] = {}
+        pieces, ends = windows[0], np.cumsum(self.t.length[windows[0]])
+        out, joined = [], 0
+        for start, fresh in zip(starts[1:].tolist(), windows[1:]):
+            begins = start + np.append(0, np.cumsum(self.t.length[fresh]))[:-1]
+            both, i, j = np.intersect1d(ends, begins, return_indices=True)
+            ok = np.flatnonzero((both > max(start, joined)) & self._stable(pieces[i].astype(np.int64), fresh[j].astype(np.int64)))
+            if len(ok):
+                k = ok[len(ok) // 2]
+                last, first = i[k], j[k]
+            else:
+                for last in np.flatnonzero(ends > max(start, joined))[:-1].tolist():
+                    part = codes[ends[last] : ends[last] + WINDOW]
+                    fresh = again.get(part.tobytes())
+                    if fresh is None:
+                        fresh = again[part.tobytes()] = self.viterbi(part[None, :])[0]
+                    if self._stable(pieces[last : last + 1].astype(np.int64), fresh[:1].astype(np.int64))[0]:
+                        break
+                else:
+                    return self.viterbi(codes[None, :])[0]
+                first, begins = 0, ends[last] + np.append(0, np.cumsum(self.t.length[fresh]))[:-1]
+            out.append(pieces[(ends > joined) & (np.arange(len(ends)) <= last)])
+            joined = int(ends[last])
+            pieces, ends = fresh, begins + self.t.length[fresh]
+        return np.concatenate([*out, pieces[ends > joined]])
+
     def _learn(self, codes: np.ndarray, start: np.ndarray, size: np.ndarray, keys: np.ndarray) -> None:
         """Encode new distinct words and remember them."""
         pieces, counts, order = [], [], []
         for length in np.unique(size):
             rows = np.flatnonzero(size == length)
+            if length > LONG_WORD:
+                for row in rows:
+                    pieces.append(self._long(codes[start[row] : start[row] + length]))
+                    counts.append(np.array([len(pieces[-1])]))
+                    order.append(np.array([row]))
+                continue
             step = max(1, 4_000_000 // int(length))
             for at in range(0, len(rows), step):
                 part = rows[at : at + step]
