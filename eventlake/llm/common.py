@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,9 +17,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one where none is set, as in tests."""
+    """The folder that driver and executors share.
+
+    Where none is set, a local session, as in tests, gets a temporary one; elsewhere, executors would not see it.
+    """
     place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not place:
+        if not re.fullmatch(r"local(\[.*)?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         place = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", place)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -3,9 +3,11 @@
 Two small GRUs read the UTF-8 bytes of a text, one forwards, one backwards. At every byte position
 both states give probabilities of the languages; a document's probabilities are their mean over all
 its positions. The network is trained in numpy by backpropagation through time on a bounded sample of
-labelled documents (``sample`` of each language, drawn by hash), with a fixed seed.
+labelled documents (``sample`` of each language, ``most_rows`` in all, drawn by hash), with a fixed seed;
+of a long one, it reads ``windows`` windows of ``window`` characters.
 
-Whole texts are labelled: texts are cut into sequences of ``span`` bytes, sequences of many texts
+Whole texts are labelled: texts are cut into sequences of ``span`` bytes, each of which also reads ``margin``
+bytes on both sides without labelling them, so that states don't begin at a cut. Sequences of many texts
 advance together one byte at a time, and shorter last sequences are grouped by length so that little
 padding is computed. Memory is bounded by ``rows`` sequences at a time. Each document is independent,
 so scoring is one scan without a shuffle.
@@ -36,11 +38,13 @@ UNKNOWN = "und"
 @dataclass(frozen=True)
 class Settings:
     hidden: int = 8
-    span: int = 256
+    span: int = 512
+    margin: int = 16
     #: Sequences that advance together.
     rows: int = 2048
     #: Training: documents of each language, windows of each document, bytes of a window, and steps.
     sample: int = 150
+    most_rows: int = 20_000
     windows: int = 4
     window: int = 64
     batch: int = 96
@@ -204,8 +208,12 @@ class Labeller:
                 state *= alive[t]
             yield t, state
 
-    def label(self, data: np.ndarray, alive: np.ndarray | None) -> np.ndarray:
-        """Sums of position probabilities of each sequence: classes x sequences."""
+    def label(self, data: np.ndarray, alive: np.ndarray | None, counts: np.ndarray | None = None) -> np.ndarray:
+        """Sums of position probabilities of each sequence: classes x sequences.
+
+        ``alive`` has the positions that are not padding, ``counts`` those that are summed.
+        """
+        counts = alive if counts is None else counts
         logits = np.empty((len(data), len(self.bias), data.shape[1]), np.float32)
         for t, state in self._states(0, data, alive):
             np.matmul(self.parts[0][2], state, out=logits[t])
@@ -217,27 +225,31 @@ class Labeller:
             p -= p.max(axis=0)
             np.exp(p, out=p)
             p /= p.sum(axis=0)
-            total += p if alive is None else p * alive[t]
+            total += p if counts is None else p * counts[t]
         return total
 
     def documents(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Mean position probabilities of each text: texts x classes; zeros for empty texts."""
-        span, n = self.s.span, len(offsets) - 1
+        span, margin, n = self.s.span, self.s.margin, len(offsets) - 1
         size = np.diff(offsets)
         pieces = -(-size // span)
         owner = np.repeat(np.arange(n), pieces)
         within = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        start = offsets[owner] + within * span
-        length = np.minimum(span, offsets[owner + 1] - start)
+        own = offsets[owner] + within * span
+        own_end = np.minimum(own + span, offsets[owner + 1])
+        start = np.maximum(own - margin, offsets[owner])
+        length = np.minimum(own_end + margin, offsets[owner + 1]) - start
         total = np.zeros((n, len(self.bias)))
         order = np.argsort(-length, kind="stable")
-        padded = np.append(data, np.zeros(span, np.uint8))
+        padded = np.append(data, np.zeros(span + 2 * margin, np.uint8))
         for at in range(0, len(order), self.s.rows):
             part = order[at : at + self.s.rows]
             steps = int(length[part[0]])
-            block = padded[start[part][None, :] + np.arange(steps)[:, None]]
-            alive = None if length[part[-1]] == steps else (np.arange(steps)[:, None] < length[part][None, :]).astype(np.float32)
-            np.add.at(total, owner[part], self.label(block, alive).T)
+            place = np.arange(steps)[:, None]
+            block = padded[start[part][None, :] + place]
+            alive = None if length[part[-1]] == steps else (place < length[part][None, :]).astype(np.float32)
+            counts = ((place >= (own - start)[part][None, :]) & (place < (own_end - start)[part][None, :])).astype(np.float32)
+            np.add.at(total, owner[part], self.label(block, alive, counts).T)
         return total / np.maximum(size, 1)[:, None]
 
 
@@ -254,7 +266,9 @@ def learn(docs: DataFrame, s: Settings = Settings()) -> Model:
     """Train on at most ``sample`` documents of each language that may be learned from."""
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").where(crc_remainder(F.col("doc_id"), 4) != 2)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = cut(rows.select("doc_id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= s.sample).drop("place"))
+    languages = rows.agg(F.count_distinct("lang")).first()[0]
+    each = max(1, min(s.sample, s.most_rows // max(1, languages)))
+    ids = cut(rows.select("doc_id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= each).drop("place"))
     texts = docs.select("doc_id", "text").where("text IS NOT NULL").join(small(ids, ids.count()), "doc_id")
     # A window of a long text is enough to learn from: windows lie evenly over the text.
     need = s.window * s.windows
