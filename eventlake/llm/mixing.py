@@ -38,6 +38,24 @@ def hash_digits(doc_id: Column, text: Column) -> Column:
     return F.substring(F.md5(key.cast("binary")), 1, HASH_DIGITS)
 
 
+def running(df: DataFrame, order: list[Column], columns: list[str]) -> DataFrame:
+    """``df`` with ``place`` (from 1) in the order and, for each column, ``before_``: its sum over all rows before.
+
+    Rows are dealt by ranges of the order; sums over whole ranges come from one row for each of them, so no task
+    sees all rows. The order must have no ties.
+    """
+    ranged = cut(df.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("part").orderBy(*order)
+    sums = ranged.groupBy("part").agg(F.count("*").alias("rows"), *[F.sum(c).alias(c) for c in columns])
+    sums = sums.select("part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"parts_{c}") for c in ("rows", *columns)])
+    placed = ranged.join(F.broadcast(sums), "part").withColumn("place", F.col("parts_rows") + F.row_number().over(within))  # one row a partition
+    inside = within.rowsBetween(Window.unboundedPreceding, -1)
+    for c in columns:
+        placed = placed.withColumn(f"before_{c}", F.col(f"parts_{c}") + F.coalesce(F.sum(c).over(inside), F.lit(0)))
+    return placed.drop("part", "parts_rows", *[f"parts_{c}" for c in columns])
+
+
 def water_levels(by_source: DataFrame) -> DataFrame:
     """Targets of sources: shares by weight, none above MOST_COPIES times its size.
 
@@ -45,28 +63,22 @@ def water_levels(by_source: DataFrame) -> DataFrame:
     the smaller of its limit and level x weight. Sources sorted by limit / weight fill up in that
     order, so running sums give the level.
     """
-    n = len(WEIGHTS)
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    everything = Window.partitionBy()
-    by_fill = Window.orderBy("fill_at", F.col("source").asc_nulls_last())
-    weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (((F.row_number().over(order) - 1) % n) + 1).cast("int"))
+    by_name = F.col("source").asc_nulls_last()
+    weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (((F.col("place") - 1) % len(WEIGHTS)) + 1).cast("int"))
     ranked = (
-        by_source.withColumn("weight", weight.cast("double"))
+        running(by_source, [by_name], [])
+        .withColumn("weight", weight.cast("double"))
         .withColumn("top", F.col("source_size") * float(MOST_COPIES))
         .withColumn("fill_at", F.col("top") / F.col("weight"))
-        .withColumn("total", F.sum("source_size").over(everything).cast("double"))
-        .withColumn("weights", F.sum("weight").over(everything))
-    )
-    before = by_fill.rowsBetween(Window.unboundedPreceding, -1)
-    level = (F.col("total") - F.coalesce(F.sum("top").over(before), F.lit(0.0))) / (
-        F.col("weights") - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
+        .drop("place")
     )
+    filled = cut(running(ranked, [F.col("fill_at"), by_name], ["top", "weight"]))
+    sums = filled.agg(F.sum("source_size").cast("double").alias("total"), F.sum("weight").alias("weights")).first()
+    level = (F.lit(sums["total"]) - F.col("before_top")) / (F.lit(sums["weights"]) - F.col("before_weight"))
     # The level holds from the first source on that it does not fill.
-    filled = ranked.withColumn("level", level).withColumn("place", F.row_number().over(by_fill))
-    first = F.min(F.when(F.col("level") <= F.col("fill_at"), F.struct("place", "level"))).over(everything)
-    levels = filled.withColumn("level", first["level"])
-    target = F.least(F.col("top"), F.coalesce(F.col("level"), F.lit(0.0)) * F.col("weight"))
-    return levels.select("source", "source_size", target.alias("target"))
+    first = filled.select("place", "fill_at", level.alias("level")).where("level <= fill_at").agg(F.min_by("level", "place")).first()[0]
+    target = F.least(F.col("top"), F.lit(first or 0.0) * F.col("weight"))
+    return filled.select("source", "source_size", target.alias("target"))
 
 
 def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
