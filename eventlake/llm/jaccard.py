@@ -450,3 +450,18 @@ def keep_one(docs: DataFrame, rules: Forest = Forest()) -> DataFrame:
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
+ORACLE = r"""
+WITH RECURSIVE
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^ \t-\r]+'), []) AS w FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+p AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM s AS a JOIN s AS b ON a.g = b.g AND a.r <> b.r GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n AS x ON x.r = a JOIN n AS y ON y.r = b WHERE c >= 0.8 * (x.n + y.n - c) - 1e-9),
+reach AS (SELECT a, b FROM l UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
+c AS (SELECT reach.a AS r, min(d.doc_id) AS least FROM reach JOIN d ON d.r = reach.b GROUP BY reach.a),
+k AS (SELECT a AS r, count(*) AS n FROM l GROUP BY a)
+SELECT d.doc_id, least(d.doc_id, coalesce(c.least, d.doc_id))::BIGINT AS class_id, coalesce(k.n, 0)::BIGINT AS n_links
+FROM d LEFT JOIN c ON c.r = d.r LEFT JOIN k ON k.r = d.r
+"""

@@ -21,5 +21,6 @@ ORACLES = {
     "op1_nearest": neighbours.ORACLE,
     "op8_warc": warc.ORACLE,
     "op2_mixing": mixing.ORACLE,
+    "op7_jaccard_join": jaccard.ORACLE,
     "op10_repeats": substrings.ORACLE,
 }
