@@ -74,11 +74,19 @@ def next_span(current: int, least: int) -> int | None:
 
 
 def initial_span(start: int, end: int, requested: int) -> int:
-    """``requested``, made coarser until the range has at most MAX_BINS bins."""
-    span = requested
-    while (end - start) // span > MAX_BINS:
-        span = min((s for s in SPAN_LADDER if s > span), default=span * 4)
-    return span
+    """``requested``, or the first coarser span with which the range has at most MAX_BINS bins.
+
+    Coarser spans are those of the ladder, and behind it the last span times 4, 16 and so on.
+    """
+    # The range has at most MAX_BINS bins if a span is longer than this.
+    too_short = (end - start) // (MAX_BINS + 1)
+    if requested > too_short:
+        return requested
+    coarser = [s for s in reversed(SPAN_LADDER) if s > max(requested, too_short)]
+    if coarser:
+        return coarser[0]
+    longest = max(requested, SPAN_LADDER[0])
+    return longest * 4 ** next(k for k in range(1, 40) if longest * 4**k > too_short)
 
 
 def format_time(second: Column) -> Column:

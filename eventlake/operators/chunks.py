@@ -42,6 +42,15 @@ def chunk_counts(events: DataFrame, chunks: DataFrame, zone: str = "UTC") -> Dat
     return chunks.join(counts, same, "left").drop("chunk_start", "chunk_end").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
+def expect_exports(chunks: DataFrame, events: DataFrame, zone: str = "UTC") -> DataFrame:
+    """Export leaves without an expected count get one by counting; all other chunks stay as they are."""
+    blind = (F.col("status") != "split") & (F.col("mode") == "export") & F.col("expected").isNull()
+    counted = chunk_counts(events, chunks.where(blind).select("day", "start", "end").distinct(), zone)
+    counted = counted.select(F.col("start").alias("s"), F.col("end").alias("e"), F.col("n").alias("_counted"))
+    joined = chunks.join(counted, blind & (F.col("start") == F.col("s")) & (F.col("end") == F.col("e")), "left")
+    return joined.withColumn("expected", F.coalesce("expected", "_counted")).select(*chunks.columns)
+
+
 def plan_vs_written(plan: DataFrame, written: DataFrame) -> DataFrame:
     """Expected against written by chunk: null ``matches`` where nothing was expected to be known."""
     joined = plan.join(written.select("start", "end", F.col("n").alias("written")), ["start", "end"], "left")
@@ -96,17 +105,30 @@ def bisect_overflow(chunks: DataFrame, events: DataFrame, cap: int, least: int =
 
 
 def paginate(assigned: DataFrame, size: int, order: list[str]) -> DataFrame:
-    """Page numbers of the rows of each chunk; sorts a chunk, so use it for chunks of bounded size."""
-    w = Window.partitionBy("chunk_start", "chunk_end").orderBy(*order)
-    return assigned.withColumn("page", F.floor((F.row_number().over(w) - 1) / size).cast("long"))
+    """Page numbers of the rows of each chunk, in the order of ``order``, whose first column has the time.
+
+    Rows are ranked within their second only, behind the counts of the seconds before it, so a task never
+    sorts a whole chunk.
+    """
+    chunk, first = ["chunk_start", "chunk_end"], order[0]
+    counts = assigned.groupBy(*chunk, first).agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*chunk).orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    within = Window.partitionBy(*chunk, first).orderBy(*order)
+    place = F.col("_before") + F.row_number().over(within) - 1
+    return assigned.join(offsets, [*chunk, first]).withColumn("page", F.floor(place / size).cast("long")).select(*assigned.columns, "page")
 
 
 def capped_result(assigned: DataFrame, cap: int) -> DataFrame:
-    """At most ``cap`` rows of each chunk, latest first, and whether the chunk was cut."""
-    part = Window.partitionBy("chunk_start", "chunk_end")
-    ranked = assigned.withColumn("_rank", F.row_number().over(part.orderBy(F.col("t").desc(), "event_id")))
-    ranked = ranked.withColumn("truncated", F.count("*").over(part) > cap)
-    return ranked.where(F.col("_rank") <= cap).drop("_rank")
+    """At most ``cap`` rows of each chunk, latest first, and whether the chunk was cut.
+
+    Spark limits ranks before the shuffle, so a task gets no more than ``cap`` rows of a chunk from each other.
+    """
+    chunk = ["chunk_start", "chunk_end"]
+    latest = Window.partitionBy(*chunk).orderBy(F.col("t").desc(), "event_id")
+    ranked = assigned.withColumn("_rank", F.row_number().over(latest)).where(F.col("_rank") <= cap).drop("_rank")
+    cut = assigned.groupBy(*chunk).agg((F.count("*") > cap).alias("truncated"))
+    return ranked.join(cut, chunk).select(*assigned.columns, "truncated")
 
 
 def chunk_mode(mode: str, hot: Column, expected: Column, cap: int) -> Column:

@@ -5,11 +5,12 @@ Counts by second are made once from the events; refinement, packing and bisectio
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlake.functions.times import SPAN_LADDER, day_bounds, initial_span, next_span
+from eventlake.functions.times import day_bounds, initial_span, next_span
 
 CHUNK = "day string, start long, end long, expected long, hot boolean"
 
@@ -52,37 +53,49 @@ def refine(events: DataFrame, start: int, end: int, span: int, target: int, leas
     return seconds.groupBy(final_start.alias("start"), final_end.alias("end")).agg(F.sum("n").alias("count"))
 
 
-def overlapping(bins: DataFrame) -> DataFrame:
-    """Bins that begin before an earlier one has ended."""
-    w = Window.orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
-    return bins.withColumn("before", F.max("end").over(w)).where("start < before").drop("before")
+def _days_touched(start: Column, end: Column, zone: str) -> Column:
+    local = lambda second: F.to_date(F.from_utc_timestamp(F.timestamp_seconds(second), zone))
+    return F.transform(F.sequence(local(start), local(end - 1)), lambda d: F.date_format(d, "yyyy-MM-dd"))
+
+
+def overlapping(bins: DataFrame, zone: str = "UTC") -> DataFrame:
+    """Bins that begin before an earlier one has ended; two such bins share a day, so days are compared alone."""
+    w = Window.partitionBy("_touched").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    by_day = bins.withColumn("_touched", F.explode(_days_touched(F.col("start"), F.col("end"), zone)))
+    return by_day.withColumn("_before", F.max("end").over(w)).where("start < _before").select(*bins.columns).distinct()
+
+
+def _breaks(counts: np.ndarray, target: int) -> list[int]:
+    """Where new chunks begin among bins in a row, so that each chunk takes all that fit: jumps over running sums."""
+    upto = np.cumsum(counts)
+    found, spent = [], 0
+    while (at := int(np.searchsorted(upto, spent + target, side="right"))) < len(upto):
+        found.append(at)
+        spent = upto[at - 1]
+    return found
 
 
 def _pack_day(target: int):
-    def work(bins: pd.DataFrame) -> pd.DataFrame:
-        day, first, last = bins["day"].iat[0], int(bins["ds"].iat[0]), int(bins["de"].iat[0])
-        bins = bins.dropna(subset=["start"]).sort_values("start")
-        straddled = bool(((bins["start"] < first) | (bins["end"] > last)).any())
-        out: list[tuple] = []
-        at, held = first, 0
-
-        def cut(to: int) -> None:
-            if to > at:
-                out.append((day, at, to, None if straddled else held, False))
-
-        for s, e, n in bins[["start", "end", "count"]].astype("int64").itertuples(index=False):
-            s, e = max(s, first), min(e, last)
-            if n > target:
-                cut(s)
-                out.append((day, s, e, None if straddled else n, True))
-                at, held = e, 0
-            elif held and held + n > target:
-                cut(s)
-                at, held = s, n
-            else:
-                held += n
-        cut(last)
-        return pd.DataFrame(out, columns=["day", "start", "end", "expected", "hot"]).astype({"expected": "Int64"})
+    """The chunks of a day are the tiles between its edges: hot bins bring both of theirs, other chunks their start."""
+
+    def work(rows: pd.DataFrame) -> pd.DataFrame:
+        day, opens, closes = rows["day"].iat[0], int(rows["ds"].iat[0]), int(rows["de"].iat[0])
+        bins = rows.dropna(subset=["start"]).sort_values("start")[["start", "end", "count"]].astype("int64")
+        start, end, count = (bins[c].to_numpy() for c in bins)
+        if (start[1:] < end[:-1]).any():
+            raise ValueError(f"bins overlap on {day}")
+        known = not ((start < opens) | (end > closes)).any()
+        start, end = start.clip(opens, closes), end.clip(opens, closes)
+        hot = np.flatnonzero(count > target)
+        edges = [opens, closes, *start[hot], *end[hot]]
+        for run in np.split(np.arange(len(start)), hot):
+            run = run[count[run] <= target]
+            edges += [start[run[k]] for k in _breaks(count[run], target)]
+        edges = np.unique(edges)
+        sums = np.bincount(np.searchsorted(edges, start, side="right") - 1, count, len(edges))[:-1].astype(np.int64)
+        return pd.DataFrame(
+            {"day": day, "start": edges[:-1], "end": edges[1:], "expected": pd.array(sums if known else [None] * len(sums), "Int64"), "hot": np.isin(edges[:-1], start[hot])}
+        )
 
     return work
 
@@ -92,11 +105,11 @@ def pack(bins: DataFrame, ranges: DataFrame, target: int, zone: str = "UTC") ->
 
     Bins of a day are taken in order; empty time belongs to the chunk before it. A bin above the target
     is a hot chunk of its own. Where a bin reaches over the edge of a day, counts of that day are unknown.
+    Bins that overlap are an error.
     """
     days = day_bounds(ranges, zone).select("day", F.col("start").alias("ds"), F.col("end").alias("de"))
-    # Each bin finds its days by equality on the local day of its two ends.
-    ends = F.array_distinct(F.array(*[F.date_format(F.from_utc_timestamp(F.timestamp_seconds(s), zone), "yyyy-MM-dd") for s in (F.col("start"), F.col("end") - 1)]))
-    touched = bins.withColumn("day", F.explode(ends))
+    # Each bin finds its days by equality.
+    touched = bins.withColumn("day", F.explode(_days_touched(F.col("start"), F.col("end"), zone)))
     return days.join(touched, "day", "left").groupBy("day").applyInPandas(_pack_day(target), CHUNK)
 
 
@@ -126,5 +139,3 @@ def plan_summary(chunks: DataFrame) -> DataFrame:
         F.count_if("hot").alias("hot"),
     )
 
-
-__all__ = ["SPAN_LADDER", "fixed_chunks", "histogram", "overlapping", "pack", "per_second", "plan", "plan_summary", "refine"]

@@ -66,6 +66,65 @@ def test_pack_random_days(spark):
         assert all(c[2] <= 100 for c in got if not c[3])
 
 
+def by_the_rules(bins, opens, closes, target):
+    """Chunks of a day from the rules: (start, end, expected, hot)."""
+    out, start, held = [], opens, 0
+    for s, e, n in bins:
+        if n > target or held + n > target:
+            if s > start:
+                out.append((start, s, held, False))
+            start, held = s, 0
+        if n > target:
+            out.append((s, e, n, True))
+            start = e
+        else:
+            held += n
+    return out + [(start, closes, held, False)] * (closes > start)
+
+
+def test_pack_500_random_days():
+    """Tiles, sums, bounds, and the chunks of the rules."""
+    import pandas as pd
+
+    rng = random.Random(7)
+    pack = planning._pack_day(100)
+    for _ in range(500):
+        opens = D + rng.randrange(0, 12 * H)
+        closes = rng.randrange(opens + 60, D + DAY + 1)
+        span = rng.choice([60, 600, 3600])
+        bins = [(max(s, opens), min(s + span, closes), rng.choice([0, 1, 50, 99, 100, 101, 400])) for s in range(opens // span * span, closes, span)]
+        if rng.random() < 0.5:
+            bins = [b for b in bins if b[2]]
+        rows = [("2018-08-20", opens, closes, *b) for b in bins] or [("2018-08-20", opens, closes, None, None, None)]
+        rng.shuffle(rows)
+        got = [tuple(r)[1:] for r in pack(pd.DataFrame(rows, columns=["day", "ds", "de", "start", "end", "count"])).itertuples(index=False)]
+        assert [c[0] for c in got] == [opens] + [c[1] for c in got[:-1]] and got[-1][1] == closes
+        assert sum(c[2] for c in got) == sum(b[2] for b in bins) and all(c[3] or c[2] <= 100 for c in got)
+        assert got == by_the_rules(bins, opens, closes, 100)
+
+
+def test_pack_refuses_overlapping_bins(spark):
+    with pytest.raises(Exception, match="bins overlap"):
+        planning.pack(bins_df(spark, [(D, D + H, 1), (D + 1800, D + 5400, 1)]), ranges(spark, D, D + DAY), 100).count()
+
+
+def test_pack_bins_of_several_days(spark):
+    got = packed(spark, [(D, D + 4 * DAY, 10)], D, D + 4 * DAY, 100)
+    assert got == [(i * DAY, (i + 1) * DAY, None, False) for i in range(4)]
+
+
+def test_spans():
+    from eventlake.functions.times import MAX_BINS, SPAN_LADDER, initial_span
+
+    assert initial_span(0, 30 * DAY, 3600) == 3600 and initial_span(0, 3653 * DAY, 3600) == 86400
+    for length in (0, 1, 40_000, 40_001, 40_002, 2_400_059, 10**9, 10**11, 10**12):
+        for requested in (1, 7, 60, 3600, 50_000, 86_400, 100_000):
+            span = requested  # coarser step by step
+            while length // span > MAX_BINS:
+                span = min((s for s in SPAN_LADDER if s > span), default=span * 4)
+            assert initial_span(5, 5 + length, requested) == span
+
+
 def test_fixed_chunks(spark):
     rows = planning.fixed_chunks(ranges(spark, D + 1000, D + DAY + 500), 21600).orderBy("start").collect()
     assert [r.end - D for r in rows] == [22600, 44200, 65800, 86400, 86900]
@@ -147,3 +206,20 @@ def test_pages_and_caps(spark):
     assert ch.paginate(assigned, 3, ["t"]).select("page").distinct().count() == 4
     top = ch.capped_result(assigned, 4)
     assert sorted(r.t for r in top.collect()) == [60, 70, 80, 90] and top.where("truncated").count() == 4
+
+
+def test_pages_of_a_hot_second(spark):
+    events = spark.createDataFrame([(i, 5 if i < 70 else i) for i in range(100)], "event_id long, t long")
+    assigned = ch.assign_chunks(events, spark.createDataFrame([("1970-01-01", 0, 100)], "day string, start long, end long"))
+    pages = {r.event_id: r.page for r in ch.paginate(assigned, 8, ["t", "event_id"]).collect()}
+    assert pages == {i: i // 8 for i in range(100)}
+    top = ch.capped_result(assigned, 40).collect()
+    assert sorted(r.event_id for r in top) == sorted([*range(10), *range(70, 100)]) and all(r.truncated for r in top)
+
+
+def test_exports_without_expected_count_are_counted(spark):
+    events = spark.createDataFrame([(i, 10 * i) for i in range(10)], "event_id long, t long")
+    rows = [("export", "done", 0, 50, None), ("job", "done", 50, 60, None), ("export", "done", 60, 100, 7), ("export", "split", 0, 100, None)]
+    chunks = spark.createDataFrame([("1970-01-01", *r) for r in rows], "day string, mode string, status string, start long, end long, expected long")
+    got = sorted(tuple(r)[1:] for r in ch.expect_exports(chunks, events).collect())
+    assert got == sorted([("export", "done", 0, 50, 5), *rows[1:]])
