@@ -54,7 +54,27 @@ def line_digest(lines: DataFrame, keys: list[str], line: str = "line") -> DataFr
     )
 
 
-def sorted_digest(lines: DataFrame, keys: list[str], line: str = "line") -> DataFrame:
-    """SHA-256 over the byte-sorted lines of each key; for keys of bounded size such as chunks."""
-    ended = F.array_sort(F.collect_list(F.concat(line, F.lit("\n"))))
-    return lines.groupBy(*keys).agg(F.count("*").alias("rows"), F.sha2(F.array_join(ended, "").cast("binary"), 256).alias("digest"))
+#: Lines of one key that are sorted in one task, at most, on average.
+DIGEST_LINES = 100_000
+
+
+def sorted_digest(lines: DataFrame, keys: list[str], line: str = "line", most: int = DIGEST_LINES) -> DataFrame:
+    """Rows and a digest of the multiset of lines of each key.
+
+    Equal lines are counted first. Up to ``most`` lines, the digest is the SHA-256 over the byte-sorted lines,
+    each with its break. A larger key is dealt to blocks by the hash of the line; its digest is the SHA-256 over
+    the digests of the blocks in order, whose lines are followed by a tab and their count instead of being repeated.
+    """
+    counted = lines.groupBy(*keys, F.col(line).alias("_line")).agg(F.count("*").alias("_n"))
+    sizes = counted.groupBy(*keys).agg(F.sum("_n").alias("rows")).withColumn("_blocks", F.ceil(F.col("rows") / most))
+    block = F.pmod(F.xxhash64("_line"), F.col("_blocks")).cast("int")
+    placed = counted.join(sizes, keys).withColumn("_block", block)
+    whole = F.repeat(F.concat("_line", F.lit("\n")), F.col("_n").cast("int"))
+    text = F.when(F.col("_blocks") == 1, whole).otherwise(F.concat("_line", F.lit("\t"), F.col("_n").cast("string"), F.lit("\n")))
+    ordered = F.array_sort(F.collect_list(F.struct(F.col("_line").cast("binary").alias("by"), text.alias("text"))))
+    joined = F.array_join(F.transform(ordered, lambda x: x["text"]), "")
+    digests = placed.groupBy(*keys, "rows", "_blocks", "_block").agg(F.sha2(joined.cast("binary"), 256).alias("_digest"))
+    in_order = F.array_sort(F.collect_list(F.struct("_block", "_digest")))
+    of_blocks = F.sha2(F.array_join(F.transform(in_order, lambda x: x["_digest"]), "\n").cast("binary"), 256)
+    digest = F.when(F.col("_blocks") == 1, F.max("_digest")).otherwise(of_blocks)
+    return digests.groupBy(*keys, "rows", "_blocks").agg(digest.alias("digest")).select(*keys, "rows", "digest")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.functions.messages import has_level
+from eventlake.sources.sinks import keep
 
 LEVELS = ("job", "plan", "total", "full")
 MOST_GAPS = 20
@@ -24,11 +25,15 @@ def done(chunks: DataFrame) -> DataFrame:
 def coverage_gaps(leaf: DataFrame, earliest: int, latest: int) -> DataFrame:
     """(kind, start, end): why leaves don't tile the range; at most MOST_GAPS rows.
 
-    The ordering is over one run's manifest, whose size is that of the plan and not of the events.
+    Leaves are ordered within their day; only the first leaf of each day is looked at across days.
     """
-    w = Window.orderBy("start", "end")
-    s = leaf.select("start", "end").withColumn("next", F.lead("start").over(w)).withColumn("next_end", F.lead("end").over(w))
-    s = s.withColumn("first", F.row_number().over(w) == 1)
+    leaf = leaf.select("start", "end").withColumn("day", F.floor(F.col("start") / 86400))
+    w = Window.partitionBy("day").orderBy("start", "end")
+    days = leaf.groupBy("day").agg(F.min(F.struct("start", "end")).alias("opens"))
+    days = days.select("day", F.lead("opens").over(Window.orderBy("day")).alias("opens"), (F.lag("opens").over(Window.orderBy("day"))).isNull().alias("earliest"))
+    s = leaf.withColumn("follows", F.lead(F.struct("start", "end")).over(w)).withColumn("place", F.row_number().over(w))
+    s = s.join(days, "day").withColumn("follows", F.coalesce("follows", "opens")).withColumn("first", F.col("earliest") & (F.col("place") == 1))
+    s = s.select("start", "end", F.col("follows.start").alias("next"), F.col("follows.end").alias("next_end"), "first")
     issue = lambda kind, a, b: F.struct(F.lit(kind).alias("kind"), a.cast("long").alias("start"), b.cast("long").alias("end"))
     start, end, follows = F.col("start"), F.col("end"), F.col("next")
     found = F.array(
@@ -46,18 +51,22 @@ def coverage_gaps(leaf: DataFrame, earliest: int, latest: int) -> DataFrame:
 def split_rollup(chunks: DataFrame) -> DataFrame:
     """Split chunks with a known count: what all leaves below them wrote, and whether it adds up.
 
-    Leaves climb to their parents level by level; trees are at most some 18 levels deep, as each level
-    halves a range of a day. ``chunks`` has id, parent, status, expected and written.
+    Leaves climb to their parents level by level, until all are at the top; each level is kept as a table. A
+    chunk that is its own ancestor is an error. ``chunks`` has id, parent, status, expected and written.
     """
     climb = leaves(chunks).select(F.col("parent").alias("at"), F.coalesce("written", F.lit(0)).alias("written")).where("at IS NOT NULL")
-    parents = chunks.where("status = 'split'").select("id", "parent")
+    climb = keep(climb.groupBy("at").agg(F.sum("written").alias("written")), "climb")
+    parents = keep(chunks.where("status = 'split'").select("id", "parent"), "parents")
+    most = parents.count()
     levels = [climb]
-    for _ in range(18):
-        climb = climb.join(parents, climb["at"] == parents["id"]).select(F.col("parent").alias("at"), "written").where("at IS NOT NULL")
-        climb = climb.groupBy("at").agg(F.sum("written").alias("written"))
+    while True:
+        above = climb.join(parents, climb["at"] == parents["id"]).select(F.col("parent").alias("at"), "written").where("at IS NOT NULL")
+        climb = keep(above.groupBy("at").agg(F.sum("written").alias("written")), "climb")
         if climb.isEmpty():
             break
         levels.append(climb)
+        if len(levels) > most:
+            raise ValueError("a split chunk lies below itself")
     below = reduce(DataFrame.unionByName, levels).groupBy("at").agg(F.sum("written").alias("children"))
     split = chunks.where("status = 'split' AND expected IS NOT NULL")
     return split.join(below, split["id"] == below["at"], "left").select(
@@ -77,20 +86,46 @@ def vacuous(chunks: DataFrame) -> DataFrame:
     return top.agg((F.count("*") > 0).alias("some"), F.count("expected").alias("known")).select((F.col("some") & (F.col("known") == 0)).alias("vacuous"))
 
 
+HASHES = ("hash_sum", "hash_xor")
+
+
 def files_vs_manifest(files: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Files against done chunks by path: missing on either side, or a wrong number of lines."""
-    planned = done(chunks).groupBy("path").agg(F.sum(F.coalesce("written", F.lit(0)) + F.coalesce("multiline", F.lit(0))).alias("expected_lines"))
-    joined = planned.join(files.select("path", "lines"), "path", "full_outer")
+    """Files against done chunks by path: missing on either side, unreadable, or with wrong lines.
+
+    ``files`` has path and lines, and may have ``files`` (how many there are) and the hashes of
+    :func:`~eventlake.sources.sinks.written_files`. Hashes are compared for paths of one chunk, if both sides
+    have them. With ``files``, a chunk without lines needs no file, and a file without a line of those it should have is unreadable.
+    """
+    hashed = all(h in df.columns for h in HASHES for df in (files, chunks))
+    one = [F.when(F.count("*") == 1, F.first(h)).alias(f"planned_{h}") for h in HASHES] if hashed else []
+    planned = done(chunks).groupBy("path").agg(F.sum(F.coalesce("written", F.lit(0)) + F.coalesce("multiline", F.lit(0))).alias("expected_lines"), *one)
+    joined = planned.join(files.select("path", "lines", *(HASHES if hashed else ())), "path", "full_outer")
+    other = F.lit(False)
+    for h in HASHES if hashed else ():
+        other = other | F.coalesce(F.col(h).cast("decimal(38,0)") != F.col(f"planned_{h}").cast("decimal(38,0)"), F.lit(False))
     state = (
         F.when(F.col("path").isNull(), "no path")
+        .when(F.col("lines").isNull() & (F.col("expected_lines") == 0) & F.lit("files" in files.columns), "ok")
         .when(F.col("lines").isNull(), "missing file")
         .when(F.col("expected_lines").isNull(), "unknown file")
+        .when((F.col("lines") == 0) & (F.col("expected_lines") > 0) & F.lit("files" in files.columns), "unreadable file")
         .when(F.col("lines") != F.col("expected_lines"), "wrong lines")
+        .when(other, "wrong content")
         .otherwise("ok")
     )
     return joined.select("path", F.coalesce("expected_lines", F.lit(0)).alias("expected_lines"), F.coalesce("lines", F.lit(0)).alias("lines"), state.alias("state"))
 
 
+def sample_differences(written: DataFrame, again: DataFrame, keys: tuple[str, ...] = ("chunk",)) -> DataFrame:
+    """Chunks of a sample whose lines are not those of a second extraction, as multisets: keys and differing lines.
+
+    Both have the keys and ``line``. Lines are counted before they meet, so that repeated ones cost a row.
+    """
+    both = written.select(*keys, "line", F.lit(1).alias("sign")).unionByName(again.select(*keys, "line", F.lit(-1).alias("sign")))
+    off = both.groupBy(*keys, "line").agg(F.sum("sign").alias("off")).where("off <> 0")
+    return off.groupBy(*keys).agg(F.sum(F.abs("off")).alias("lines"))
+
+
 def validate(
     chunks: DataFrame,
     earliest: int,
@@ -99,13 +134,16 @@ def validate(
     total: DataFrame | None = None,
     files: DataFrame | None = None,
     recount: DataFrame | None = None,
+    sample: DataFrame | None = None,
     strict: bool = True,
     used_histogram: bool = True,
+    notes: bool = False,
 ) -> DataFrame:
     """(name, ok, bad): one row for each check of the level and those below it.
 
-    ``total``: one row with an independent count ``n``; ``files``: path and lines; ``recount``: start,
-    end and ``n``. Checks whose evidence is not given are left out.
+    ``total``: one row with an independent count ``n``; ``files``: see :func:`files_vs_manifest`; ``recount``:
+    start, end and ``n``; ``sample``: rows of :func:`sample_differences`. Checks whose evidence is not given are
+    left out. With ``notes``, replaced bytes are a row that is always ok, and ``detail`` says what was found.
     """
     upto = LEVELS.index(level)
 
@@ -135,7 +173,28 @@ def validate(
     if upto >= 3 and recount is not None:
         again = finished.join(recount.select("start", "end", "n"), ["start", "end"], "left")
         checks.append(check("per-chunk-recount", again.where("coalesce(n, 0) <> written")))
-    return reduce(DataFrame.unionByName, checks)
+    if upto >= 3 and sample is not None:
+        checks.append(check("sample-reextract", sample))
+    if notes:
+        replaced = finished.agg(F.coalesce(F.sum("utf8_replacements"), F.lit(0)).alias("bad"))
+        checks.append(replaced.select(F.lit("utf8-replacements").alias("name"), F.lit(True).alias("ok"), "bad"))
+    found = reduce(DataFrame.unionByName, checks)
+    return found.withColumn("detail", detail()) if notes else found
+
+
+#: What the number of a check counts; others count chunks.
+COUNTED = {
+    "coverage": "gaps or overlaps", "total-count": "differences of the total", "files-intact": "paths", "split-parents-eq-children": "split chunks",
+    "utf8-replacements": "replaced sequences",
+}
+
+
+def detail() -> Column:
+    """A check's number with what it counts, such as ``3 paths``."""
+    what = F.lit("chunks")
+    for name, counted in COUNTED.items():
+        what = F.when(F.col("name") == name, counted).otherwise(what)
+    return F.concat_ws(" ", F.col("bad").cast("string"), what)
 
 
 def run_verdict(chunks: DataFrame, checks: DataFrame) -> DataFrame:

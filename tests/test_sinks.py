@@ -81,3 +81,67 @@ def test_windows_and_deltas(spark):
     assert base + delta == ev.extract_events(events, 0, 100, 90).count()
     assert ev.pin_snapshot(events, None).count() == 100
     assert ev.whole_days(events.limit(0)) == (0, 0)
+
+
+def test_compaction_keeps_order_and_what_was_there(spark, assigned, tmp_path):
+    rows, chunks = assigned
+    sinks.write_ndjson(rows, str(tmp_path / "o"), ["t"])
+    done = chunks.join(sinks.written_counts(rows), F.col("start") == F.col("chunk_start")).withColumn("status", F.lit("done")).withColumn("multiline", F.lit(None).cast("long"))
+    out = str(tmp_path / "d")
+    sinks.compact_days(spark, str(tmp_path / "o"), out, done)
+    for day in ("2018-08-20", "2018-08-21"):
+        lines = [r.value for r in spark.read.option("lineSep", "\n").text(f"{out}/day={day}").collect()]
+        starts = [int(line[5:-1]) // 43200 for line in lines]
+        assert starts == sorted(starts)
+    before = sorted(p.name for p in (tmp_path / "d").rglob("*.gz"))
+    with pytest.raises(ValueError, match="line counts differ"):
+        sinks.compact_days(spark, str(tmp_path / "o"), out, done.withColumn("written", F.col("written") + 1))
+    assert sorted(p.name for p in (tmp_path / "d").rglob("*.gz")) == before
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["d", "o"]
+
+
+def test_damaged_files(spark, assigned, tmp_path):
+    from eventlake.plans import validation as va
+
+    rows, _ = assigned
+    out = tmp_path / "o"
+    name = F.concat_ws("-", F.col("chunk_start").cast("string"), F.col("chunk_end").cast("string"))
+    lines = rows.select(F.col("chunk_day").alias("day"), name.alias("chunk"), encode_json(rows, ["t", "_raw"]).alias("line"))
+    sinks.write_lines(lines, str(out))
+    planned = sinks.planned_files(lines)
+    chunks = planned.select("path", F.col("lines").alias("written"), F.lit(0).alias("multiline"), F.lit("done").alias("status"), "hash_sum", "hash_xor")
+    state = lambda: {r.path: r.state for r in va.files_vs_manifest(sinks.written_files(spark, str(out)), chunks).collect()}
+    assert set(state().values()) == {"ok"} and len(state()) == 3
+    first, second, third = sorted(state())
+    for folder, damage in ((first, lambda b: b"not gzip at all"), (second, lambda b: b[: len(b) // 2])):
+        (file,) = (out / folder).glob("*.gz")
+        file.write_bytes(damage(file.read_bytes()))
+        (out / folder / f".{file.name}.crc").unlink(missing_ok=True)
+    found = state()
+    assert found[first] == "unreadable file" and found[second] in ("wrong lines", "unreadable file") and found[third] == "ok"
+
+
+def test_samples_differ_as_multisets(spark):
+    from eventlake.plans import validation as va
+
+    written = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y"), ("c", "z")], "chunk string, line string")
+    again = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "w")], "chunk string, line string")
+    assert sorted(tuple(r) for r in va.sample_differences(written, again).collect()) == [("a", 1), ("c", 2)]
+    assert va.sample_differences(written, written).count() == 0
+
+
+def test_digest_of_large_keys(spark):
+    import hashlib
+
+    from eventlake.functions.encoding import sorted_digest
+
+    rows = [("k", f"line {i % 40}") for i in range(100)] + [("l", "one"), ("l", "one"), ("l", "a\rb")]
+    df = spark.createDataFrame(rows, "key string, line string")
+    small = {r.key: (r.rows, r.digest) for r in sorted_digest(df, ["key"]).collect()}
+    for key in ("k", "l"):
+        text = "".join(sorted(x + "\n" for k, x in rows if k == key))
+        assert small[key] == (text.count("\n"), hashlib.sha256(text.encode()).hexdigest())
+    blocks = lambda d: {r.key: r.digest for r in sorted_digest(d, ["key"], most=10).collect()}
+    assert blocks(df) == blocks(df.repartition(5)) and blocks(df)["l"] == small["l"][1]
+    other = spark.createDataFrame([*rows[1:], ("k", "line 1")], df.schema)
+    assert blocks(other)["k"] != blocks(df)["k"]

@@ -1,3 +1,5 @@
+import pytest
+
 from eventlake.operators import chunks as ch
 from eventlake.plans import validation as va
 
@@ -96,3 +98,28 @@ def test_report(spark, tmp_path):
     checks = va.validate(chunks, 0, 100, "job")
     text = va.write_report(checks, chunks.where("status <> 'done'"), str(tmp_path / "r"))
     assert "| coverage | ok | 0 |" in text and spark.read.json(str(tmp_path / "r/checks")).count() == 4
+
+
+def test_deep_and_circular_trees(spark):
+    chain = [chunk(i, 0, 1, "split", parent=i - 1 if i > 1 else None, expected=3) for i in range(1, 41)]
+    tree = frame(spark, *chain, chunk(41, 0, 1, parent=40, written=3))
+    got = va.split_rollup(tree).collect()
+    assert len(got) == 40 and all(r.ok and r.children == 3 for r in got)
+    circle = frame(spark, chunk(1, 0, 1, "split", parent=2), chunk(2, 0, 1, "split", parent=1), chunk(3, 0, 1, parent=2))
+    with pytest.raises(ValueError, match="below itself"):
+        va.split_rollup(circle)
+
+
+def test_coverage_across_days(spark):
+    day = 86400
+    assert kinds(spark, [(i * day, (i + 1) * day) for i in range(5)], 0, 5 * day) == []
+    assert kinds(spark, [(0, day), (2 * day, 3 * day)], 0, 3 * day) == [("gap", day, 2 * day)]
+    assert kinds(spark, [(0, day + 50), (day, 2 * day)], 0, 2 * day) == [("overlap", day, day + 50)]
+
+
+def test_notes_and_sample(spark):
+    good = frame(spark, chunk(1, 0, 50), chunk(2, 50, 100))
+    sample = spark.createDataFrame([("1", 2)], "chunk string, lines long")
+    rows = {r.name: (r.ok, r.bad, r.detail) for r in va.validate(good, 0, 100, "full", sample=sample, notes=True).collect()}
+    assert rows["sample-reextract"] == (False, 1, "1 chunks") and rows["utf8-replacements"] == (True, 2, "2 replaced sequences")
+    assert rows["coverage"] == (True, 0, "0 gaps or overlaps")
