@@ -91,6 +91,19 @@ def day_bounds(spark, sf_dir):
     return times.day_bounds(ranges(spark, lo + 7200, hi - 3600))
 
 
+@query("day_bounds_dst", f"""WITH {EVENTS}, k AS (SELECT unnest(generate_series(timezone('America/New_York', to_timestamp(lo))::DATE, timezone('America/New_York', to_timestamp(hi + 180 * 86400 - 1))::DATE, INTERVAL 1 DAY)) AS d, lo, hi + 180 * 86400 AS hi FROM r)
+SELECT strftime(d, '%Y-%m-%d') AS day, greatest(epoch(timezone('America/New_York', d::TIMESTAMP))::BIGINT, lo) AS start, least(epoch(timezone('America/New_York', (d + INTERVAL 1 DAY)::TIMESTAMP))::BIGINT, hi) AS "end" FROM k""")
+def day_bounds_dst(spark, sf_dir):
+    """Local days from the first event on, past a change of clocks: one of them has 23 hours."""
+    _, lo, hi = view(spark, sf_dir)
+    return times.day_bounds(ranges(spark, lo, hi + 180 * ev.DAY), "America/New_York")
+
+
+@query("formatted_times", f"""WITH {EVENTS} SELECT event_id, strftime(make_timestamp(t * 1000000), '%Y-%m-%dT%H:%M:%S') || '.000+00:00' AS _time FROM ev""")
+def formatted_times(spark, sf_dir):
+    return ev.events_view(spark, sf_dir).select("event_id", times.format_time(F.col("t")).alias("_time"))
+
+
 def _bins_sql(target: int = TARGET) -> str:
     """Bins by plain recursion down the ladder 3600, 600, 60, 10, 1."""
     spans, sql = (3600, 600, 60, 10, 1), []
@@ -291,6 +304,15 @@ def content_digest(spark, sf_dir):
     return encoding.sorted_digest(assigned.select("chunk_start", encoding.encode_json(assigned, FIELDS).alias("line")), ["chunk_start"])
 
 
+@query("planned_digest", f"""WITH RECURSIVE {EVENTS}, {PACKED} SELECT start AS chunk_start, count(*)::BIGINT AS rows, sha256(string_agg(line || chr(10), '' ORDER BY line || chr(10))) AS digest
+FROM (SELECT start, {LINE} AS line FROM ev JOIN pack ON t >= start AND t < "end") GROUP BY ALL""")
+def planned_digest(spark, sf_dir):
+    """Digests of the chunks of a plan, whose rows are bounded."""
+    events, plan = packed(spark, sf_dir)
+    assigned = ch.assign_chunks(events, plan)
+    return encoding.sorted_digest(assigned.select("chunk_start", encoding.encode_json(assigned, FIELDS).alias("line")), ["chunk_start"])
+
+
 def _written(spark, sf_dir) -> tuple[DataFrame, DataFrame, str]:
     events, plan = pieces(spark, sf_dir)
     path = sinks.scratch_dir(spark, "extract")

@@ -15,7 +15,7 @@ from eventlake.functions import times
 from eventlake.operators import chunks as ch
 from eventlake.plans import validation as va
 from eventlake.plans.event_queries import EVENTS, PIECE, pieces, view
-from eventlake.sources.sinks import keep
+from eventlake.sources.sinks import append_log, keep, read_manifest, scratch_dir, write_manifest
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -222,3 +222,38 @@ def validation_checks(spark, sf_dir):
     chunks, lo, hi = manifest(spark, sf_dir)
     total = view(spark, sf_dir)[0].agg(F.count("*").alias("n"))
     return va.validate(with_parents(chunks), lo, hi, "total", total=total)
+
+
+@query("run_verdict", f"""WITH {MANIFEST} SELECT 'as written' AS run, count_if(status <> 'done') = 0 AND count_if(warned OR errored) = 0 AS ok FROM m
+UNION ALL SELECT 'repaired', (SELECT count(*) FROM ev) = sum(n) FROM q""")
+def run_verdict(spark, sf_dir):
+    """The verdict on the manifest, and on one whose chunks were all extracted again without trouble."""
+    chunks, lo, hi = manifest(spark, sf_dir)
+    total = view(spark, sf_dir)[0].agg(F.count("*").alias("n"))
+    repaired = chunks.withColumns({
+        "status": F.lit("done"), "written": F.col("n"), "result_count": F.col("n"), "expected": F.col("n"), "messages": F.array().cast(ms.MESSAGES),
+    })
+    verdicts = [
+        va.run_verdict(c, va.validate(c, lo, hi, "total", total=total)).withColumn("run", F.lit(name)) for name, c in (("as written", chunks), ("repaired", repaired))
+    ]
+    return verdicts[0].unionByName(verdicts[1]).select("run", "ok")
+
+
+@query("manifest_round_trip", f"""WITH {MANIFEST} SELECT id, start, "end", status, attempts, 'chunk ' || id AS detail FROM m""")
+def manifest_round_trip(spark, sf_dir):
+    """Run, chunks and log are written together and read back; the log has a row for each chunk."""
+    chunks, lo, hi = manifest(spark, sf_dir)
+    run = chunks.agg(F.count("*").alias("chunks")).select(F.lit("run").alias("id"), F.lit("hash").alias("search_hash"), "chunks")
+    log = chunks.select(F.col("start").cast("double").alias("ts"), F.col("id").alias("chunk"), F.col("status").alias("kind"), F.concat(F.lit("chunk "), F.col("id").cast("string")).alias("detail"))
+    path = scratch_dir(spark, "manifest")
+    write_manifest(path, run, chunks, log.limit(0))
+    append_log(log, path)
+    _, again, entries = read_manifest(spark, path)
+    return again.join(entries, again["id"] == entries["chunk"]).select("id", "start", "end", "status", "attempts", "detail")
+
+
+@query("expected_exports", f"""WITH {MANIFEST} SELECT m.id, CASE WHEN m.mode = 'export' AND m.expected IS NULL THEN q.n ELSE m.expected END::BIGINT AS expected FROM m JOIN q ON m.id = q.id""")
+def expected_exports(spark, sf_dir):
+    """Export chunks without an expected count are counted; other unknown counts stay unknown."""
+    chunks = manifest(spark, sf_dir)[0]
+    return ch.expect_exports(chunks, view(spark, sf_dir)[0]).select("id", "expected")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from eventlake.plans import event_queries, manifest_queries, text_queries
+from eventlake.plans import event_queries, file_queries, manifest_queries, stream_queries, text_queries
 
-QUERIES = event_queries.QUERIES | manifest_queries.QUERIES | text_queries.QUERIES
-ORACLES = event_queries.ORACLES | manifest_queries.ORACLES | text_queries.ORACLES
+MODULES = (event_queries, file_queries, manifest_queries, stream_queries, text_queries)
+QUERIES = {name: run for module in MODULES for name, run in module.QUERIES.items()}
+ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
