@@ -12,8 +12,9 @@ Insult patterns (whole words and word beginnings) with their weights are learned
 of labelled documents, at most ``sample`` rows of each label, on top of the small seed lists below. The sample
 is drawn by hash, so reruns agree. A pattern needs ``least_rows`` toxic texts, however many others there are, so
 patterns of small languages count; words of the other classes stay what they are. Its weight follows the lower bound of its precision. One that is certain is
-enough for a text; weaker ones are small pieces of evidence, of which a text needs several different ones. No
-list of patterns is cut. All texts are scored in full.
+enough for a text; weaker ones are small pieces of evidence, of which a text needs several different ones. How
+small follows from the sample too: the largest factor of ``weak`` with which no more than ``most_wrong`` of its
+clean texts are marked (long texts meet many weak patterns by chance). No list of patterns is cut. All texts are scored in full.
 
 Defined results:
 * null and empty texts, and texts without a matched clause, score 0;
@@ -68,8 +69,9 @@ class Grammar:
     least_precision: float = 0.3
     certain: float = 0.9
     errors: float = 1.96
-    #: Factor of patterns that aren't certain.
-    weak: float = 0.3
+    #: Factors of patterns that aren't certain, to choose from, and the share of clean texts marked at most.
+    weak: tuple[float, ...] = (0.3, 0.2, 0.1, 0.05)
+    most_wrong: float = 0.004
 
 
 # -- transducers --------------------------------------------------------------------------------
@@ -286,8 +288,30 @@ def learn(docs: DataFrame, labels: DataFrame, rules: Grammar = Grammar()) -> Lex
     low = (share + z2 / (2 * n) - rules.errors * F.sqrt(share * (1 - share) / n + z2 / (4 * n * n))) / (1 + z2 / n)
     precise = (low * weigh[1] / (low * weigh[1] + (1 - low) * weigh[0])) if rows.get(0) else low
     found = counts.where(F.col("toxic") >= rules.least_rows).select("kind", "hash", precise.alias("low")).where(F.col("low") >= rules.least_precision)
-    chance = F.when(F.col("low") >= rules.certain, F.col("low")).otherwise(F.col("low") * rules.weak)
-    return Lexicon.of([(r["kind"], r["hash"], r["chance"]) for r in found.select("kind", "hash", chance.alias("chance")).collect()])
+    patterns = [(r["kind"], r["hash"], r["low"]) for r in found.collect()]
+    clean = texts.where("toxic = 0").select("text")
+    for factor in rules.weak:
+        lexicon = _with_weak(patterns, factor, rules)
+        if _marked(clean, lexicon, rules) <= rules.most_wrong * rows.get(0, 0):
+            return lexicon
+    return _with_weak(patterns, 0.0, rules)
+
+
+def _with_weak(patterns: list[tuple[int, int, float]], factor: float, rules: Grammar) -> Lexicon:
+    return Lexicon.of([(k, h, low if low >= rules.certain else low * factor) for k, h, low in patterns if low >= rules.certain or factor])
+
+
+def _marked(texts: DataFrame, lexicon: Lexicon, rules: Grammar) -> int:
+    """Texts that score the threshold or more."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = machine(rules)
+        for batch in batches:
+            for _, _, data, offsets in tx.slices(batch.column("text")):
+                score, _ = score_texts(data, offsets, lexicon, made, rules)
+                yield pa.RecordBatch.from_arrays([pa.array([int((score >= rules.threshold).sum())], pa.int64())], ["marked"])
+
+    return texts.mapInArrow(work, "marked long").agg(F.sum("marked")).first()[0] or 0
 
 
 # -- scoring ------------------------------------------------------------------------------------
