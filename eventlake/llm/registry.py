@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventlake.llm import bloom_lm, jaccard, language, mixing, neighbours, pieces, quality, substrings, toxicity, warc
+from eventlake.llm import bloom_lm, jaccard, language, mixing, negatives, neighbours, pieces, quality, substrings, toxicity, warc
 
 QUERIES = {
     "op1_nearest": neighbours.op1_nearest,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_language": language.op9_language,
     "op10_repeats": substrings.op10_repeats,
+    "op12_hard_negatives": negatives.op12_hard_negatives,
 }
 
 ORACLES = {
@@ -23,4 +24,5 @@ ORACLES = {
     "op2_mixing": mixing.ORACLE,
     "op7_jaccard_join": jaccard.ORACLE,
     "op10_repeats": substrings.ORACLE,
+    "op12_hard_negatives": negatives.ORACLE,
 }
