@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventlake.llm import bloom_lm, jaccard, language, mixing, negatives, neighbours, pieces, quality, substrings, toxicity, warc
+from eventlake.llm import bloom_lm, jaccard, language, licenses, mixing, negatives, neighbours, pieces, quality, ranked, substrings, toxicity, warc
 
 QUERIES = {
     "op1_nearest": neighbours.op1_nearest,
@@ -15,7 +15,9 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_language": language.op9_language,
     "op10_repeats": substrings.op10_repeats,
+    "op11_license_scan": licenses.op11_license_scan,
     "op12_hard_negatives": negatives.op12_hard_negatives,
+    "op13_ranked_search": ranked.op13_ranked_search,
 }
 
 ORACLES = {
@@ -24,5 +26,7 @@ ORACLES = {
     "op2_mixing": mixing.ORACLE,
     "op7_jaccard_join": jaccard.ORACLE,
     "op10_repeats": substrings.ORACLE,
+    "op11_license_scan": licenses.ORACLE,
     "op12_hard_negatives": negatives.ORACLE,
+    "op13_ranked_search": ranked.ORACLE,
 }

@@ -136,6 +136,10 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         at = to
 
 
+#: Bytes other than ASCII letters and digits and those of further characters: what lies between terms.
+IS_MARK = np.ones(256, bool)
+IS_MARK[0x30:0x3A] = IS_MARK[0x41:0x5B] = IS_MARK[0x61:0x7B] = IS_MARK[0x80:] = False
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
@@ -151,6 +155,11 @@ def lower_bytes(data: np.ndarray, latin: bool = True) -> np.ndarray:
     return out
 
 
+def split_terms(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """Runs of ASCII letters, digits and further characters, with A-Z in lower case."""
+    return split_words(lower_bytes(data, latin=False), offsets, IS_MARK)
+
+
 def window_hashes(words: Words, hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each run of ``width`` words inside one text, and the index of its first word."""
     n = len(hashes)
