@@ -304,13 +304,13 @@ def _oracle(rules: Scan = Scan()) -> str:
     return f"""
 WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents),
-w AS (SELECT k, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS at FROM d),
+w AS (SELECT k, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS pos FROM d),
 ph(p, label) AS (VALUES {phrases}),
-b AS (SELECT w.k, w.at, label FROM w JOIN ph ON word = p[1] JOIN d USING (k) WHERE list_slice(words, at + 1, at + len(p)) = p),
-base AS (SELECT k, count(*) AS n, min(at) AS lo, max(at) AS hi, list(DISTINCT label) AS labels FROM b GROUP BY k),
+b AS (SELECT w.k, w.pos, label FROM w JOIN ph ON word = p[1] JOIN d USING (k) WHERE list_slice(words, pos + 1, pos + len(p)) = p),
+base AS (SELECT k, count(*) AS n, min(pos) AS lo, max(pos) AS hi, list(DISTINCT label) AS labels FROM b GROUP BY k),
 t(template, label, width, needed, size, words, supers) AS (VALUES {values}),
 tw AS (SELECT template, width, unnest(words) AS word FROM t),
-h AS (SELECT DISTINCT k, template, width, word, at // (width // 2) - back AS block FROM w JOIN tw USING (word), (SELECT unnest([0, 1]) AS back)),
+h AS (SELECT DISTINCT k, template, width, word, pos // (width // 2) - back AS block FROM w JOIN tw USING (word), (SELECT unnest([0, 1]) AS back)),
 c AS (SELECT k, width, block, template, count(*) AS common FROM h WHERE block >= 0 GROUP BY ALL),
 m AS (SELECT c.*, label, size, supers FROM c JOIN t USING (template) WHERE common >= needed),
 s AS (SELECT *, list(template) OVER (PARTITION BY k, width, block) AS beside FROM m),
