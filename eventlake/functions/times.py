@@ -51,7 +51,7 @@ def day_bounds(ranges: DataFrame, zone: str = "UTC") -> DataFrame:
 
     Days with a clock change are shorter or longer. The session's zone is taken to be UTC.
     """
-    some = ranges.where(F.col("end") > F.col("start"))
+    some = ranges.select("start", "end").where(F.col("end") > F.col("start"))
     local = lambda s: F.to_date(F.from_utc_timestamp(F.timestamp_seconds(s), zone))
     days = some.withColumn("_day", F.explode(F.sequence(local(F.col("start")), local(F.col("end") - 1))))
     return days.select(

@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventlake.functions.names import free_names, refuse_names
 from eventlake.functions.times import day_of
 
 BROADCAST_CHUNKS = 500_000
@@ -21,17 +22,20 @@ def assign_chunks(events: DataFrame, chunks: DataFrame, zone: str = "UTC", keys:
     """Events with the chunk they fall in: an equality on the day and hour with the range as a further condition.
 
     Chunks never cross a day. A chunk is listed under each hour that it touches, so that a day cut into
-    many chunks does not compare each event with all of them.
+    many chunks does not compare each event with all of them. Events may have columns of any name but those of the
+    chunk, which begin with ``chunk_``; they are never changed.
     """
-    hour = F.floor(F.col("t") / 3600)
-    left = events.withColumn("_hour", hour).withColumn("_day", day_of(F.col("t"), zone))
-    right = chunks.select(*[F.col(k).alias(f"chunk_{k}") for k in dict.fromkeys((*keys, "start", "end", "day"))])
+    named = [f"chunk_{k}" for k in dict.fromkeys((*keys, "start", "end", "day"))]
+    refuse_names(events, named)
+    right = chunks.select(*[F.col(k[6:]).alias(k) for k in named])
+    hour, day, at = free_names("hour", "day", "at", beside=[events, right])
+    left = events.withColumn(hour, F.floor(F.col("t") / 3600)).withColumn(day, day_of(F.col("t"), zone))
     hours = F.sequence(F.floor(F.col("chunk_start") / 3600), F.floor((F.col("chunk_end") - 1) / 3600))
-    right = right.withColumn("_at", F.explode(hours))
+    right = right.withColumn(at, F.explode(hours))
     rows = right.count()  # chunks by hour: what would be broadcast
     inside = (F.col("t") >= F.col("chunk_start")) & (F.col("t") < F.col("chunk_end"))
-    joined = left.join(small(right, rows), (F.col("_day") == F.col("chunk_day")) & (F.col("_hour") == F.col("_at")) & inside)
-    return joined.drop("_hour", "_day", "_at")
+    joined = left.join(small(right, rows), (F.col(day) == F.col("chunk_day")) & (F.col(hour) == F.col(at)) & inside)
+    return joined.drop(hour, day, at)
 
 
 def chunk_counts(events: DataFrame, chunks: DataFrame, zone: str = "UTC") -> DataFrame:
@@ -46,9 +50,10 @@ def expect_exports(chunks: DataFrame, events: DataFrame, zone: str = "UTC") -> D
     """Export leaves without an expected count get one by counting; all other chunks stay as they are."""
     blind = (F.col("status") != "split") & (F.col("mode") == "export") & F.col("expected").isNull()
     counted = chunk_counts(events, chunks.where(blind).select("day", "start", "end").distinct(), zone)
-    counted = counted.select(F.col("start").alias("s"), F.col("end").alias("e"), F.col("n").alias("_counted"))
-    joined = chunks.join(counted, blind & (F.col("start") == F.col("s")) & (F.col("end") == F.col("e")), "left")
-    return joined.withColumn("expected", F.coalesce("expected", "_counted")).select(*chunks.columns)
+    s, e, n = free_names("s", "e", "counted", beside=[chunks])
+    counted = counted.select(F.col("start").alias(s), F.col("end").alias(e), F.col("n").alias(n))
+    joined = chunks.join(counted, blind & (F.col("start") == F.col(s)) & (F.col("end") == F.col(e)), "left")
+    return joined.withColumn("expected", F.coalesce("expected", n)).select(*chunks.columns)
 
 
 def plan_vs_written(plan: DataFrame, written: DataFrame) -> DataFrame:
@@ -110,25 +115,29 @@ def paginate(assigned: DataFrame, size: int, order: list[str]) -> DataFrame:
     Rows are ranked within their second only, behind the counts of the seconds before it, so a task never
     sorts a whole chunk.
     """
+    refuse_names(assigned, ["page"])
     chunk, first = ["chunk_start", "chunk_end"], order[0]
-    counts = assigned.groupBy(*chunk, first).agg(F.count("*").alias("_n"))
+    n, ahead = free_names("n", "before", beside=[assigned])
+    counts = assigned.groupBy(*chunk, first).agg(F.count("*").alias(n))
     before = Window.partitionBy(*chunk).orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    offsets = counts.withColumn(ahead, F.coalesce(F.sum(n).over(before), F.lit(0))).drop(n)
     within = Window.partitionBy(*chunk, first).orderBy(*order)
-    place = F.col("_before") + F.row_number().over(within) - 1
+    place = F.col(ahead) + F.row_number().over(within) - 1
     return assigned.join(offsets, [*chunk, first]).withColumn("page", F.floor(place / size).cast("long")).select(*assigned.columns, "page")
 
 
-def capped_result(assigned: DataFrame, cap: int) -> DataFrame:
-    """At most ``cap`` rows of each chunk, latest first, and whether the chunk was cut.
+def capped_result(assigned: DataFrame, cap: int, order: list[Column | str] | None = None) -> DataFrame:
+    """At most ``cap`` rows of each chunk in an order (default: latest first, then by event), and whether the chunk was cut.
 
     Spark limits ranks before the shuffle, so a task gets no more than ``cap`` rows of a chunk from each other.
     """
+    refuse_names(assigned, ["truncated"])
     chunk = ["chunk_start", "chunk_end"]
-    latest = Window.partitionBy(*chunk).orderBy(F.col("t").desc(), "event_id")
-    ranked = assigned.withColumn("_rank", F.row_number().over(latest)).where(F.col("_rank") <= cap).drop("_rank")
-    cut = assigned.groupBy(*chunk).agg((F.count("*") > cap).alias("truncated"))
-    return ranked.join(cut, chunk).select(*assigned.columns, "truncated")
+    rank, cut = free_names("rank", "cut", beside=[assigned])
+    latest = Window.partitionBy(*chunk).orderBy(*(order or [F.col("t").desc(), "event_id"]))
+    ranked = assigned.withColumn(rank, F.row_number().over(latest)).where(F.col(rank) <= cap).drop(rank)
+    whole = assigned.groupBy(*chunk).agg((F.count("*") > cap).alias(cut))
+    return ranked.join(whole, chunk).withColumn("truncated", F.col(cut)).select(*assigned.columns, "truncated")
 
 
 def chunk_mode(mode: str, hot: Column, expected: Column, cap: int) -> Column:

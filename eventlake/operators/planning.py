@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventlake.functions.names import free_names
 from eventlake.functions.times import day_bounds, initial_span, next_span
 
 CHUNK = "day string, start long, end long, expected long, hot boolean"
@@ -60,9 +61,10 @@ def _days_touched(start: Column, end: Column, zone: str) -> Column:
 
 def overlapping(bins: DataFrame, zone: str = "UTC") -> DataFrame:
     """Bins that begin before an earlier one has ended; two such bins share a day, so days are compared alone."""
-    w = Window.partitionBy("_touched").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
-    by_day = bins.withColumn("_touched", F.explode(_days_touched(F.col("start"), F.col("end"), zone)))
-    return by_day.withColumn("_before", F.max("end").over(w)).where("start < _before").select(*bins.columns).distinct()
+    touched, ended = free_names("touched", "ended", beside=[bins])
+    w = Window.partitionBy(touched).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    by_day = bins.withColumn(touched, F.explode(_days_touched(F.col("start"), F.col("end"), zone)))
+    return by_day.withColumn(ended, F.max("end").over(w)).where(F.col("start") < F.col(ended)).select(*bins.columns).distinct()
 
 
 def _breaks(counts: np.ndarray, target: int) -> list[int]:
