@@ -123,12 +123,14 @@ def templates_of(rules: Scan) -> list[Template]:
 
 # -- scans --------------------------------------------------------------------------------------
 
+#: Bytes of text that are looked at together: a worker holds some hundred bytes for each.
+SLICE_BYTES = 1 << 19
 
-def _numbers(words: tx.Words, sorted_hashes: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    """The number of each word, or -1."""
+
+def _numbers(h: np.ndarray, sorted_hashes: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """The number of each word by its hash, or -1."""
     if not len(sorted_hashes):
-        return np.full(len(words.start), -1, np.int64)
-    h = words.hashes()
+        return np.full(len(h), -1, np.int64)
     at = np.searchsorted(sorted_hashes, h).clip(max=len(sorted_hashes) - 1)
     return np.where(sorted_hashes[at] == h, numbers[at], -1)
 
@@ -142,8 +144,8 @@ def word_counts(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(vocabulary), np.int64)
         for batch in batches:
-            for _, _, data, offsets in tx.slices(batch.column("text")):
-                found = _numbers(tx.split_terms(data, offsets), *lookup.value)
+            for _, _, data, offsets in tx.slices(batch.column("text"), SLICE_BYTES):
+                found = _numbers(tx.split_terms(data, offsets).hashes(), *lookup.value)
                 total += np.bincount(found[found >= 0], minlength=len(vocabulary))
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["word", "n"])
@@ -214,7 +216,7 @@ def scan(docs: DataFrame, templates: list[Template], order: dict[str, int], rule
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sorted_hashes, numbers, kinds = shared.value
         for batch in batches:
-            for lo, hi, data, offsets in tx.slices(batch.column("text")):
+            for lo, hi, data, offsets in tx.slices(batch.column("text"), SLICE_BYTES):
                 found = tx.split_terms(data, offsets)
                 n, first, owner, h = found.texts, found.first, found.owner(), found.hashes()
                 base, low, high = np.zeros(n, np.int64), np.full(n, np.iinfo(np.int64).max), np.full(n, -1)
@@ -227,7 +229,7 @@ def scan(docs: DataFrame, templates: list[Template], order: dict[str, int], rule
                     for text in np.unique(owner[at]).tolist():
                         labels[text].add(label)
                 blocks: list[list] = [[] for _ in range(n)]
-                number = _numbers(found, sorted_hashes, numbers)
+                number = _numbers(h, sorted_hashes, numbers)
                 for width, member, prefix, least in kinds:
                     at = np.flatnonzero(number >= 0)
                     at = at[member[number[at]]]
