@@ -7,7 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventlake.functions.encoding import encode_json
 from eventlake.functions.messages import has_level
+from eventlake.operators.chunks import assign_chunks, sample_chunks
+from eventlake.sources.events import pin_snapshot
 from eventlake.sources.sinks import keep
 
 LEVELS = ("job", "plan", "total", "full")
@@ -95,11 +98,14 @@ def files_vs_manifest(files: DataFrame, chunks: DataFrame) -> DataFrame:
     ``files`` has path and lines, and may have ``files`` (how many there are) and the hashes of
     :func:`~eventlake.sources.sinks.written_files`. Hashes are compared for paths of one chunk, if both sides
     have them. With ``files``, a chunk without lines needs no file, and a file without a line of those it should have is unreadable.
+    With ``problem`` (of :func:`~eventlake.sources.members.checked_files`), so is one whose gzip members are not whole, whatever
+    its lines are.
     """
     hashed = all(h in df.columns for h in HASHES for df in (files, chunks))
     one = [F.when(F.count("*") == 1, F.first(h)).alias(f"planned_{h}") for h in HASHES] if hashed else []
     planned = done(chunks).groupBy("path").agg(F.sum(F.coalesce("written", F.lit(0)) + F.coalesce("multiline", F.lit(0))).alias("expected_lines"), *one)
-    joined = planned.join(files.select("path", "lines", *(HASHES if hashed else ())), "path", "full_outer")
+    problem = "problem" in files.columns
+    joined = planned.join(files.select("path", "lines", *(HASHES if hashed else ()), *(["problem"] if problem else [])), "path", "full_outer")
     other = F.lit(False)
     for h in HASHES if hashed else ():
         other = other | F.coalesce(F.col(h).cast("decimal(38,0)") != F.col(f"planned_{h}").cast("decimal(38,0)"), F.lit(False))
@@ -108,6 +114,7 @@ def files_vs_manifest(files: DataFrame, chunks: DataFrame) -> DataFrame:
         .when(F.col("lines").isNull() & (F.col("expected_lines") == 0) & F.lit("files" in files.columns), "ok")
         .when(F.col("lines").isNull(), "missing file")
         .when(F.col("expected_lines").isNull(), "unknown file")
+        .when(F.col("problem").isNotNull() if problem else F.lit(False), "unreadable file")
         .when((F.col("lines") == 0) & (F.col("expected_lines") > 0) & F.lit("files" in files.columns), "unreadable file")
         .when(F.col("lines") != F.col("expected_lines"), "wrong lines")
         .when(other, "wrong content")
@@ -126,6 +133,57 @@ def sample_differences(written: DataFrame, again: DataFrame, keys: tuple[str, ..
     return off.groupBy(*keys).agg(F.sum(F.abs("off")).alias("lines"))
 
 
+def own_files(chunks: DataFrame) -> DataFrame:
+    """Done chunks that share their path with no other; those of compacted days do."""
+    finished = done(chunks)
+    alone = finished.where("path IS NOT NULL").groupBy("path").agg(F.count("*").alias("sharing")).where("sharing = 1").select("path")
+    return finished.join(alone, "path", "left_semi")
+
+
+def sample_reextract(
+    chunks: DataFrame, events: DataFrame, written: DataFrame, n: int, seed: str, fields: list[str] | None = None, pin: int | None = None, zone: str = "UTC"
+) -> DataFrame:
+    """Of ``n`` done chunks that own their files, those whose lines differ from a new extraction: chunk and differing lines.
+
+    The chunks are extracted again from the events, under the pin of the run; ``written`` has the lines of the output, with
+    ``chunk``. Chunks of compacted days are not sampled, as their lines can't be told apart. At most ``n`` chunks are broadcast.
+    """
+    picked = sample_chunks(own_files(chunks), n, seed).select("day", "start", "end")
+    picked = keep(picked.withColumn("chunk", F.concat_ws("-", F.col("start").cast("string"), F.col("end").cast("string"))), "sample")
+    assigned = assign_chunks(pin_snapshot(events, pin), picked, zone, keys=("start", "end", "chunk"))
+    names = [c for c in events.columns if not fields or c in fields]
+    again = assigned.select(F.col("chunk_chunk").alias("chunk"), encode_json(assigned, fields or names).alias("line"))
+    return sample_differences(written.join(F.broadcast(picked.select("chunk")), "chunk", "left_semi"), again)
+
+
+ISSUE = "id long, path string, issue string, found string"
+
+
+def chunk_issues(chunks: DataFrame, files: DataFrame | None = None, recount: DataFrame | None = None, sample: DataFrame | None = None) -> DataFrame:
+    """(id, path, issue, found): each chunk that a check speaks against, and what was found.
+
+    The arguments are those of :func:`validate`; a chunk may have several issues.
+    """
+    open_ = leaves(chunks).where("status <> 'done'").select("id", "path", F.lit("status").alias("issue"), F.col("status").alias("found"))
+    finished = done(chunks)
+    differs = lambda df, issue, found: df.select("id", "path", F.lit(issue).alias("issue"), F.col(found).cast("string").alias("found"))
+    parts = [open_, differs(finished.where("mode = 'job' AND written <> result_count"), "resultCount", "result_count")]
+    parts.append(differs(finished.where("written <> expected"), "expected", "expected"))
+    if files is not None:
+        bad = files_vs_manifest(files, chunks).where("state <> 'ok' AND path IS NOT NULL").select("path", "state", "lines")
+        what = F.when(F.col("state") == "wrong lines", F.concat_ws(" ", "state", F.col("lines").cast("string"))).otherwise(F.col("state"))
+        parts.append(finished.join(bad.withColumn("what", what), "path").select("id", "path", F.lit("file").alias("issue"), F.col("what").alias("found")))
+        parts.append(finished.where("path IS NULL").select("id", "path", F.lit("file").alias("issue"), F.lit("no path").alias("found")))
+    if recount is not None:
+        again = finished.join(recount.select("start", "end", "n"), ["start", "end"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+        parts.append(differs(again.where("n <> written"), "recount", "n"))
+    if sample is not None:
+        name = F.concat_ws("-", F.col("start").cast("string"), F.col("end").cast("string"))
+        other = finished.withColumn("chunk", name).join(sample.select("chunk", F.col("lines").alias("differ")), "chunk")
+        parts.append(differs(other, "reextract", "differ"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def validate(
     chunks: DataFrame,
     earliest: int,
