@@ -431,8 +431,11 @@ def _coded(docs: DataFrame, rules: Forest) -> DataFrame:
     return docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(work, schema)
 
 
-def keep_one(docs: DataFrame, rules: Forest = Forest()) -> DataFrame:
-    """The document with the smallest id of each class; rows that repeat its id all stay.
+def keep_one(docs: DataFrame, rules: Forest = Forest(), repeats: bool = True) -> DataFrame:
+    """The document with the smallest id of each class.
+
+    With ``repeats``, rows that repeat its id all stay; without, one row of a class stays: of rows that share the smallest
+    id, that with the least shingle set and text (and any of those that differ in other columns only).
 
     A null id is the smallest; of a class with several rows without id, one such row stays. Rows without
     words all stay. Rows are judged by id and text, so another text under the id of a copy stays.
@@ -444,6 +447,13 @@ def keep_one(docs: DataFrame, rules: Forest = Forest()) -> DataFrame:
     nameless = _coded(docs.where(F.col("doc_id").cast("long").isNull()), rules)
     label = cut(marked.where("doc_id IS NULL").select("node", "label").distinct())
     first = nameless.join(small(label, label.count()), "node").dropDuplicates(["label"])
+    if not repeats:
+        # Only rows that share id and class are shuffled; equal ones are joined before that.
+        shared = marked.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("id"), "label").agg(F.count("*").alias("n"), F.collect_set("node").alias("nodes"))
+        shared = cut(shared.where("n > 1").select("id", "label", F.explode("nodes").alias("node")))
+        several = small(shared, shared.count())
+        one = named.join(several, ["id", "node"]).groupBy("id", "label").agg(F.min_by("row", F.struct("node", F.xxhash64("row.text"))).alias("row"))
+        named = named.join(several, ["id", "node"], "left_anti").select("row").unionByName(one.select("row"))
     rows = named.select("row").unionByName(first.select("row")).unionByName(nameless.where("node IS NULL").select("row"))
     return rows.select("row.*")
 

@@ -3,7 +3,7 @@
 Two small GRUs read the UTF-8 bytes of a text, one forwards, one backwards. At every byte position
 both states give probabilities of the languages; a document's probabilities are their mean over all
 its positions. The network is trained in numpy by backpropagation through time on a bounded sample of
-labelled documents (``sample`` of each language, ``most_rows`` in all, drawn by hash), with a fixed seed;
+labelled rows (``sample`` of each language, ``most_rows`` in all, drawn by hash), with a fixed seed;
 of a long one, it reads ``windows`` windows of ``window`` characters.
 
 Whole texts are labelled: texts are cut into sequences of ``span`` bytes, each of which also reads ``margin``
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventlake.llm import text as tx
-from eventlake.llm.common import crc_remainder, cut, small, table
+from eventlake.llm.common import crc_remainder, table
 
 UNKNOWN = "und"
 
@@ -263,20 +263,26 @@ class Model:
 
 
 def learn(docs: DataFrame, s: Settings = Settings()) -> Model:
-    """Train on at most ``sample`` documents of each language that may be learned from."""
+    """Train on at most ``sample`` rows of each language that may be learned from, ``most_rows`` in all.
+
+    A row's windows go with its own language, so rows that share an id teach each their own. With more languages than
+    ``most_rows``, the first of them by code point are learned. Rows are ranked by their windows alone, not by their texts.
+    """
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").where(crc_remainder(F.col("doc_id"), 4) != 2)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     languages = rows.agg(F.count_distinct("lang")).first()[0]
     each = max(1, min(s.sample, s.most_rows // max(1, languages)))
-    ids = cut(rows.select("doc_id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= each).drop("place"))
-    texts = docs.select("doc_id", "text").where("text IS NOT NULL").join(small(ids, ids.count()), "doc_id")
     # A window of a long text is enough to learn from: windows lie evenly over the text.
     need = s.window * s.windows
     size = F.length("text")
     starts = [F.floor(size * k / s.windows) + 1 for k in range(s.windows)]
     pieces = F.array(*[F.substring("text", a.cast("int"), F.lit(s.window)) for a in starts])
     windows = F.when(size <= need, F.array("text")).otherwise(pieces)
-    found = texts.select("doc_id", "lang", windows.alias("w")).orderBy("doc_id", "lang").collect()
+    some = rows.select(F.col("doc_id").cast("long").alias("id"), F.col("lang").cast("string").alias("lang"), windows.alias("w"))
+    # Spark limits ranks before the shuffle, so a language with most rows sends few.
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", F.xxhash64("w"), "w")
+    ranked = some.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
+    found = ranked.orderBy("lang", "place").limit(s.most_rows).select("id", "lang", "w").collect()
+    found.sort(key=lambda r: (r["id"], r["lang"], r["w"]))
     languages = sorted({r["lang"] for r in found})
     data, labels = [], []
     for r in found:

@@ -89,12 +89,13 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
         F.col("target").alias("goal"),
         "source_size",
     )
+    sources = targets.count()
     open_ = budgets.select(
         "source", "copies", (F.col("goal") - F.col("copies") * F.col("source_size")).alias("budget"), F.lit("").alias("below")
     )
     for at in range(1, HASH_DIGITS + 1, STEP_DIGITS):
         prefix = F.substring("h", 1, at - 1)
-        inside = sized.join(open_.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")) & (prefix == F.col("below")))
+        inside = sized.join(small(open_.withColumnRenamed("source", "s"), sources), F.col("source").eqNullSafe(F.col("s")) & (prefix == F.col("below")))
         sums = inside.groupBy("source", "copies", "budget", F.substring("h", 1, at + STEP_DIGITS - 1).alias("bucket")).agg(
             F.sum("size").alias("words")
         )

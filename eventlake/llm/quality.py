@@ -226,7 +226,10 @@ def _lang(docs: DataFrame) -> Column:
 
 
 def learn(docs: DataFrame, labels: DataFrame, bands: Bands = Bands(), rules: Rules = Rules()) -> dict[str | None, Bands]:
-    """Bands by language from documents labelled good; under None that of all languages."""
+    """Bands by language from documents labelled good; under None that of all languages.
+
+    Of the rows that share an id, one is learned from: that of the least (size, ratios, language).
+    """
     known = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("good"))
     sample = cut(known.where("good = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rules.sample).select(F.col("doc_id").alias("id")))
 
@@ -240,12 +243,14 @@ def learn(docs: DataFrame, labels: DataFrame, bands: Bands = Bands(), rules: Rul
                 low = np.array([p.min() if len(p) else np.nan for p in parts])
                 high = np.array([p.max() if len(p) else np.nan for p in parts])
                 some = ~failed & (size >= bands.whole[0][0])
-                columns = [batch.column("lang").slice(lo, hi - lo), *(pa.array(c) for c in (size, whole, low, high))]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "size", "whole", "low", "high"]).filter(pa.array(some))
+                columns = [batch.column(c).slice(lo, hi - lo) for c in ("id", "lang")] + [pa.array(c) for c in (size, whole, low, high)]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "lang", "size", "whole", "low", "high"]).filter(pa.array(some))
 
     rows = docs.select(F.col("doc_id").alias("id"), "text", _lang(docs).alias("lang")).where("text IS NOT NULL")
-    rows = rows.join(small(sample, sample.count()), "id", "left_semi").select("text", "lang")
-    got = rows.mapInArrow(work, "lang string, size long, whole double, low double, high double").toPandas()
+    rows = rows.join(small(sample, sample.count()), "id", "left_semi").select(F.col("id").cast("long").alias("id"), "text", "lang")
+    made = rows.mapInArrow(work, "id long, lang string, size long, whole double, low double, high double")
+    one = made.groupBy("id").agg(F.min(F.struct("size", "whole", "low", "high", "lang")).alias("r"))
+    got = one.select("r.*").toPandas()  # at most Rules.sample rows
     got = got.sort_values(["size", "whole", "low", "high"])
     groups = {None: got} | {lang: part for lang, part in got.groupby("lang")}
     return {None: bands} | {
