@@ -72,9 +72,9 @@ def plain_pipeline(rows):
         key = tuple(sorted({tuple(words(r[1])[k : k + 5]) for k in range(max(1, len(words(r[1])) - 4))}))
         if not words(r[1]):
             kept.append(r)
-        elif i == least and (i is not None or key not in seen):
+        elif i == least and (i, key) not in seen:
             kept.append(r)
-            seen |= {key} if i is None else set()
+            seen.add((i, key))
     rows, out = kept, []
     least = {}
     ids = [r[0] if r[0] is not None else 1 << 63 for r in rows]
