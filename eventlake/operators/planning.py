@@ -34,8 +34,12 @@ def refine(events: DataFrame, start: int, end: int, span: int, target: int, leas
     One pass: each second sees the counts of the bins around it at every level of the ladder, and
     belongs to the first that is final.
     """
-    inside = events.where((F.col("t") >= start) & (F.col("t") < end))
-    seconds = per_second(inside)
+    return refine_seconds(per_second(events), start, end, span, target, least)
+
+
+def refine_seconds(seconds: DataFrame, start: int, end: int, span: int, target: int, least: int = 1) -> DataFrame:
+    """:func:`refine` on counts by second (t, n) that were made before."""
+    seconds = seconds.where((F.col("t") >= start) & (F.col("t") < end))
     spans = [span]
     while (s := next_span(spans[-1], least)) is not None:
         spans.append(s)
@@ -102,14 +106,15 @@ def _pack_day(target: int):
     return work
 
 
-def pack(bins: DataFrame, ranges: DataFrame, target: int, zone: str = "UTC") -> DataFrame:
+def pack(bins: DataFrame, ranges: DataFrame, target: int, zone: str = "UTC", only: DataFrame | None = None) -> DataFrame:
     """Chunks that tile the days of the range, with at most ``target`` events each unless hot.
 
     Bins of a day are taken in order; empty time belongs to the chunk before it. A bin above the target
     is a hot chunk of its own. Where a bin reaches over the edge of a day, counts of that day are unknown.
-    Bins that overlap are an error.
+    Bins that overlap are an error. With ``only`` (day), just these days are packed.
     """
     days = day_bounds(ranges, zone).select("day", F.col("start").alias("ds"), F.col("end").alias("de"))
+    days = days if only is None else days.join(only.select("day").distinct(), "day", "left_semi")
     # Each bin finds its days by equality.
     touched = bins.withColumn("day", F.explode(_days_touched(F.col("start"), F.col("end"), zone)))
     return days.join(touched, "day", "left").groupBy("day").applyInPandas(_pack_day(target), CHUNK)
