@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from eventlake.functions import encoding, times
 from eventlake.operators import chunks as ch
-from eventlake.operators import count_tree, differences, interval_merge, planning
-from eventlake.plans.event_queries import BINS, EVENTS, FIELDS, LINE, PACKED, SPAN, TARGET, packed, pieces, ranges, view
+from eventlake.operators import count_tree, differences, interval_merge, planning, sketches
+from eventlake.plans.event_queries import BINS, EVENTS, FIELDS, LINE, PACKED, PAGE, PIECES, SPAN, TARGET, packed, pieces, ranges, view
 from eventlake.sources import events as ev
-from eventlake.sources import sinks
+from eventlake.sources import pages, sinks
 from eventlake.streaming import completeness
 
 QUERIES: dict = {}
@@ -209,3 +209,37 @@ def damaged_export_files(spark, sf_dir: str) -> str:
     path = sinks.scratch_dir(spark, "export")
     events.withColumn("envelope", envelope).select("sourcetype", around.alias("value")).write.partitionBy("sourcetype").text(path)
     return path
+
+
+@query("key_sketches", f"""WITH {EVENTS}, q(id, a, b) AS (VALUES (1, 0, 0), (2, 0, 6), (3, 5, 20), (4, 0, 400), (5, 300, 310))
+SELECT id::BIGINT AS id, count(event_id)::BIGINT AS rows, true AS within FROM q CROSS JOIN r LEFT JOIN ev ON t >= lo + a * 86400 AND t < lo + (b + 1) * 86400 GROUP BY id""")
+def key_sketches(spark, sf_dir):
+    """Rows of ranges of days, and whether their different keys are as many as sketches that were stored in two parts say."""
+    events, lo, _ = view(spark, sf_dir)
+    day = F.floor((F.col("t") - lo) / DAY)
+    keys = ["_bkt", "_cd", "host"]
+    first, *later = batches(events, lo)
+    path = sinks.scratch_dir(spark, "sketches")
+    sketches.day_sketches(first, keys, day).write.parquet(path)
+    stored = spark.read.parquet(path)
+    for batch in later:
+        stored = sketches.merge_sketches(stored, sketches.day_sketches(batch, keys, day))
+    ranges_ = spark.createDataFrame([(1, 0, 0), (2, 0, 6), (3, 5, 20), (4, 0, 400), (5, 300, 310)], "id long, first long, last long")
+    found = sketches.distinct_keys(sinks.keep(stored, "sketches"), ranges_)
+    inside = ranges_.join(events.withColumn("day", day), (F.col("day") >= F.col("first")) & (F.col("day") <= F.col("last")))
+    exact = inside.groupBy("id").agg(F.count_distinct(*keys).alias("exact"))
+    near = F.coalesce("exact", F.lit(0)).between(F.col("least"), F.col("most"))
+    return found.join(exact, "id", "left").select("id", "rows", near.alias("within"))
+
+
+@query("stored_pages", f"""WITH {EVENTS}, {PIECES}, k AS (SELECT start, event_id, row_number() OVER (PARTITION BY start ORDER BY t, event_id) - 1 AS i FROM ev JOIN pc ON t >= start AND t < "end")
+SELECT start::BIGINT AS chunk_start, (i // {PAGE})::BIGINT AS page, count(*)::BIGINT AS n, arg_min(event_id, i) AS first_id, arg_max(event_id, i) AS last_id FROM k GROUP BY ALL""")
+def stored_pages(spark, sf_dir):
+    """Pages of all chunks, written in blocks of three pages and read again: rows, first and last event."""
+    events, plan = pieces(spark, sf_dir)
+    path = sinks.scratch_dir(spark, "pages")
+    pages.write_pages(ch.assign_chunks(events.select("event_id", "t"), plan), path, PAGE, ["t", "event_id"], pages_of_block=3)
+    place = F.struct("t", "event_id")
+    return pages.read_pages(spark, path).groupBy("chunk_start", "page").agg(
+        F.count("*").alias("n"), F.min_by("event_id", place).alias("first_id"), F.max_by("event_id", place).alias("last_id")
+    )

@@ -257,3 +257,23 @@ def expected_exports(spark, sf_dir):
     """Export chunks without an expected count are counted; other unknown counts stay unknown."""
     chunks = manifest(spark, sf_dir)[0]
     return ch.expect_exports(chunks, view(spark, sf_dir)[0]).select("id", "expected")
+
+
+@query("report_round_trip", f"""WITH {MANIFEST}, f AS (SELECT * FROM m WHERE status = 'done')
+SELECT id, path, 'status' AS issue, status AS found FROM m WHERE status <> 'done'
+UNION ALL SELECT id, path, 'resultCount', result_count::VARCHAR FROM f WHERE mode = 'job' AND written <> result_count
+UNION ALL SELECT id, path, 'expected', expected::VARCHAR FROM f WHERE written <> expected
+UNION ALL SELECT NULL, NULL, 'all-chunks-done', count(*)::VARCHAR FROM m WHERE status <> 'done'
+UNION ALL SELECT NULL, NULL, 'no-job-warnings', count(*)::VARCHAR FROM f WHERE warned OR errored
+UNION ALL SELECT NULL, NULL, 'written-eq-resultCount', count(*)::VARCHAR FROM f WHERE mode = 'job' AND written <> result_count
+UNION ALL SELECT NULL, NULL, 'coverage', '0'""")
+def report_round_trip(spark, sf_dir):
+    """A report as it is read back: the chunks with issues, and the checks of the job level with what they counted."""
+    chunks, lo, hi = manifest(spark, sf_dir)
+    path = scratch_dir(spark, "report")
+    va.write_report(va.validate(chunks, lo, hi, "job"), va.chunk_issues(chunks), path)
+    issues = spark.read.schema(va.ISSUE).json(f"{path}/chunks_with_issues")
+    checks = spark.read.json(f"{path}/checks")
+    none = F.lit(None)
+    rows = checks.select(none.cast("long").alias("id"), none.cast("string").alias("path"), F.col("name").alias("issue"), F.col("bad").cast("string").alias("found"))
+    return issues.unionByName(rows)
