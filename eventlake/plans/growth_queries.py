@@ -181,7 +181,7 @@ def stream_chunk_states(spark, sf_dir):
 
 
 @query("damaged_exports", f"""WITH {EVENTS}, k AS (SELECT *, event_id % 53 = 5 AS cut, event_id % 10 = 3 AS preview FROM ev)
-SELECT event_type AS stream, count_if(NOT cut AND NOT preview)::BIGINT AS rows, count_if(cut)::BIGINT AS malformed, count_if(event_id % 29 = 1 AND NOT cut)::BIGINT AS replaced,
+SELECT event_type AS stream, count_if(NOT cut AND NOT preview)::BIGINT AS rows, count_if(cut)::BIGINT AS malformed, count_if(event_id % 29 = 1)::BIGINT AS replaced,
   count_if(cut) = 0 AND bool_or(NOT cut AND event_id % 101 = 7) AS complete FROM k GROUP BY event_type""")
 def damaged_exports(spark, sf_dir):
     """Streams with cut, blank and carriage-return lines and invalid bytes: what each has, and that those with a cut line are not complete."""
