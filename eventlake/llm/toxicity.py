@@ -11,7 +11,9 @@ document's score is the noisy-or over its clauses.
 Insult patterns (whole words and word beginnings) with their weights are learned from a bounded sample
 of labelled documents, at most ``sample`` rows of each label, on top of the small seed lists below. The sample
 is drawn by hash, so reruns agree. A pattern needs ``least_rows`` toxic texts, however many others there are, so
-patterns of small languages count; words of the other classes stay what they are. Its weight follows the lower bound of its precision. One that is certain is
+patterns of small languages count; words of the other classes stay what they are. What a target, a negation, reported
+speech and a threat make of a match is learned too: the factors of highest likelihood on the sample, each pulled to
+its start by a prior, so that a factor without evidence stays what it is. A pattern's weight follows the lower bound of its precision. One that is certain is
 enough for a text; weaker ones are small pieces of evidence, of which a text needs several different ones. How
 small follows from the sample too: the largest factor of ``weak`` with which no more than ``most_wrong`` of its
 clean texts are marked (long texts meet many weak patterns by chance). No list of patterns is cut. All texts are scored in full.
@@ -26,10 +28,11 @@ Defined results:
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from itertools import product
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +75,9 @@ class Grammar:
     #: Factors of patterns that aren't certain, to choose from, and the share of clean texts marked at most.
     weak: tuple[float, ...] = (0.3, 0.2, 0.1, 0.05)
     most_wrong: float = 0.004
+    #: Deviation of the prior on the logarithm of a factor, and the range and steps (of a factor of 2) that are tried.
+    prior: float = 0.7
+    tried: tuple[int, int, int] = (-5, 2, 4)
 
 
 # -- transducers --------------------------------------------------------------------------------
@@ -161,6 +167,27 @@ def machine(rules: Grammar) -> Machine:
     return compose(transducers(rules))
 
 
+FACTORS = ("targeted", "negated", "reported", "threat")
+
+
+def exponents(rules: Grammar) -> np.ndarray:
+    """[state, symbol, factor]: which factors are in the machine's factor there. States are numbered as in ``machine(rules)``."""
+    plain = {name: 1.0 for name in FACTORS}
+    return np.stack([machine(replace(rules, **(plain | {name: 2.0}))).factor == 2.0 for name in FACTORS], axis=-1)
+
+
+def witnesses(symbols: list[int], weights: list[float], made: Machine, marks: np.ndarray) -> list[tuple[float, tuple[bool, ...]]]:
+    """(weight, which factors it gets) of the matches of a clause that count, by the machine's holds and releases."""
+    state, found, held = 0, [], []
+    for symbol, weight in zip(symbols, weights):
+        if symbol == INSULT or symbol == THREAT:
+            (held if made.hold[state, symbol] else found).append((weight, tuple(marks[state, symbol])))
+        if made.release[state, symbol]:
+            found, held = found + held, []
+        state = made.go[state, symbol]
+    return found
+
+
 # -- symbols of words ---------------------------------------------------------------------------
 
 _LETTER = np.zeros(256, bool)
@@ -194,6 +221,11 @@ class Lexicon:
 
     learned: dict[int, tuple[np.ndarray, np.ndarray]]
     symbols: tuple[np.ndarray, np.ndarray]
+    factors: dict[str, float] = field(default_factory=dict)
+
+    def tuned(self, rules: Grammar) -> Grammar:
+        """The rules with the factors that were learned."""
+        return replace(rules, **self.factors)
 
     @classmethod
     def of(cls, rows: list[tuple[int, int, float]]) -> Lexicon:
@@ -289,23 +321,87 @@ def learn(docs: DataFrame, labels: DataFrame, rules: Grammar = Grammar()) -> Lex
     precise = (low * weigh[1] / (low * weigh[1] + (1 - low) * weigh[0])) if rows.get(0) else low
     found = counts.where(F.col("toxic") >= rules.least_rows).select("kind", "hash", precise.alias("low")).where(F.col("low") >= rules.least_precision)
     patterns = [(r["kind"], r["hash"], r["low"]) for r in found.collect()]
+    factors = fit_factors(_evidence(texts, _with_weak(patterns, 0.0, rules), rules), rules)
     clean = texts.where("toxic = 0").select("text")
     for factor in rules.weak:
-        lexicon = _with_weak(patterns, factor, rules)
+        lexicon = _with_weak(patterns, factor, rules, factors)
         if _marked(clean, lexicon, rules) <= rules.most_wrong * rows.get(0, 0):
             return lexicon
-    return _with_weak(patterns, 0.0, rules)
+    return _with_weak(patterns, 0.0, rules, factors)
 
 
-def _with_weak(patterns: list[tuple[int, int, float]], factor: float, rules: Grammar) -> Lexicon:
-    return Lexicon.of([(k, h, low if low >= rules.certain else low * factor) for k, h, low in patterns if low >= rules.certain or factor])
+def _with_weak(patterns: list[tuple[int, int, float]], factor: float, rules: Grammar, factors: dict[str, float] | None = None) -> Lexicon:
+    made = Lexicon.of([(k, h, low if low >= rules.certain else low * factor) for k, h, low in patterns if low >= rules.certain or factor])
+    made.factors = factors or {}
+    return made
+
+
+#: Weights are rounded to so many parts, so that a text is a bounded number of rows of evidence.
+WEIGHT_PARTS = 64
+EVIDENCE = "toxic int, text long, code int, weight int, n long"
+
+
+def _evidence(texts: DataFrame, lexicon: Lexicon, rules: Grammar) -> pd.DataFrame:
+    """Matches of the sample's texts (text, toxic): how many of each weight and set of factors; texts without matches are left out."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, marks = machine(rules), exponents(rules)
+        names = [f.split()[0] for f in EVIDENCE.split(", ")]
+        for batch in batches:
+            keys, toxic = batch.column("key").to_pylist(), batch.column("toxic").to_pylist()
+            for lo, _, data, offsets in tx.slices(batch.column("text")):
+                counts: dict[tuple, int] = {}
+                for text, symbols, weights in _clauses(data, offsets, lexicon, rules):
+                    for weight, bits in witnesses(symbols, weights, made, marks):
+                        code = sum(bit << k for k, bit in enumerate(bits))
+                        row = (toxic[lo + text], keys[lo + text], code, round(weight * WEIGHT_PARTS))
+                        counts[row] = counts.get(row, 0) + 1
+                columns = list(zip(*[(*row, n) for row, n in counts.items()])) or [()] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64()))], names)
+
+    keyed = texts.select(F.xxhash64("k").alias("key"), F.col("toxic").cast("int").alias("toxic"), "text")
+    return keyed.mapInArrow(work, EVIDENCE).toPandas()
+
+
+def fit_factors(evidence: pd.DataFrame, rules: Grammar) -> dict[str, float]:
+    """The factors of highest posterior, one after the other until none moves: a text is clean if none of its matches is a witness.
+
+    Texts that no factor touches say nothing about them.
+    """
+    start = {name: getattr(rules, name) for name in FACTORS}
+    coded = evidence[evidence["text"].isin(evidence.loc[evidence["code"] > 0, "text"])]
+    if not len(coded):
+        return start
+    doc, _ = pd.factorize(coded["text"])
+    toxic = np.zeros(doc.max() + 1, bool)
+    toxic[doc] = coded["toxic"].to_numpy() == 1
+    weight, n = coded["weight"].to_numpy() / WEIGHT_PARTS, coded["n"].to_numpy()
+    bits = (coded["code"].to_numpy()[:, None] >> np.arange(len(FACTORS))) & 1
+
+    def posterior(factors: dict[str, float]) -> float:
+        logs = np.log([factors[name] for name in FACTORS])
+        clean = np.log(1 - np.minimum(weight * np.exp(bits @ logs), 0.999))
+        miss = np.bincount(doc, n * clean, len(toxic))
+        likelihood = np.where(toxic, np.log(-np.expm1(np.minimum(miss, -1e-6))), miss).sum()
+        away = [np.log(factors[name] / start[name]) for name in FACTORS]
+        return likelihood - np.square(away).sum() / (2 * rules.prior**2)
+
+    low, high, steps = rules.tried
+    best, moved = dict(start), True
+    while moved:
+        before = dict(best)
+        for name in FACTORS:
+            tried = [best | {name: start[name] * 2 ** (k / steps)} for k in range(low * steps, high * steps + 1)]
+            best = max([best, *tried], key=posterior)
+        moved = best != before
+    return best
 
 
 def _marked(texts: DataFrame, lexicon: Lexicon, rules: Grammar) -> int:
     """Texts that score the threshold or more."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = machine(rules)
+        made = machine(lexicon.tuned(rules))
         for batch in batches:
             for _, _, data, offsets in tx.slices(batch.column("text")):
                 score, _ = score_texts(data, offsets, lexicon, made, rules)
@@ -317,12 +413,11 @@ def _marked(texts: DataFrame, lexicon: Lexicon, rules: Grammar) -> int:
 # -- scoring ------------------------------------------------------------------------------------
 
 
-def score_texts(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon, made: Machine, rules: Grammar) -> tuple[np.ndarray, np.ndarray]:
-    """(score, matched clauses) of each text."""
+def _clauses(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon, rules: Grammar) -> Iterator[tuple[int, list[int], list[float]]]:
+    """(text, symbols, weights) of the clauses with a matched word."""
     words, spans = _words(data, offsets)
-    n = len(offsets) - 1
     if not len(words.start):
-        return np.zeros(n), np.zeros(n, np.int64)
+        return
     symbol, weight = lexicon.read(words, spans, rules)
     breaks = np.zeros(len(data) + 1, np.int64)
     np.cumsum(_BREAK[data], out=breaks[1:])
@@ -332,13 +427,18 @@ def score_texts(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon, made: M
     change[1:] = (clause[1:] != clause[:-1]) | (owner[1:] != owner[:-1])
     starts = np.append(np.flatnonzero(change), len(clause))
     number = np.cumsum(change) - 1
-    matched = np.unique(number[(symbol == INSULT) | (symbol == THREAT)])
-    clean, clauses = np.ones(n), np.zeros(n, np.int64)
-    for c in matched:
+    for c in np.unique(number[(symbol == INSULT) | (symbol == THREAT)]):
         at = slice(starts[c], starts[c + 1])
-        miss = made.miss(symbol[at].tolist(), weight[at].tolist())
+        yield int(owner[starts[c]]), symbol[at].tolist(), weight[at].tolist()
+
+
+def score_texts(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon, made: Machine, rules: Grammar) -> tuple[np.ndarray, np.ndarray]:
+    """(score, matched clauses) of each text."""
+    n = len(offsets) - 1
+    clean, clauses = np.ones(n), np.zeros(n, np.int64)
+    for text, symbols, weights in _clauses(data, offsets, lexicon, rules):
+        miss = made.miss(symbols, weights)
         if miss < 1.0:
-            text = owner[starts[c]]
             clean[text] *= miss
             clauses[text] += 1
     return 1.0 - clean, clauses
@@ -352,7 +452,7 @@ def scores(docs: DataFrame, lexicon: Lexicon, rules: Grammar = Grammar()) -> Dat
     known = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = machine(rules)
+        made = machine(known.value.tuned(rules))
         for batch in batches:
             for lo, hi, data, offsets in tx.slices(batch.column("text")):
                 score, clauses = score_texts(data, offsets, known.value, made, rules)
@@ -370,7 +470,7 @@ def keep_civil(docs: DataFrame, lexicon: Lexicon, rules: Grammar = Grammar()) ->
     known = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = machine(rules)
+        made = machine(known.value.tuned(rules))
         for batch in batches:
             for lo, hi, data, offsets in tx.slices(batch.column("text")):
                 score, _ = score_texts(data, offsets, known.value, made, rules)
