@@ -32,7 +32,6 @@ from dataclasses import dataclass, field, replace
 from itertools import product
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +39,9 @@ from pyspark.sql import functions as F
 from eventlake.llm import text as tx
 from eventlake.llm.common import crc_remainder, cut, small, table
 
+#: Bytes of text that are looked at together: a worker holds some hundred bytes for each.
+SLICE_BYTES = 1 << 19
+
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORTED = range(6)
 SYMBOLS = range(6)
 
@@ -288,7 +290,7 @@ def learn(docs: DataFrame, labels: DataFrame, rules: Grammar = Grammar()) -> Lex
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             toxic = batch.column("toxic").to_numpy(zero_copy_only=False)
-            for lo, hi, data, offsets in tx.slices(batch.column("text")):
+            for lo, hi, data, offsets in tx.slices(batch.column("text"), SLICE_BYTES):
                 words, spans = _words(data, offsets)
                 owner = words.owner()
                 for kind, index, hashes in pattern_hashes(words, spans, rules):
@@ -341,7 +343,7 @@ WEIGHT_PARTS = 64
 EVIDENCE = "toxic int, text long, code int, weight int, n long"
 
 
-def _evidence(texts: DataFrame, lexicon: Lexicon, rules: Grammar) -> pd.DataFrame:
+def _evidence(texts: DataFrame, lexicon: Lexicon, rules: Grammar) -> pd.DataFrame:  # noqa: F821
     """Matches of the sample's texts (text, toxic): how many of each weight and set of factors; texts without matches are left out."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,7 +351,7 @@ def _evidence(texts: DataFrame, lexicon: Lexicon, rules: Grammar) -> pd.DataFram
         names = [f.split()[0] for f in EVIDENCE.split(", ")]
         for batch in batches:
             keys, toxic = batch.column("key").to_pylist(), batch.column("toxic").to_pylist()
-            for lo, _, data, offsets in tx.slices(batch.column("text")):
+            for lo, _, data, offsets in tx.slices(batch.column("text"), SLICE_BYTES):
                 counts: dict[tuple, int] = {}
                 for text, symbols, weights in _clauses(data, offsets, lexicon, rules):
                     for weight, bits in witnesses(symbols, weights, made, marks):
@@ -363,11 +365,13 @@ def _evidence(texts: DataFrame, lexicon: Lexicon, rules: Grammar) -> pd.DataFram
     return keyed.mapInArrow(work, EVIDENCE).toPandas()
 
 
-def fit_factors(evidence: pd.DataFrame, rules: Grammar) -> dict[str, float]:
+def fit_factors(evidence: pd.DataFrame, rules: Grammar) -> dict[str, float]:  # noqa: F821
     """The factors of highest posterior, one after the other until none moves: a text is clean if none of its matches is a witness.
 
     Texts that no factor touches say nothing about them.
     """
+    import pandas as pd  # on the driver only: workers that score need none of it
+
     start = {name: getattr(rules, name) for name in FACTORS}
     coded = evidence[evidence["text"].isin(evidence.loc[evidence["code"] > 0, "text"])]
     if not len(coded):
@@ -403,7 +407,7 @@ def _marked(texts: DataFrame, lexicon: Lexicon, rules: Grammar) -> int:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = machine(lexicon.tuned(rules))
         for batch in batches:
-            for _, _, data, offsets in tx.slices(batch.column("text")):
+            for _, _, data, offsets in tx.slices(batch.column("text"), SLICE_BYTES):
                 score, _ = score_texts(data, offsets, lexicon, made, rules)
                 yield pa.RecordBatch.from_arrays([pa.array([int((score >= rules.threshold).sum())], pa.int64())], ["marked"])
 
@@ -454,7 +458,7 @@ def scores(docs: DataFrame, lexicon: Lexicon, rules: Grammar = Grammar()) -> Dat
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = machine(known.value.tuned(rules))
         for batch in batches:
-            for lo, hi, data, offsets in tx.slices(batch.column("text")):
+            for lo, hi, data, offsets in tx.slices(batch.column("text"), SLICE_BYTES):
                 score, clauses = score_texts(data, offsets, known.value, made, rules)
                 part = batch.slice(lo, hi - lo)
                 columns = [part.column("doc_id"), part.column("held_out"), pa.array(score)]
@@ -472,7 +476,7 @@ def keep_civil(docs: DataFrame, lexicon: Lexicon, rules: Grammar = Grammar()) ->
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = machine(known.value.tuned(rules))
         for batch in batches:
-            for lo, hi, data, offsets in tx.slices(batch.column("text")):
+            for lo, hi, data, offsets in tx.slices(batch.column("text"), SLICE_BYTES):
                 score, _ = score_texts(data, offsets, known.value, made, rules)
                 yield batch.slice(lo, hi - lo).filter(pa.array(score < rules.threshold))
 
