@@ -51,6 +51,8 @@ from eventlake.llm import text as tx
 from eventlake.llm.common import cut, parallelism, small, table
 
 _NO_ID = -(1 << 63)
+#: Bytes of text that are looked at together, so that a worker stays small.
+SLICE_BYTES = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -62,7 +64,7 @@ class Forest:
     recall: float = 0.99999
     #: Nodes of one block of a cell, and bytes of their shingles, on average at most.
     block: int = 512
-    block_bytes: int = 16 << 20
+    block_bytes: int = 8 << 20
     #: Trie nodes of at most so many members are looked at pair by pair, about so many members to a call.
     small: int = 32
     shard_nodes: int = 512
@@ -130,7 +132,7 @@ def labels(found: np.ndarray, at: np.ndarray, rules: Forest) -> np.ndarray:
 def _node_rows(rules: Forest):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in tx.slices(batch.column("text")):
+            for lo, hi, data, offsets in tx.slices(batch.column("text"), SLICE_BYTES):
                 found, at = shingles(tx.split_words(data, offsets), rules)
                 label = [x.tobytes() for x in labels(found, at, rules)]
                 size = np.diff(at)
@@ -145,7 +147,7 @@ def _node_rows(rules: Forest):
 def _set_rows(rules: Forest):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in tx.slices(batch.column("text")):
+            for lo, hi, data, offsets in tx.slices(batch.column("text"), SLICE_BYTES):
                 found, at = shingles(tx.split_words(data, offsets), rules)
                 node = tx.signed(_set_hash(found, at))
                 sets = [found[at[i] : at[i + 1]].tobytes() for i in range(hi - lo)]
@@ -421,7 +423,7 @@ def _coded(docs: DataFrame, rules: Forest) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in tx.slices(batch.column("text")):
+            for lo, hi, data, offsets in tx.slices(batch.column("text"), SLICE_BYTES):
                 found, at = shingles(tx.split_words(data, offsets), rules)
                 node = pa.array(tx.signed(_set_hash(found, at)), pa.int64(), mask=np.diff(at) == 0)
                 part = batch.slice(lo, hi - lo)

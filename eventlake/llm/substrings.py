@@ -49,6 +49,8 @@ from eventlake.llm import text as tx
 from eventlake.llm.common import cut, parallelism, small, table
 
 _NO_ID = (1 << 63) - 1
+#: Bytes of text that are looked at together, so that a worker stays small.
+SLICE_BYTES = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -120,7 +122,7 @@ def _segment_rows(rules: Repeats):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, row = _ids(batch.column("doc_id")), batch.column("row").to_numpy()
-            for lo, hi, data, offsets in tx.slices(batch.column("text")):
+            for lo, hi, data, offsets in tx.slices(batch.column("text"), SLICE_BYTES):
                 words = tx.split_words(data, offsets)
                 found = segments(words, words.hashes(), rules)
                 doc, own = ids[lo:hi][found.owner], row[lo:hi][found.owner]
@@ -141,7 +143,7 @@ def _wanted_words(rules: Repeats):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, row, wanted = _ids(batch.column("doc_id")), batch.column("row").to_numpy(), batch.column("segs")
-            for lo, hi, data, offsets in tx.slices(batch.column("text")):
+            for lo, hi, data, offsets in tx.slices(batch.column("text"), SLICE_BYTES):
                 words = tx.split_words(data, offsets)
                 hashes = words.hashes()
                 found = segments(words, hashes, rules)
@@ -494,7 +496,7 @@ def digests(docs: DataFrame, rules: Repeats = Repeats()) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in tx.slices(batch.column("text")):
+            for lo, hi, data, offsets in tx.slices(batch.column("text"), SLICE_BYTES):
                 words = tx.split_words(data, offsets)
                 gone = removed_words(words, words.hashes(), batch.column("firsts").slice(lo, hi - lo), rules)
                 kept, at = _kept_bytes(words, gone)
@@ -519,7 +521,7 @@ def remove_repeats(docs: DataFrame, rules: Repeats = Repeats()) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in tx.slices(batch.column("text")):
+            for lo, hi, data, offsets in tx.slices(batch.column("text"), SLICE_BYTES):
                 words = tx.split_words(data, offsets)
                 gone = removed_words(words, words.hashes(), batch.column("firsts").slice(lo, hi - lo), rules)
                 removed = np.bincount(words.owner()[gone], minlength=hi - lo)
