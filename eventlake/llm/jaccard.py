@@ -65,7 +65,7 @@ class Forest:
     #: Nodes of one block of a cell, and bytes of their shingles, on average at most.
     block: int = 512
     block_bytes: int = 8 << 20
-    #: Trie nodes of at most so many members are looked at pair by pair, about so many members to a call.
+    #: Trie nodes of at most so many members are looked at pair by pair, so many members and ``block_bytes`` to a call, on average at most.
     small: int = 32
     shard_nodes: int = 512
 
@@ -308,6 +308,12 @@ def _settled(verified: DataFrame, depth: int, rules: Forest) -> DataFrame:
     return sums.where((F.col("pairs") > 0) & (F.col("missed") <= (1 - rules.recall) * (F.col("pairs") + F.col("missed")))).select("node")
 
 
+def _shards(members: DataFrame, rules: Forest) -> int:
+    """Calls that small trie nodes are dealt to: enough for the rows and for the bytes of any depth."""
+    n, size = members.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    return max(parallelism(members.sparkSession), -(-n // rules.shard_nodes), -(-8 * size // rules.block_bytes))
+
+
 def _verify(members: DataFrame, shards: int, known: DataFrame, depth: int, verified: DataFrame | None, rules: Forest) -> DataFrame:
     """The links of pairs whose longest common prefix has this depth; ``verified`` holds those of deeper ones."""
     steps = _steps(rules)
@@ -324,7 +330,7 @@ def _verify(members: DataFrame, shards: int, known: DataFrame, depth: int, verif
         child = steps[depth - prefix_length(rules)]
         found = found.where(f"min_{child} <> max_{child}")
     kept = found.groupBy("n", "s", "x").agg(F.min(F.struct(*prefix)).alias("b"), F.max("shingles").alias("shingles"))
-    kept = cut(kept.select("b.*", "n", "shingles"))
+    kept = kept.select("b.*", "n", "shingles")
     # Small trie nodes share calls of tasks; a large one is cells of its own.
     bucket = F.xxhash64(*prefix)
     blocks = F.ceil(F.greatest(F.col("n") / rules.block, F.col("shingles") * 8 / rules.block_bytes)).cast("int")
@@ -388,7 +394,7 @@ def _labelled(docs: DataFrame, rules: Forest = Forest()) -> DataFrame:
     texts = base.join(small(wanted.select("row"), wanted.count()), "row", "left_semi")
     sets = texts.select("text").mapInArrow(_set_rows(rules), "node long, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles"))
     known = cut(wanted.select("node", "copies", "labels").join(sets, "node"))
-    shards = max(parallelism(docs.sparkSession), -(-members.count() // rules.shard_nodes))
+    shards = _shards(members, rules)
     verified = None
     for depth in range(rules.depth, prefix_length(rules) - 1, -1):
         found = _verify(members, shards, known, depth, verified, rules)
