@@ -65,8 +65,9 @@ class Forest:
     #: Nodes of one block of a cell, and bytes of their shingles, on average at most.
     block: int = 512
     block_bytes: int = 8 << 20
-    #: Trie nodes of at most so many members are looked at pair by pair, so many members and ``block_bytes`` to a call, on average at most.
+    #: Trie nodes of at most so many members are looked at pair by pair.
     small: int = 32
+    #: Members of such trie nodes to a call, and ``block_bytes`` of their shingles, on average at most.
     shard_nodes: int = 512
 
 
