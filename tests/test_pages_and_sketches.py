@@ -23,6 +23,21 @@ def test_a_page_opens_one_block(spark, tmp_path):
     assert pages.read_pages(spark, path).count() == 1000
 
 
+def test_blocks_share_files(spark, tmp_path):
+    events = spark.range(1200).select(F.col("id").alias("event_id"), (F.col("id") / 3).cast("long").alias("t"), F.lit("x").alias("chunk"))
+    chunks = spark.createDataFrame([("1970-01-01", 0, 300), ("1970-01-01", 300, 400)], "day string, start long, end long")
+    path = str(tmp_path / "p")
+    pages.write_pages(ch.assign_chunks(events, chunks), path, 2, ["t", "event_id"], pages_of_block=1)
+    # 600 blocks; the files are as many as the tasks.
+    assert len(list((tmp_path / "p/blocks").rglob("*.parquet"))) <= 4
+    assert spark.read.parquet(f"{path}/files").count() == 600
+    for start, page, first in ((0, 0, 0), (0, 449, 898), (300, 0, 900), (300, 149, 1198)):
+        got = pages.read_page(spark, path, start, page)
+        assert [r.event_id for r in got.collect()] == [first, first + 1] and len(got.inputFiles()) == 1
+    whole = pages.read_pages(spark, path)
+    assert whole.count() == 1200 and whole.select("chunk").distinct().collect() == [("x",)]
+
+
 def test_sketches_stay_within_their_bound(spark):
     events = spark.range(60_000).select((F.col("id") % 6).alias("day"), (F.col("id") % 37_001).alias("a"), F.when(F.col("id") % 5 > 0, F.col("id") % 3).alias("b"))
     halves = [events.where("a % 2 = 0"), events.where("a % 2 = 1")]
