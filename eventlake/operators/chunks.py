@@ -11,6 +11,9 @@ from eventlake.functions.names import free_names, refuse_names
 from eventlake.functions.times import day_of
 
 BROADCAST_CHUNKS = 500_000
+#: Seconds of the slots by which events find chunks, and how many rows more than two for each chunk these may take.
+SLOTS = (3600, 600, 60, 10, 1)
+MORE_SLOTS = 10_000
 
 
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_CHUNKS) -> DataFrame:
@@ -18,24 +21,32 @@ def small(df: DataFrame, rows: int, limit: int = BROADCAST_CHUNKS) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def _slots(chunks: DataFrame) -> tuple[int, int]:
+    """(length, rows): the shortest slots of the ladder that hardly add rows to the chunks when these are listed by slot, else hours."""
+    rows = {s: F.sum(F.abs(F.floor((F.col("chunk_end") - 1) / s) - F.floor(F.col("chunk_start") / s)) + 1) for s in SLOTS}
+    n, *found = chunks.agg(F.count("*"), *[F.coalesce(r, F.lit(0)) for r in rows.values()]).first()
+    length = min((s for s, r in zip(SLOTS, found) if r <= 2 * n + MORE_SLOTS), default=SLOTS[0])
+    return length, found[SLOTS.index(length)]
+
+
 def assign_chunks(events: DataFrame, chunks: DataFrame, zone: str = "UTC", keys: tuple[str, ...] = ("start", "end")) -> DataFrame:
-    """Events with the chunk they fall in: an equality on the day and hour with the range as a further condition.
+    """Events with the chunk they fall in: an equality on the day and slot with the range as a further condition.
 
-    Chunks never cross a day. A chunk is listed under each hour that it touches, so that a day cut into
-    many chunks does not compare each event with all of them. Events may have columns of any name but those of the
+    Chunks never cross a day. A chunk is listed under each slot of time that it touches, so that a day cut into
+    many chunks does not compare each event with all of them; slots are hours, or shorter for short chunks. Events may have columns of any name but those of the
     chunk, which begin with ``chunk_``; they are never changed.
     """
     named = [f"chunk_{k}" for k in dict.fromkeys((*keys, "start", "end", "day"))]
     refuse_names(events, named)
     right = chunks.select(*[F.col(k[6:]).alias(k) for k in named])
-    hour, day, at = free_names("hour", "day", "at", beside=[events, right])
-    left = events.withColumn(hour, F.floor(F.col("t") / 3600)).withColumn(day, day_of(F.col("t"), zone))
-    hours = F.sequence(F.floor(F.col("chunk_start") / 3600), F.floor((F.col("chunk_end") - 1) / 3600))
-    right = right.withColumn(at, F.explode(hours))
-    rows = right.count()  # chunks by hour: what would be broadcast
+    slot, day, at = free_names("slot", "day", "at", beside=[events, right])
+    length, rows = _slots(right)  # rows: chunks by slot, what would be broadcast
+    left = events.withColumn(slot, F.floor(F.col("t") / length)).withColumn(day, day_of(F.col("t"), zone))
+    slots = F.sequence(F.floor(F.col("chunk_start") / length), F.floor((F.col("chunk_end") - 1) / length))
+    right = right.withColumn(at, F.explode(slots))
     inside = (F.col("t") >= F.col("chunk_start")) & (F.col("t") < F.col("chunk_end"))
-    joined = left.join(small(right, rows), (F.col(day) == F.col("chunk_day")) & (F.col(hour) == F.col(at)) & inside)
-    return joined.drop(hour, day, at)
+    joined = left.join(small(right, rows), (F.col(day) == F.col("chunk_day")) & (F.col(slot) == F.col(at)) & inside)
+    return joined.drop(slot, day, at)
 
 
 def chunk_counts(events: DataFrame, chunks: DataFrame, zone: str = "UTC") -> DataFrame:

@@ -10,7 +10,7 @@ from eventlake.operators import chunks as ch
 from eventlake.operators import count_tree, differences, interval_merge, planning, sketches
 from eventlake.plans.event_queries import BINS, EVENTS, FIELDS, LINE, PACKED, PAGE, PIECES, SPAN, TARGET, packed, pieces, ranges, view
 from eventlake.sources import events as ev
-from eventlake.sources import pages, sinks
+from eventlake.sources import members, pages, sinks
 from eventlake.streaming import completeness
 
 QUERIES: dict = {}
@@ -104,8 +104,8 @@ def pinned_extraction(spark, sf_dir):
     fields = encoding.default_fields(False, ["t", *encoding.DEFAULT_FIELDS[2:5]], "raw")
     found = ev.extract_events(live(), lo, hi, pin)
     out = sinks.scratch_dir(spark, "output")
-    sinks.write_ndjson(ch.assign_chunks(found, plan), out, fields)
-    written = sinks.read_extracted(spark, out).groupBy("day").agg(F.count("*").alias("written"))
+    members.write_members(ch.assign_chunks(found, plan), out, fields)
+    written = members.read_members(spark, out).groupBy("day").agg(F.count("*").alias("written"))
     expected = plan.groupBy("day").agg(F.sum("expected").alias("expected")).where("expected > 0")
     return expected.join(written, "day", "full_outer").select("day", "expected", "written")
 

@@ -1,4 +1,4 @@
-"""Gzip members of an output: integrity, an index of members, and compaction that copies members as they are.
+"""Gzip members of an output: integrity, an index of members, chunks as members of shared files, and compaction that copies members as they are.
 
 A file may hold many members, each with a checksum and a length at its end. Files are read as streams in blocks, so
 memory does not grow with a member, however large; Spark lists the files and deals them to tasks.
@@ -10,19 +10,28 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlake.functions.encoding import encode_json
 from eventlake.sources.sinks import _delete, _folder, _replace, keep, written_files
 
 #: Bytes that are read, and decompressed, at once.
 BLOCK = 1 << 20
+#: Lines and bytes of one Arrow batch, at most about.
+BATCH_LINES, BATCH_BYTES = 8192, 4 << 20
+#: Compressed bytes that a task reads of chunks in shared files, on average.
+READ_BYTES = 4 << 20
 #: Compressed bytes of one file that compaction makes, at most, unless a single source is larger.
 FILE_BYTES = 512 << 20
 
 MEMBERS = "file string, member long, begins long, length long, lines long, bytes long, ended boolean, problem string"
+PLACES = "day string, start long, end long, file string, begins long, length long, lines long"
+LINES = "day string, start long, end long, line string, file string"
 
 
 def open_path(path: str) -> tuple[fs.FileSystem, str]:
@@ -123,6 +132,166 @@ def checked_files(spark: SparkSession, path: str) -> DataFrame:
     return written_files(spark, path).join(damaged_folders(spark, path), "path", "left")
 
 
+# -- chunks in shared files ---------------------------------------------------------------------
+
+
+class _DayFile:
+    """A file of a day, with a gzip member for each run of lines of a chunk; it gets its name when it is whole."""
+
+    def __init__(self, out: str, day: str):
+        name = uuid.uuid4().hex
+        self.file, self.day = f"day={day}/{name}.gz", day
+        self.system, folder = open_path(f"{out}/day={day}")
+        self.system.create_dir(folder, recursive=True)
+        self.beside, self.target = f"{folder}/.{name}", f"{folder}/{name}.gz"
+        self.stream = self.system.open_output_stream(self.beside, compression=None)
+        self.chunk, self.at, self.places = None, 0, []
+
+    def add(self, chunk: tuple[int, int], lines: int, data: memoryview) -> None:
+        if chunk != self.chunk:
+            self._end()
+            self.chunk, self.packer, self.begins, self.lines = chunk, zlib.compressobj(6, zlib.DEFLATED, 31), self.at, 0
+        self.lines += lines
+        self._put(self.packer.compress(data))
+
+    def _put(self, raw: bytes) -> None:
+        self.stream.write(raw)
+        self.at += len(raw)
+
+    def _end(self) -> None:
+        if self.chunk:
+            self._put(self.packer.flush())
+            self.places.append((self.day, *self.chunk, self.file, self.begins, self.at - self.begins, self.lines))
+
+    def close(self) -> pd.DataFrame:
+        self._end()
+        self.stream.close()
+        self.system.move(self.beside, self.target)
+        return pd.DataFrame(self.places, columns=[field.split()[0] for field in PLACES.split(", ")])
+
+    def drop(self) -> None:
+        self.stream.close()
+        self.system.delete_file(self.beside)
+
+
+def _write_chunks(out: str):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file = None
+        try:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                day, line = batch.column("day"), batch.column("line")
+                start, end = (batch.column(c).to_numpy() for c in ("start", "end"))
+                codes = day.dictionary_encode().indices.to_numpy()
+                new = (np.diff(start) != 0) | (np.diff(end) != 0) | (np.diff(codes) != 0)
+                cuts = [0, *(np.flatnonzero(new) + 1).tolist(), len(start)]
+                width = np.int64 if pa.types.is_large_string(line.type) else np.int32
+                # Each line has its break, so the lines of a run are one piece of the column's bytes.
+                bounds = np.frombuffer(line.buffers()[1], width)[line.offset : line.offset + len(line) + 1]
+                raw = memoryview(line.buffers()[2])
+                for a, b in zip(cuts, cuts[1:]):
+                    name = day[a].as_py()
+                    if file is None or file.day != name:
+                        if file is not None:
+                            yield pa.RecordBatch.from_pandas(file.close(), preserve_index=False)
+                            file = None
+                        file = _DayFile(out, name)
+                    file.add((int(start[a]), int(end[a])), b - a, raw[bounds[a] : bounds[b]])
+            if file is not None:
+                done, file = file.close(), None
+                yield pa.RecordBatch.from_pandas(done, preserve_index=False)
+        finally:
+            if file is not None:
+                file.drop()
+
+    return work
+
+
+def write_members(assigned: DataFrame, path: str, fields: list[str] | None = None) -> None:
+    """Events with their chunk as gzip NDJSON under ``day=...``, for plans of many small chunks: they share files.
+
+    Each chunk is a gzip member of its own (a hot one several), and an index in ``_chunks`` has its place, so that
+    :func:`read_members` finds it without reading others. Rows are dealt by the hour in which their chunk begins: a day has
+    at most 24 files, unless Spark splits an hour that is too large for one task. Files that the index does not name, as
+    of a task that ran twice, are never read by it. Null fields are left out, as in :func:`~eventlake.sources.sinks.write_ndjson`.
+    """
+    line = F.concat(F.coalesce(encode_json(assigned, fields), F.lit("")), F.lit("\n"))
+    lines = assigned.select(F.col("chunk_day").alias("day"), F.col("chunk_start").alias("start"), F.col("chunk_end").alias("end"), line.alias("line"))
+    dealt = lines.withColumn("hour", F.floor(F.col("start") / 3600)).hint("rebalance", F.col("day"), F.col("hour")).drop("hour")
+    dealt.sortWithinPartitions("day", "start", "end").mapInArrow(_write_chunks(path.rstrip("/")), PLACES).write.parquet(f"{path.rstrip('/')}/_chunks")
+
+
+def member_places(spark: SparkSession, path: str) -> DataFrame:
+    """day, start, end, file, begins, length and lines of the chunks that :func:`write_members` wrote."""
+    return spark.read.schema(PLACES).parquet(f"{path.rstrip('/')}/_chunks")
+
+
+def _member_lines(stream, file: str, begins: int, length: int) -> Iterator[list[bytes]]:
+    stream.seek(begins)
+    member, rest = zlib.decompressobj(31), b""
+    while length and (data := stream.read(min(length, BLOCK))):
+        length, full = length - len(data), False
+        while data or full:
+            out = member.decompress(data, BLOCK)
+            # A full buffer may leave more to come out, without any further input.
+            data, full = member.unconsumed_tail, len(out) == BLOCK and not member.eof
+            *whole, rest = (rest + out).split(b"\n")
+            yield whole
+    if length or not member.eof or member.unused_data:
+        raise EOFError(f"{file} has no whole member of that length at {begins}")
+    if rest:
+        yield [rest]
+
+
+def _read_chunks(out: str):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines, runs, held = [], [], 0
+        name = stream = None
+
+        def batch() -> pa.RecordBatch:
+            counts = [n for _, n in runs]
+            column = lambda k, kind: pa.array([r[k] for r, _ in runs], kind).take(pa.array(np.repeat(np.arange(len(runs)), counts)))
+            # Bytes as they are in the file, as where Spark reads text.
+            text = pa.array(lines, pa.binary()).view(pa.string())
+            return pa.RecordBatch.from_arrays([column("day", pa.string()), column("start", pa.int64()), column("end", pa.int64()), text, column("file", pa.string())], ["day", "start", "end", "line", "file"])
+
+        try:
+            for places in batches:
+                for row in places.to_pylist():
+                    if row["file"] != name:
+                        if stream is not None:
+                            stream.close()
+                        name = row["file"]
+                        system, place = open_path(f"{out}/{name}")
+                        stream = system.open_input_file(place)
+                    for found in _member_lines(stream, name, row["begins"], row["length"]):
+                        lines += found
+                        runs.append((row, len(found)))
+                        held += sum(map(len, found))
+                        if len(lines) >= BATCH_LINES or held >= BATCH_BYTES:
+                            yield batch()
+                            lines, runs, held = [], [], 0
+            if lines:
+                yield batch()
+        finally:
+            if stream is not None:
+                stream.close()
+
+    return work
+
+
+def read_members(spark: SparkSession, path: str, places: DataFrame | None = None) -> DataFrame:
+    """day, start, end, line and file of chunks in shared files; ``places`` are some of :func:`member_places`, or all.
+
+    Members are read from their places, so that parts of a file may go to several tasks. One that is not whole is an error.
+    """
+    places = member_places(spark, path) if places is None else places
+    size = places.agg(F.sum("length")).first()[0] or 0
+    dealt = places.repartitionByRange(int(size // READ_BYTES + 1), "file", "begins").sortWithinPartitions("file", "begins")
+    return dealt.mapInArrow(_read_chunks(path.rstrip("/")), LINES)
+
+
 # -- compaction ---------------------------------------------------------------------------------
 
 

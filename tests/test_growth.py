@@ -84,6 +84,18 @@ def test_plans_follow_growth(spark, tmp_path, span, least, shift):
     assert after.where("count = -1").count() == wrong.where("count = -1").count() > 0
 
 
+def test_slots_follow_short_chunks(spark):
+    seconds = spark.createDataFrame([("2018-08-20", D + s, D + s + 1) for s in range(20_000)], "day string, start long, end long")
+    named = seconds.select(F.col("start").alias("chunk_start"), F.col("end").alias("chunk_end"))
+    assert ch._slots(named) == (1, 20_000)  # in hours, each event would be compared with 3,600 chunks
+    days = spark.range(3000).select((F.col("id") * 86400).alias("chunk_start"), (F.col("id") * 86400 + 86400).alias("chunk_end"))
+    assert ch._slots(days) == (3600, 72_000) and ch._slots(days.limit(0))[1] == 0
+    events, _ = table(spark)
+    some = seconds.where("start % 3 > 0").unionByName(spark.createDataFrame([("2018-08-20", D + 20_000, D + 86400), ("2018-08-21", D + 86400, D + 172_800)], "day string, start long, end long"))
+    pick = lambda df: sorted(tuple(r) for r in df.select("event_id", "chunk_start", "chunk_end").collect())
+    assert pick(ch.assign_chunks(events, some)) == pick(im.merge_chunks(events, some))
+
+
 @pytest.mark.parametrize("parts", [1, 2, 7, 64])
 def test_interval_merge_is_the_hash_join(spark, parts):
     events, rows = table(spark)

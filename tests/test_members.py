@@ -6,6 +6,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+from eventlake.functions.encoding import encode_json
 from eventlake.operators import chunks as ch
 from eventlake.plans import validation as va
 from eventlake.sources import members, sinks
@@ -119,3 +120,71 @@ def test_cut_files_and_true_reextraction(spark, tmp_path):
     assert again(pinned, pin=300).count() == again(pinned.where("event_id < 300")).count() > again(events).count()
     compacted = chunks.withColumn("path", F.col("day"))
     assert again(late, compacted).count() == 0
+
+
+def test_small_chunks_share_files(spark, tmp_path):
+    rows = [(i, D + i * 400, None if i == 3 else f'raw "{i}"\n\u00e9' * (i % 4)) for i in range(432)]
+    events = spark.createDataFrame(rows, "event_id long, t long, _raw string")
+    chunks = spark.createDataFrame([("2018-08-20" if k < 36 else "2018-08-21", D + k * 2400, D + k * 2400 + 2400) for k in range(72)], "day string, start long, end long")
+    out, assigned = str(tmp_path / "o"), ch.assign_chunks(events, chunks)
+    members.write_members(assigned, out, ["t", "_raw", "missing"])
+    line = encode_json(assigned, ["t", "_raw"])
+    expected = sorted(tuple(r) for r in assigned.select("chunk_day", "chunk_start", "chunk_end", line).collect())
+    got = members.read_members(spark, out)
+    assert sorted(tuple(r)[:4] for r in got.collect()) == expected and got.columns == ["day", "start", "end", "line", "file"]
+    # 72 chunks: one member each, in no more files than a task writes for each day.
+    files = list((tmp_path / "o").rglob("*.gz"))
+    places = members.member_places(spark, out)
+    assert len(files) <= 2 * 4 and {str(f.relative_to(tmp_path / "o")) for f in files} == {r.file for r in places.collect()}
+    assert sorted((r.start, r.lines) for r in places.collect()) == [(D + k * 2400, 6) for k in range(72)]
+    found = members.gzip_members(spark, out)
+    assert found.count() == 72 and found.where("problem IS NOT NULL OR NOT ended").count() == 0
+    # Other readers of lines take such files too.
+    assert sorted(tuple(r) for r in sinks.read_extracted(spark, out).select("day", "line").collect()) == sorted((r[0], r[3]) for r in expected)
+    one = members.read_members(spark, out, places.where(F.col("start") == D + 7 * 2400)).collect()
+    assert sorted(r.line for r in one) == sorted(r[3] for r in expected if r[1] == D + 7 * 2400)
+    # Files that the index does not name are not read; a member that is cut is an error.
+    (tmp_path / "o/day=2018-08-20/stray.gz").write_bytes(gzip.compress(b"stray\n"))
+    assert members.read_members(spark, out).count() == 432
+    files[0].write_bytes(files[0].read_bytes()[:-3])
+    with pytest.raises(Exception, match="no whole member"):
+        members.read_members(spark, out).count()
+
+
+def test_without_events_there_are_no_members(spark, tmp_path):
+    events = spark.createDataFrame([], "event_id long, t long, _raw string")
+    chunks = spark.createDataFrame([("2018-08-20", D, D + 60)], "day string, start long, end long")
+    members.write_members(ch.assign_chunks(events, chunks), str(tmp_path / "o"))
+    assert members.read_members(spark, str(tmp_path / "o")).collect() == []
+
+
+def test_lines_of_large_members():
+    lines = [b"x" * 3_000_000, b"", b"y" * 17, *[b"z" * 100] * 50_000]
+    one, two = gzip.compress(b"a\nb\n"), gzip.compress(b"\n".join(lines) + b"\n")
+    read = lambda begins, length: [x for part in members._member_lines(io.BytesIO(one + two), "f", begins, length) for x in part]
+    assert read(0, len(one)) == [b"a", b"b"] and read(len(one), len(two)) == lines
+    for begins, length in ((len(one), len(two) - 1), (len(one), len(two) + 1), (0, len(one) + 5)):
+        with pytest.raises(EOFError):
+            read(begins, length)
+
+
+def test_a_task_that_fails_leaves_no_file(tmp_path):
+    import pyarrow as pa
+
+    def batches():
+        yield pa.RecordBatch.from_pydict({"day": ["d"], "start": [1], "end": [2], "line": ["x\n"]})
+        raise OSError("lost")
+
+    with pytest.raises(OSError, match="lost"):
+        list(members._write_chunks(str(tmp_path / "o"))(batches()))
+    assert not [f for f in (tmp_path / "o").rglob("*") if f.is_file()]
+
+
+def test_files_of_the_pinned_extraction_follow_tasks(spark, tmp_path, monkeypatch):
+    from eventlake.plans import growth_queries
+
+    monkeypatch.setattr(growth_queries.sinks, "scratch_dir", lambda _, name: str(tmp_path / name))
+    rows = growth_queries.pinned_extraction(spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == 8 and all(r.expected == r.written for r in rows)
+    files = len(list((tmp_path / "output").rglob("*.gz")))
+    assert files <= 8 * 4 < spark.read.parquet(str(tmp_path / "plan")).where("expected > 0").count()
